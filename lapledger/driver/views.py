@@ -23,7 +23,9 @@ from lapledger.operators.calendar import (
 )
 from lapledger.operators.joins import apply_aliases
 from lapledger.plans.facts import RESULT_IDS, build_facts, long_results
+from lapledger.session import new_path
 from lapledger.sources.readers import history_long
+from lapledger.sources.writers import load_snapshot, save_snapshot
 
 BEFORE_SEASON = "1998-1999"
 YEARS = tuple(range(1995, 2002))
@@ -492,6 +494,19 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_SAVED: dict[tuple[str, str], str] = {}
+
+
+def saved_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact table as the reports read it: written once per session, one folder per season."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SAVED:
+        path = new_path(spark, "facts")
+        save_snapshot(facts(spark, sf_dir), path)
+        _SAVED[key] = path
+    return load_snapshot(spark, _SAVED[key])
+
+
 def race_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The calendar, one row per date with an order; some dates cancelled or unscheduled."""
     date, day = F.col("date_ymd"), F.dayofmonth("date_ymd")

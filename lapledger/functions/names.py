@@ -2,26 +2,23 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The marks after which a letter is a capital, in the order they apply.
-CAPITAL_AFTER = (" ", " Mc", "-mc", "'", "-")
-
-
-def first_upper(text: Column) -> Column:
-    return F.concat(F.upper(F.substring(text, 1, 1)), F.substring(text, 2, 1_000_000))
-
-
-def _upper_after(text: Column, mark: str) -> Column:
-    return F.array_join(F.transform(F.split(text, mark), first_upper), mark)
+# The marks after which a letter is a capital besides the space, in the order they apply.
+CAPITAL_AFTER = ("-", " mc", "'")
+GAP = "\x01 "
 
 
 def standard_name(name: Column) -> Column:
-    """Lower case, then a capital at the start and after each mark: "O'NEIL mcrae" → "O'Neil McRae"."""
-    return reduce(_upper_after, CAPITAL_AFTER, first_upper(F.lower(name)))
+    """Lower case, then a capital at the start and after each mark: "O'NEIL mcrae" → "O'Neil McRae".
+
+    A gap put behind each mark makes the next letter the start of a word for ``initcap``.
+    """
+    text = F.lower(name)
+    for mark in CAPITAL_AFTER:
+        text = F.replace(text, F.lit(mark), F.lit(mark + GAP))
+    return F.replace(F.initcap(text), F.lit(GAP), F.lit(""))
 
 
 def reversed_name(name: Column) -> Column:

@@ -20,10 +20,10 @@ def padded_time(text: Column) -> Column:
 def hms_seconds(text: Column) -> Column:
     """H:MM:SS.s → seconds; DNF, DSQ, "-", blanks and other texts → null."""
 
-    def group(number: int) -> Column:
-        return F.regexp_extract(text, HMS, number).try_cast("double")
+    def part(number: int) -> Column:
+        return F.split_part(text, F.lit(":"), F.lit(number)).try_cast("double")
 
-    return F.when(text.rlike(HMS), group(1) * 3600 + group(2) * 60 + group(3))
+    return F.when(text.rlike(HMS), part(1) * 3600 + part(2) * 60 + part(3))
 
 
 def time_seconds(text: Column) -> Column:
@@ -36,6 +36,17 @@ def handicap_seconds(text: Column) -> Column:
     return F.when(F.substring(text, 1, 1) == "-", -size).otherwise(size)
 
 
+def _two(number: Column) -> Column:
+    return F.lpad(number.cast("string"), 2, "0")
+
+
+def _clock(second: Column, hour_digits: int) -> list[Column]:
+    hour = F.floor(second / 3600)
+    shown = _two(hour) if hour_digits == 2 else hour.cast("string")
+    colon = F.lit(":")
+    return [shown, colon, _two(F.floor(second / 60) % 60), colon, _two(second % 60)]
+
+
 def seconds_hms(seconds: Column, rounding: str = "no", tenths: bool = True) -> Column:
     """HH:MM:SS.s, or HH:MM:SS when ``tenths`` is False.
 
@@ -45,31 +56,23 @@ def seconds_hms(seconds: Column, rounding: str = "no", tenths: bool = True) -> C
     """
     whole = {
         "no": seconds if tenths else F.floor(seconds),
-        "round": F.round(seconds, 0),
+        "round": F.floor(seconds + 0.5),
         "ceiling": F.ceil(seconds),
         "floor": F.floor(seconds),
     }[rounding]
-    count = F.round(whole * 10, 0).cast("long")
-    second = F.floor(count / 10)
-    parts = [F.floor(second / 3600), F.floor(second / 60) % 60, second % 60]
-    if tenths:
-        return F.when(seconds.isNotNull(), F.format_string("%02d:%02d:%02d.%d", *parts, count % 10))
-    return F.when(seconds.isNotNull(), F.format_string("%02d:%02d:%02d", *parts))
+    if not tenths:
+        return F.concat(*_clock(whole.cast("long"), 2))
+    count = F.floor(whole * 10 + 0.5)
+    return F.concat(*_clock(F.floor(count / 10), 2), F.lit("."), (count % 10).cast("string"))
 
 
 def seconds_short(seconds: Column, keep_hour: bool = False) -> Column:
     """H:MM:SS.s with the leading "0:" left out unless ``keep_hour``."""
-    count = F.round(seconds * 10, 0).cast("long")
-    second = F.floor(count / 10)
-    text = F.format_string(
-        "%d:%02d:%02d.%d",
-        F.floor(second / 3600),
-        F.floor(second / 60) % 60,
-        second % 60,
-        count % 10,
-    )
-    shown = text if keep_hour else F.regexp_replace(text, "^0:", "")
-    return F.when(seconds.isNotNull(), shown)
+    count = F.floor(seconds * 10 + 0.5)
+    text = F.concat(*_clock(F.floor(count / 10), 1), F.lit("."), (count % 10).cast("string"))
+    if keep_hour:
+        return text
+    return F.when(count < 36000, F.substring(text, 3, 20)).otherwise(text)
 
 
 def unpadded_time(text: Column) -> Column:

@@ -85,6 +85,30 @@ def season_pbs(df: DataFrame, partition: Sequence[str] = OWN, hot: bool | None =
     return season_pb(df, {f"season_pb_{m}": c for m, c in MEASURES.items()}, partition, hot)
 
 
+def all_bests(
+    df: DataFrame,
+    partition: Sequence[str] = OWN,
+    order: Sequence[str] = IN_ORDER,
+    hot: bool | None = None,
+) -> DataFrame:
+    """Running bests, new and season bests of all measures in one pass over the competitor's efforts."""
+    steps = {}
+    for measure, (value, valid) in MEASURES.items():
+        counted = F.when(F.col(valid), F.col(value))
+        steps[f"running_best_{measure}"] = spread.lowest(counted)
+        steps[f"__low_{measure}"] = spread.lowest(counted, whole=True)
+    found = spread.running(df, partition, [F.col(c) for c in order], steps, hot)
+    flags = {}
+    for measure, (value, valid) in MEASURES.items():
+        best = F.when(F.col(valid), F.col(f"running_best_{measure}"))
+        low = F.when(F.col(valid), F.col(f"__low_{measure}"))
+        again = ~F.coalesce(F.col("first_race"), F.lit(False))
+        flags[f"running_best_{measure}"] = best
+        flags[f"new_pb_{measure}"] = _equals(F.col(value), best) & again
+        flags[f"season_pb_{measure}"] = _equals(F.col(value), low)
+    return found.withColumns(flags).drop(*[f"__low_{m}" for m in MEASURES])
+
+
 def effort_has_pb(
     df: DataFrame,
     partition: Sequence[str] = OWN_EFFORT,

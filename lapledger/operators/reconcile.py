@@ -148,3 +148,70 @@ def final_cumulative(df: DataFrame) -> DataFrame:
     return df.withColumn(
         "cumulative_seconds", at_end.otherwise(F.col("cumulative_seconds"))
     )
+
+
+def settled_times(
+    df: DataFrame,
+    effort: Sequence[str] = EFFORT,
+    tolerance: float = 1.0,
+    hot: bool | None = None,
+) -> DataFrame:
+    """Handicap, running sum, reconciled and filled totals in two passes over each effort.
+
+    Gives what apply_handicap, reconcile_totals, fill_missing_overall and overall_validity give one
+    after the other: the recorded total is the same on all rows of an effort, so once the sum at the
+    finish is known on every row the rest is arithmetic. Both passes share one sort.
+    """
+    first, last = F.col("part") == FIRST_LEG, F.col("part") == LAST_LEG
+    order = [leg_order(F.col("part"))]
+    size = F.col("handicap_seconds")
+    usable = when_all(F.col("started"), first, size + F.col("duration_seconds") > 0)
+    flagged = spread.running(
+        df,
+        effort,
+        order,
+        {
+            "handicap_valid": spread.highest(usable, whole=True),
+            "overall_valid": spread.highest(F.when(last, F.col("cumulative_valid")), whole=True),
+        },
+        hot,
+    )
+    moved = F.col("handicap_valid") & first
+    changed = flagged.withColumns(
+        {
+            "overall_valid": F.coalesce("overall_valid", F.lit(True)),
+            "duration_seconds_original": F.when(moved, F.col("duration_seconds")),
+            "duration_seconds": F.col("duration_seconds") + F.when(moved, size).otherwise(0.0),
+        }
+    )
+    value = F.col("duration_seconds")
+    summed = spread.running(
+        changed,
+        effort,
+        order,
+        {
+            "cumulative_seconds": spread.total(value),
+            "__finish": spread.total(value, whole=True),
+        },
+        hot,
+    )
+    finish = F.col("__finish")
+    recorded = F.when(F.col("handicap_valid"), finish).otherwise(F.col("overall_seconds"))
+    told = summed.withColumn("overall_seconds", recorded)
+    gap = F.coalesce(F.abs(finish - F.col("overall_seconds")) > tolerance, F.lit(False))
+    marked = told.withColumn("total_disagree", gap)
+    choice = F.when(F.col("overall_valid"), "cumulative").otherwise("imported")
+    chosen = marked.withColumn("total_resolve", F.when(F.col("total_disagree"), choice))
+    trusted = F.coalesce(F.col("total_resolve") == "imported", F.lit(False))
+    # without a recorded total the sum at the finish is the largest one, unless the legs are negative
+    overall = F.when(trusted, F.col("overall_seconds")).when(F.col("total_disagree"), finish)
+    missing = F.when(F.col("started"), finish)
+    return chosen.withColumns(
+        {
+            "cumulative_seconds": F.when(trusted & last, F.col("overall_seconds")).otherwise(
+                F.col("cumulative_seconds")
+            ),
+            "overall_seconds": overall.otherwise(F.coalesce("overall_seconds", missing)),
+            "total_resolved": F.when(F.col("total_disagree"), F.lit(True)),
+        }
+    ).drop("__finish")

@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapledger import spread
-from lapledger.functions.times import padded_time, seconds_short
+from lapledger.functions.times import handicap_seconds, seconds_hms, seconds_short, time_seconds
+from lapledger.model import FULL_AND_DOUBLE, LAST_LEG, RACE, RECORD
 from lapledger.operators import bests, ranks, reconcile, totals
 from lapledger.operators.calendar import course_labels
-from lapledger.operators.clean import clean_names, parse_times, render_places, split_names
+from lapledger.operators.clean import clean_names, render_places, split_names
 from lapledger.operators.joins import apply_aliases, attach_prehistory, attach_problems
 from lapledger.operators.reshape import legs_long
 from lapledger.operators.update import (
@@ -25,7 +26,6 @@ from lapledger.operators.update import (
     default_flags,
     invalidate,
     mark_started,
-    mask_invalid,
     time_of_day_fix,
 )
 
@@ -66,7 +66,6 @@ def cleaned_results(
     named = clean_names(default_flags(long, {"participation_only": False}), split=False)
     if aliases is not None:
         named = apply_aliases(named, aliases)
-    named = split_names(named)
     if problems is not None:
         flagged = attach_problems(named, problems)
     else:
@@ -78,38 +77,31 @@ def cleaned_results(
     return flagged
 
 
-def timed_results(
-    cleaned: DataFrame, bad_races: DataFrame | None = None, hot: bool = False
-) -> DataFrame:
-    """Seconds, handicap, sums and resolved totals per effort; minutes and short texts."""
-    valid = invalidate(reconcile.overall_validity(cleaned, hot=hot), bad_races)
-    texts = valid.withColumns(
+def parsed_results(cleaned: DataFrame) -> DataFrame:
+    """Time texts become seconds and are left behind; a started leg without a time counts as zero."""
+    seconds = cleaned.withColumns(
         {
-            "duration_hms": padded_time(F.col("duration_import")),
-            "overall_hms": padded_time(F.col("time_overall_import")),
+            "duration_seconds": time_seconds(F.col("duration_import")),
+            "overall_seconds": time_seconds(F.col("time_overall_import")),
+            "handicap_seconds": F.when(
+                F.col("started"), handicap_seconds(F.col("handicap_import"))
+            ),
         }
-    )
-    parsed = parse_times(
-        texts, {"duration_seconds": "duration_import", "overall_seconds": "time_overall_import"}
-    )
-    # a started leg without a time counts as zero seconds
-    parsed = parsed.withColumn(
-        "duration_seconds",
-        F.when(F.col("started"), F.coalesce("duration_seconds", F.lit(0.0))).otherwise(
-            F.col("duration_seconds")
-        ),
-    )
-    moved = reconcile.apply_handicap(parsed, hot=hot)
-    agreed = reconcile.fill_missing_overall(reconcile.reconcile_totals(moved, hot=hot), hot=hot)
+    ).drop("duration_import", "time_overall_import", "handicap_import")
+    zero = F.when(F.col("started"), F.lit(0.0))
+    return seconds.withColumn("duration_seconds", F.coalesce("duration_seconds", zero))
+
+
+def timed_results(
+    parsed: DataFrame, bad_races: DataFrame | None = None, hot: bool = False
+) -> DataFrame:
+    """Settled seconds and minutes of each effort, with its validity."""
+    agreed = invalidate(reconcile.settled_times(parsed, hot=hot), bad_races)
     minutes = agreed.withColumns(
         {
             "duration_mins": F.col("duration_seconds") / 60,
             "cumulative_mins": F.col("cumulative_seconds") / 60,
             "overall_mins": F.col("overall_seconds") / 60,
-            "duration_hms_short": seconds_short(F.col("duration_seconds")),
-            "cumulative_hms_short": seconds_short(F.col("cumulative_seconds")),
-            "total_overall_hms": seconds_short(F.col("overall_seconds"), keep_hour=True),
-            "total_overall_hms_short": seconds_short(F.col("overall_seconds")),
         }
     )
     return reconcile.final_cumulative(minutes)
@@ -121,35 +113,41 @@ def counted_results(
     newcomers: DataFrame | None = None,
     hot: bool = False,
 ) -> DataFrame:
-    """Running entries and totals of the season and the career."""
+    """Running entries and totals of the season and the career.
+
+    Every entry has all legs, so the counts of a leg are those of the season: running counts, totals
+    and the last race come from one pass over name, season and leg.
+    """
     if prehistory is not None:
         facts = attach_prehistory(timed, prehistory, newcomers)
     else:
         facts = timed.withColumn("entries_before", F.lit(None).cast("long"))
-    facts = totals.running_entries(facts, hot=hot)
-    facts = totals.running_entries_fd(facts, hot=hot)
-    facts = totals.season_totals(
-        facts,
-        columns={
-            "entries_total": "entries_cumulative",
-            "entries_total_fd": "entries_cumulative_fd",
-        },
-        hot=hot,
-    )
-    facts = totals.last_entry(facts, hot=hot)
-    facts = totals.career_entries(facts, hot=hot)
-    facts = totals.career_entries_fd(facts, hot=hot)
-    facts = totals.season_totals(
-        facts,
-        partition=("name",),
-        columns={
-            "entries_total_all": "entries_cumulative_all",
-            "entries_total_all_fd": "entries_cumulative_all_fd",
-        },
-        hot=hot,
-    )
-    facts = totals.last_entry(facts, ("name",), "date_ymd", "is_last_entry_all", hot=hot)
-    return totals.first_race(facts)
+    entry = F.coalesce("started", F.lit(False)).cast("long")
+    long_course = F.col("course").isin(*FULL_AND_DOUBLE).cast("long")
+    order = [F.col(c) for c in totals.IN_ORDER]
+    latest = {"__latest": spread.highest(F.col("race_number"), whole=True)}
+    counts = {
+        "entries_cumulative": spread.total(entry),
+        "entries_cumulative_fd": spread.total(long_course),
+        "entries_total": spread.total(entry, whole=True),
+        "entries_total_fd": spread.total(long_course, whole=True),
+    }
+    facts = spread.running(facts, ["name", "season", "part"], order, counts | latest, hot)
+    facts = facts.withColumn("is_last_entry", F.col("race_number") == F.col("__latest"))
+    career = {
+        name.replace("cumulative", "cumulative_all").replace("total", "total_all"): step
+        for name, step in counts.items()
+    }
+    latest = {"__latest": spread.highest(F.col("date_ymd"), whole=True)}
+    facts = spread.running(facts.drop("__latest"), ["name", "part"], order, career | latest, hot)
+    before = {name: F.col(name) + F.col("entries_before") for name in career}
+    return facts.withColumns(
+        before
+        | {
+            "is_last_entry_all": F.col("date_ymd") == F.col("__latest"),
+            "first_race": F.col("entries_cumulative") == 1,
+        }
+    ).drop("__latest")
 
 
 def best_results(facts: DataFrame, hot: bool = False) -> DataFrame:
@@ -157,21 +155,34 @@ def best_results(facts: DataFrame, hot: bool = False) -> DataFrame:
     facts = ranks.effort_rank_leg(facts, hot=hot)
     facts = ranks.effort_rank_cumulative(facts, hot=hot)
     facts = ranks.effort_rank_overall(facts, hot=hot)
-    facts = bests.running_best(
-        facts, {f"running_best_{m}": columns for m, columns in bests.MEASURES.items()}, hot=hot
+    return bests.effort_has_pb(bests.all_bests(facts, hot=hot), hot=hot)
+
+
+def placed_results(
+    facts: DataFrame, hot_race: bool = False, hot_record: bool = False
+) -> DataFrame:
+    """Places in the race and records of the season."""
+    facts = ranks.place_leg(facts, hot=hot_race)
+    facts = ranks.place_cumulative(facts, hot=hot_race)
+    facts = ranks.place_overall(facts, hot=hot_race)
+    facts = ranks.record_rank_overall(facts, hot=hot_record)
+    return ranks.record_rank_leg(facts, hot=hot_record)
+
+
+def labelled_results(facts: DataFrame) -> DataFrame:
+    """Texts for display, made last so that the sorts before carry keys and numbers only."""
+    at_finish = F.col("part") == LAST_LEG
+    shown = F.when(at_finish, F.col("cumulative_mins") * 60).otherwise(F.col("cumulative_seconds"))
+    facts = split_names(facts).withColumns(
+        {
+            "place_leg_display": F.when(F.col("split_valid"), F.col("place_leg")),
+            "duration_hms": seconds_hms(F.col("duration_seconds")),
+            "duration_hms_short": seconds_short(F.col("duration_seconds")),
+            "cumulative_hms_short": seconds_short(shown),
+            "total_overall_hms": seconds_short(F.col("overall_seconds"), keep_hour=True),
+            "total_overall_hms_short": seconds_short(F.col("overall_seconds")),
+        }
     )
-    facts = bests.season_pbs(bests.new_pbs(facts), hot=hot)
-    return bests.effort_has_pb(facts, hot=hot)
-
-
-def placed_results(facts: DataFrame, hot: bool = False) -> DataFrame:
-    """Places in the race and records of the season, with their labels."""
-    facts = ranks.place_leg(facts, hot=hot)
-    facts = ranks.place_cumulative(facts, hot=hot)
-    facts = ranks.place_overall(facts, hot=hot)
-    facts = ranks.record_rank_overall(facts, hot=hot)
-    facts = ranks.record_rank_leg(facts, hot=hot)
-    facts = mask_invalid(facts, {"place_leg_display": ("place_leg", "split_valid")})
     facts = render_places(
         facts, {"place_leg_nice": "place_leg_display", "place_cumulative_nice": "place_cumulative"}
     )
@@ -188,20 +199,26 @@ def build_facts(
     dupe_dates: DataFrame | None = None,
     prehistory: DataFrame | None = None,
     newcomers: DataFrame | None = None,
+    hot: Sequence[bool] | None = None,
 ) -> DataFrame:
-    """All steps. One count looks for competitors and courses too large for one task."""
+    """All steps.
+
+    ``hot`` tells whether a competitor, a race or a season's course holds more rows than one task
+    should; when it is not given, one count finds out. The count is taken before the lookups, by the
+    given name in lower case; aliases merge only a few spellings of a name.
+    """
+    if hot is None:
+        sizes = long.select(F.lower("name").alias("name"), *RACE)
+        hot = spread.hot_key_sets(sizes, [("name",), RACE, RECORD])
+    hot_name, hot_race, hot_record = hot
     cleaned = cleaned_results(long, aliases, problems, overrides, clock_races)
-    sizes = cleaned.groupBy("name").agg(F.count(F.lit(1)).alias("__n"))
-    bound = spread.group_limit(cleaned)
-    hot_name = not sizes.filter(F.col("__n") > bound).isEmpty()
-    hot_course = spread.any_hot(cleaned, ("season", "course"))
     if dupe_dates is not None:
         cleaned = reconcile.drop_cross_course_dupes(cleaned, dupe_dates, hot=hot_name)
+    parsed = parsed_results(cleaned)
     if not hot_name:
         # every key of the following steps starts from the name: one exchange for all of them
-        cleaned = cleaned.repartition("name")
-    facts = timed_results(cleaned, bad_races, hot_name)
+        parsed = parsed.repartition("name")
+    facts = timed_results(parsed, bad_races, hot_name)
     facts = counted_results(facts, prehistory, newcomers, hot_name)
     facts = best_results(facts, hot_name)
-    return placed_results(facts, hot_course)
-
+    return labelled_results(placed_results(facts, hot_race, hot_record))

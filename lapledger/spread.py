@@ -34,26 +34,30 @@ ROWS, BLOCK, CUTS, HOT = "__rows", "__block", "__cuts", "__hot"
 
 
 class Step(NamedTuple):
-    """One running column: how it is computed within a block and carried over blocks."""
+    """One column: how it is computed within a block and carried over blocks.
+
+    ``whole`` asks for the value of the whole group instead of the value so far.
+    """
 
     kind: str
     value: Column | None = None
+    whole: bool = False
 
 
 def position() -> Step:
     return Step("position")
 
 
-def total(value: Column) -> Step:
-    return Step("total", value)
+def total(value: Column, whole: bool = False) -> Step:
+    return Step("total", value, whole)
 
 
-def lowest(value: Column) -> Step:
-    return Step("lowest", value)
+def lowest(value: Column, whole: bool = False) -> Step:
+    return Step("lowest", value, whole)
 
 
-def highest(value: Column) -> Step:
-    return Step("highest", value)
+def highest(value: Column, whole: bool = False) -> Step:
+    return Step("highest", value, whole)
 
 
 def group_limit(df: DataFrame, limit: int | None = None) -> int:
@@ -75,19 +79,31 @@ def hot_groups(df: DataFrame, keys: Sequence[str], limit: int | None = None) ->
     return sizes.filter(F.col(ROWS) > group_limit(df, limit))
 
 
-def any_hot(df: DataFrame, *key_sets: Sequence[str], limit: int | None = None) -> bool:
-    """Is any group of any of the key sets over the limit? One pass for all key sets.
+def any_hot(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> bool:
+    """Is any group over the limit?
 
-    A group of a finer key set lies inside a group of the coarser one, so checking the coarsest
-    set of each family is enough.
+    A group of finer keys lies inside a group of coarser ones, so when the coarser keys have no hot
+    group the finer ones have none either.
     """
+    return not hot_groups(df, keys, limit).isEmpty()
+
+
+def hot_key_sets(
+    df: DataFrame, key_sets: Sequence[Sequence[str]], limit: int | None = None
+) -> list[bool]:
+    """``any_hot`` for several key sets in one pass; one number per key set reaches the driver."""
     bound = group_limit(df, limit)
-    if len(key_sets) == 1:
-        return not hot_groups(df, key_sets[0], bound).isEmpty()
     columns = list(dict.fromkeys(key for keys in key_sets for key in keys))
-    sizes = df.groupingSets([list(keys) for keys in key_sets], *columns)
-    sizes = sizes.agg(F.count(F.lit(1)).alias(ROWS))
-    return not sizes.filter(F.col(ROWS) > bound).isEmpty()
+    sizes = df.groupingSets([list(keys) for keys in key_sets], *columns).agg(
+        F.count(F.lit(1)).alias(ROWS), F.grouping_id().alias("__set")
+    )
+    largest = {row["__set"]: row[1] for row in sizes.groupBy("__set").agg(F.max(ROWS)).collect()}
+    # a column left out of a set puts a one into the set's number, the first column the highest bit
+    numbers = [
+        sum(2 ** (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in keys)
+        for keys in key_sets
+    ]
+    return [(largest.get(number) or 0) > bound for number in numbers]
 
 
 def attach(
@@ -152,11 +168,14 @@ def _with_blocks(
     return marked.withColumn(BLOCK, block).withColumn(HOT, F.col(CUTS).isNotNull()).drop(CUTS)
 
 
-def _within(step: Step, window) -> Column:
+def _within(step: Step, ordered) -> Column:
+    """The column over an ordered window; both frames share its sort."""
+    first, last = Window.unboundedPreceding, Window.unboundedFollowing
+    frame = ordered.rowsBetween(first, last if step.whole else Window.currentRow)
     if step.kind == "position":
-        return F.row_number().over(window)
+        return F.row_number().over(frame)
     apply = {"total": F.sum, "lowest": F.min, "highest": F.max}[step.kind]
-    return apply(step.value).over(window)
+    return apply(step.value).over(frame)
 
 
 def _block_value(step: Step) -> Column:
@@ -165,12 +184,17 @@ def _block_value(step: Step) -> Column:
     return {"total": F.sum, "lowest": F.min, "highest": F.max}[step.kind](step.value)
 
 
-def _carried(step: Step, name: str, window) -> Column:
+def _carried(step: Step, name: str, keys: Sequence[str]) -> Column:
+    """What the blocks before (for ``whole`` all blocks) of the group add up to."""
+    first, last = Window.unboundedPreceding, Window.unboundedFollowing
+    blocks = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(first, last if step.whole else -1)
     apply = {"position": F.sum, "total": F.sum, "lowest": F.min, "highest": F.max}[step.kind]
-    return apply(F.col(name)).over(window)
+    return apply(F.col(name)).over(blocks)
 
 
 def _combined(step: Step, here: Column, before: Column) -> Column:
+    if step.whole:
+        return F.when(F.col(HOT), before).otherwise(here)
     if step.kind == "position":
         return (here + F.coalesce(before, F.lit(0))).cast("int")
     if step.kind == "total":
@@ -188,30 +212,25 @@ def running(
 ) -> DataFrame:
     """Add running columns per group in the given ascending order (its keys should be unique).
 
-    ``hot`` tells whether groups over the limit exist; None means look.
+    All columns of one call share one sort, those of the whole group too. ``hot`` tells whether groups over the limit exist; None means look.
     """
     keys, order = list(keys), list(order)
     bound = group_limit(df, limit)
     if hot is None:
-        hot = any_hot(df, keys, limit=bound)
+        hot = any_hot(df, keys, bound)
     if not hot:
-        so_far = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow
-        )
-        return df.withColumns({n: _within(s, so_far) for n, s in columns.items()})
+        ordered = Window.partitionBy(*keys).orderBy(*order)
+        return df.withColumns({n: _within(s, ordered) for n, s in columns.items()})
 
     # the rows are read several times below, so what made them is computed once
     blocks = _with_blocks(settle(df), keys, order, bound)
     grouped = [*keys, BLOCK]
-    in_block = Window.partitionBy(*grouped).orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    earlier = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    in_block = Window.partitionBy(*grouped).orderBy(*order)
     sums = blocks.filter(HOT).groupBy(*grouped).agg(
         *[_block_value(s).alias(f"__b_{n}") for n, s in columns.items()]
     )
     carried = sums.select(
-        *grouped, *[_carried(s, f"__b_{n}", earlier).alias(f"__c_{n}") for n, s in columns.items()]
+        *grouped, *[_carried(s, f"__b_{n}", keys).alias(f"__c_{n}") for n, s in columns.items()]
     )
     local = blocks.withColumns({f"__l_{n}": _within(s, in_block) for n, s in columns.items()})
     joined = attach(local, carried, grouped)
@@ -237,7 +256,7 @@ def group_values(
     keys = list(keys)
     bound = group_limit(df, limit)
     if hot is None:
-        hot = any_hot(df, keys, limit=bound)
+        hot = any_hot(df, keys, bound)
     group = Window.partitionBy(*keys)
     if not hot:
         return df.withColumns({n: c.over(group) for n, c in columns.items()})
@@ -276,7 +295,7 @@ def shared_rank(
     keys = list(keys)
     bound = group_limit(df, limit)
     if hot is None:
-        hot = any_hot(df, keys, limit=bound)
+        hot = any_hot(df, keys, bound)
     if not hot:
         ordered = Window.partitionBy(*keys).orderBy(F.col(value).desc_nulls_last())
         return df.withColumn(name, F.rank().over(ordered))
