@@ -123,10 +123,10 @@ def participation_histogram(spark, sf_dir):
     "participation_histogram_names",
     sql(
         """SELECT entries_total, text_number, count(*) AS competitors, string_agg(name || CASE
-          WHEN at = n THEN '' WHEN at % (n // 20 + 1) = 0 THEN chr(10) ELSE ', ' END, '' ORDER BY at)
+          WHEN pos = n THEN '' WHEN pos % (n // 20 + 1) = 0 THEN chr(10) ELSE ', ' END, '' ORDER BY pos)
           AS names_text
-        FROM (SELECT *, CAST((at - 1) // 1000 + 1 AS INTEGER) AS text_number FROM (
-          SELECT *, row_number() OVER (PARTITION BY entries_total ORDER BY name_last, name) AS at,
+        FROM (SELECT *, CAST((pos - 1) // 1000 + 1 AS INTEGER) AS text_number FROM (
+          SELECT *, row_number() OVER (PARTITION BY entries_total ORDER BY name_last, name) AS pos,
             count(*) OVER (PARTITION BY entries_total) AS n FROM last))
         GROUP BY 1, 2""",
         LAST_SQL,
