@@ -97,7 +97,7 @@ def read_results(
         .text(path)
         .select(
             F.col("_metadata.file_path").alias("__path"),
-            F.split(F.regexp_replace("value", "^﻿", ""), "\t").alias("__cells"),
+            F.split(F.regexp_replace("value", "^\ufeff", ""), "\t").alias("__cells"),
         )
     )
     is_header = F.array_contains("__cells", "Bib") & F.array_contains("__cells", "Name")
@@ -207,7 +207,7 @@ def read_start_list(spark: SparkSession, path: str) -> DataFrame:
     """Start list without headings, named by position."""
     schema = "name string, first string, last string, course string, chip string"
     listed = _csv(spark, path, schema, header=False, sep="\t")
-    return listed.withColumn("name", F.regexp_replace("name", "^﻿", ""))
+    return listed.withColumn("name", F.regexp_replace("name", "^\ufeff", ""))
 
 
 def read_tracks(spark: SparkSession, path: str, files: DataFrame | None = None) -> DataFrame:
