@@ -23,7 +23,7 @@ from lapledger.operators.calendar import (
 )
 from lapledger.operators.joins import apply_aliases
 from lapledger.plans.facts import RESULT_IDS, build_facts, long_results
-from lapledger.session import new_path
+from lapledger.session import new_path, settle
 from lapledger.sources.readers import history_long
 from lapledger.sources.writers import load_snapshot, save_snapshot
 
@@ -189,9 +189,9 @@ wide AS (
   FROM w0)"""
 
 
-def raw_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_results(spark: SparkSession, sf_dir: str, wide: DataFrame | None = None) -> DataFrame:
     """The efforts as an export would hold them: everything is text."""
-    wide = wide_seconds(spark, sf_dir)
+    wide = wide_seconds(spark, sf_dir) if wide is None else wide
     blank = F.when(F.col("status") == "O", "-").when(F.col("status") == "F", "")
     first = F.when(F.col("s1").isNull(), blank).otherwise(export_time(F.col("s1")))
     later = {
@@ -232,9 +232,10 @@ def aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+def problems(spark: SparkSession, sf_dir: str, wide: DataFrame | None = None) -> DataFrame:
     """Invalid legs: returned lines; the sum is invalid when the last leg's line is also closed."""
-    wide = apply_aliases(wide_seconds(spark, sf_dir), aliases(spark, sf_dir))
+    wide = wide_seconds(spark, sf_dir) if wide is None else wide
+    wide = apply_aliases(wide, aliases(spark, sf_dir))
     legs = F.array(
         *[
             F.struct(
@@ -250,9 +251,10 @@ def problems(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
+def overrides(spark: SparkSession, sf_dir: str, wide: DataFrame | None = None) -> DataFrame:
     """Efforts listed on the wrong course: the dearest orders belong to the intermediate course."""
-    wide = apply_aliases(wide_seconds(spark, sf_dir), aliases(spark, sf_dir))
+    wide = wide_seconds(spark, sf_dir) if wide is None else wide
+    wide = apply_aliases(wide, aliases(spark, sf_dir))
     return wide.filter("price > 450000").select("date_ymd", "name", F.lit("int").alias("course"))
 
 
@@ -476,18 +478,23 @@ def facts_sql(select: str, *more: str) -> str:
     return sql(select, WIDE_SQL, NAMED_SQL, TIMED_SQL, FACTS_SQL, *more)
 
 
-def long_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = raw_results(spark, sf_dir)
+def long_rows(spark: SparkSession, sf_dir: str, wide: DataFrame | None = None) -> DataFrame:
+    raw = raw_results(spark, sf_dir, wide)
     return long_results(raw, [*RESULT_IDS, "participation_only", "race_ref", "race_link"])
 
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The full batch on the exports made from orders and lines."""
+    """The full batch on the exports made from orders and lines.
+
+    The efforts are written to the shared folder once: results, problems and overrides are made from
+    them, as they would be read from files.
+    """
+    wide = settle(wide_seconds(spark, sf_dir))
     return build_facts(
-        long_rows(spark, sf_dir),
+        long_rows(spark, sf_dir, wide),
         aliases=aliases(spark, sf_dir),
-        problems=problems(spark, sf_dir),
-        overrides=overrides(spark, sf_dir),
+        problems=problems(spark, sf_dir, wide),
+        overrides=overrides(spark, sf_dir, wide),
         bad_races=bad_races(spark, sf_dir),
         prehistory=prehistory_totals(history(spark, sf_dir), BEFORE_SEASON),
         newcomers=newcomers(spark, sf_dir),

@@ -45,6 +45,39 @@ RESULT_IDS = (
 )
 
 
+# What each step still reads; all else travels in one struct, which a sort or shuffle copies as a block.
+KEYS = ("season", "race_number", "date_ymd", "course", "is_champ", "name", "part", "started")
+MEASURES = ("duration_mins", "cumulative_mins", "overall_mins")
+FLAGS = ("split_valid", "cumulative_valid", "overall_valid")
+TIMING = (
+    "participation_only",
+    "split_valid",
+    "cumulative_valid",
+    "duration_seconds",
+    "overall_seconds",
+    "handicap_seconds",
+)
+COUNTING = (*KEYS, *MEASURES, *FLAGS)
+BESTING = (*COUNTING, "first_race")
+PLACING = (*COUNTING, "season_pb_leg", "season_pb_overall")
+
+
+def packed(df: DataFrame, keep: Sequence[str], into: str) -> DataFrame:
+    """All columns but ``keep`` and earlier packs in one struct column.
+
+    The windows of the batch would otherwise copy each of some sixty columns at every sort, in
+    generated methods too long for the virtual machine to compile.
+    """
+    rest = [c for c in df.columns if c not in keep and not c.startswith("__pack")]
+    others = [c for c in df.columns if c not in rest]
+    return df.select(*others, F.struct(*rest).alias(f"__pack_{into}"))
+
+
+def unpacked(df: DataFrame) -> DataFrame:
+    packs = [c for c in df.columns if c.startswith("__pack")]
+    return df.select(*[c for c in df.columns if c not in packs], *[f"{p}.*" for p in packs])
+
+
 def long_results(wide: DataFrame, ids: Sequence[str] = RESULT_IDS) -> DataFrame:
     """Raw wide results → one row per started competitor and leg."""
     renamed = cast_places(mark_started(wide)).withColumns(
@@ -214,11 +247,11 @@ def build_facts(
     cleaned = cleaned_results(long, aliases, problems, overrides, clock_races)
     if dupe_dates is not None:
         cleaned = reconcile.drop_cross_course_dupes(cleaned, dupe_dates, hot=hot_name)
-    parsed = parsed_results(cleaned)
+    parsed = packed(parsed_results(cleaned), [*KEYS, *TIMING], "results")
     if not hot_name:
         # every key of the following steps starts from the name: one exchange for all of them
         parsed = parsed.repartition("name")
-    facts = timed_results(parsed, bad_races, hot_name)
-    facts = counted_results(facts, prehistory, newcomers, hot_name)
-    facts = best_results(facts, hot_name)
-    return labelled_results(placed_results(facts, hot_race, hot_record))
+    facts = packed(timed_results(parsed, bad_races, hot_name), COUNTING, "times")
+    facts = packed(counted_results(facts, prehistory, newcomers, hot_name), BESTING, "counts")
+    facts = packed(best_results(facts, hot_name), [*PLACING, "first_race"], "bests")
+    return labelled_results(unpacked(placed_results(facts, hot_race, hot_record)))
