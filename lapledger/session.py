@@ -26,7 +26,7 @@ def shared_folder(spark: SparkSession) -> str:
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that every executor can reach")
     folder = tempfile.mkdtemp(prefix="lapledger-")
     spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return folder  # getCheckpointDir names it from now on
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -35,9 +35,12 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Cut the lineage: the rows go to the shared folder once and later steps read them there."""
-    spark = df.sparkSession
-    folder = shared_folder(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    """Cut the lineage: the rows are written to the shared folder once and later steps read them there.
+
+    Parquet lets each later step read only its columns and tells Spark the size for its joins. What
+    Spark inferred about the columns on the way is cut as well, which a checkpoint would keep and the
+    optimizer would work through again at every step.
+    """
+    path = new_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

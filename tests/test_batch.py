@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 
 from lapledger.operators import checks, reconcile
 from lapledger.plans import reports
-from lapledger.plans.facts import build_facts, long_results
+from lapledger.plans.facts import (
+    build_facts,
+    cleaned_results,
+    long_results,
+    parsed_results,
+    timed_results,
+)
 from lapledger.sources import readers, writers
 
 HEAD_FULL = "Place\tBib\tName\tFirst name\tLast name\tTime\tLap 1\tLap 2\tLap 3\tHandicap"
@@ -148,23 +154,36 @@ def test_records_and_reports(facts):
     assert {r["name"]: r["entries_total"] for r in board}["Ann O'Neil"] == 2
 
 
-def test_hot_batch_equals_plain_batch(loaded, facts, spark):
-    """With a limit of two rows every competitor, race and course is cut into blocks."""
-    _, _, results = loaded
-    wide = results.withColumns({"participation_only": F.lit(False)})
-    ids = [
-        "season", "race_number", "date_ymd", "race_type", "course", "is_champ", "bib", "name",
-        "place_import", "time_overall_import", "handicap_import", "started", "participation_only",
-    ]
-    plain = build_facts(long_results(wide, ids), hot=[False, False, False])
+IDS = [
+    "season", "race_number", "date_ymd", "race_type", "course", "is_champ", "bib", "name",
+    "place_import", "time_overall_import", "handicap_import", "started", "participation_only",
+]
+
+
+@pytest.fixture
+def two_rows_per_task(spark):
     spark.conf.set("spark.lapledger.groupRows", "2")
-    try:
-        blocks = build_facts(long_results(wide, ids))
-        assert sorted(blocks.columns) == sorted(plain.columns)
-        assert blocks.select(plain.columns).exceptAll(plain).isEmpty()
-        assert blocks.count() == plain.count()
-    finally:
-        spark.conf.unset("spark.lapledger.groupRows")
+    yield
+    spark.conf.unset("spark.lapledger.groupRows")
+
+
+def test_hot_records_equal_plain_records(loaded, spark, two_rows_per_task):
+    """With a limit of two rows every course is cut into blocks."""
+    long = long_results(loaded[2].withColumn("participation_only", F.lit(False)), IDS)
+    plain = build_facts(long, hot=[False, False, False])
+    blocks = build_facts(long, hot=[False, False, True])
+    assert sorted(blocks.columns) == sorted(plain.columns)
+    assert blocks.select(plain.columns).exceptAll(plain).isEmpty()
+    assert blocks.count() == plain.count()
+
+
+def test_hot_efforts_equal_plain_efforts(loaded, spark, two_rows_per_task):
+    """With a limit of two rows every effort is cut into blocks."""
+    long = long_results(loaded[2].withColumn("participation_only", F.lit(False)), IDS)
+    parsed = parsed_results(cleaned_results(long))
+    plain, blocks = timed_results(parsed, hot=False), timed_results(parsed, hot=True)
+    assert blocks.select(plain.columns).exceptAll(plain).isEmpty()
+    assert blocks.count() == plain.count()
 
 
 def test_checks(facts, spark):
