@@ -53,7 +53,8 @@ def invalidate(
         bad = bad_races.select(on).distinct().withColumn("__bad", F.lit(True))
         joined = df.join(bad, on, "left")
         lost = lost | F.col("__bad").isNotNull()
-    flags = {f: F.when(lost, F.lit(False)).otherwise(F.col(f)) for f in VALID_FLAGS}
+    known = [flag for flag in VALID_FLAGS if flag in df.columns]
+    flags = {f: F.when(lost, F.lit(False)).otherwise(F.col(f)) for f in known}
     return joined.withColumns(flags).select(*df.columns)
 
 

@@ -129,7 +129,8 @@ def timed_results(
     parsed: DataFrame, bad_races: DataFrame | None = None, hot: bool = False
 ) -> DataFrame:
     """Settled seconds and minutes of each effort, with its validity."""
-    agreed = invalidate(reconcile.settled_times(parsed, hot=hot), bad_races)
+    # totals are reconciled by validity, so whole bad races lose theirs before
+    agreed = reconcile.settled_times(invalidate(parsed, bad_races), hot=hot)
     minutes = agreed.withColumns(
         {
             "duration_mins": F.col("duration_seconds") / 60,
