@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapledger.llm import chat, html, quality, toxicity
+from lapledger.llm import chat, html, ngram_join, quality, substrings, toxicity, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,6 +36,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.similar(table(spark, sf_dir, "documents"), width=4, percent=85)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
 @query
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select(
@@ -49,6 +55,12 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.formatted_turns(rows.unionByName(own)))
 
 
+@query
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
+
+
 @query
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extracted(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
@@ -61,3 +73,9 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"),
         *["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
     )
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
