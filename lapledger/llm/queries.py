@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapledger.llm import chat, html, ngram_join, quality, substrings, toxicity, vectors
+from lapledger.llm import chat, html, mixing, ngram_join, packing, quality, substrings, toxicity, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,6 +23,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer() -> str:
+    """The file of the tokenizer that documents are packed with."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 @query
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
@@ -66,6 +73,12 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extracted(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
 
 
+@query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mixed(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rated = quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -75,6 +88,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = packing.packed(table(spark, sf_dir, "documents"), tokenizer())
+    return found.withColumnsRenamed({"id": "doc_id", "crc": "ids_crc32"})
+
+
 @query
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.without_repeats(table(spark, sf_dir, "documents"))
