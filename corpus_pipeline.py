@@ -1,23 +1,62 @@
-"""The corpus pipeline: documents go through the operators below, one stage after another."""
+"""The corpus pipeline: documents go through five operators, one stage after another.
+
+Each stage takes all rows that the one before it kept and returns the columns of documents, but for the last,
+which returns the packed pieces. Rows with a null id pass all stages but cannot be told apart, so that what the
+rules and the joins say about them has no effect; rows that share an id share its fate.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapledger.llm import quality
+from lapledger.llm import line_dedup, mixing, ngram_join, packing, quality
+from lapledger.llm.queries import tokenizer
 from lapledger.llm.tables import Shelf
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules keep. All rows of an id share a fate only if each of them is kept."""
+    """Documents that the rules keep."""
     rated = quality.judged(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return docs.select(*COLUMNS).join(rated.filter(~F.col("kept")).select(F.col("id").alias("doc_id")), "doc_id", "left_anti")
+    rejected = rated.filter(~F.col("kept")).select(F.col("id").alias("doc_id"))
+    return docs.select(*COLUMNS).join(rejected, "doc_id", "left_anti")
+
+
+def unique_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that repeat earlier ones or nearly do."""
+    cleaned = line_dedup.without_repeats(docs.select(*COLUMNS))
+    return cleaned.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def unique_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates (80 % of their five-word shingles) the document with the smallest id."""
+    found = ngram_join.similar(docs, width=5, percent=80)
+    copies = found.filter(F.col("id") != F.col("component_id")).select(F.col("id").alias("doc_id")).distinct()
+    return docs.select(*COLUMNS).join(copies, "doc_id", "left_anti")
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them. Rows that share an id share its copies, rounded down."""
+    taken = mixing.mixed(docs).groupBy(F.col("id").alias("doc_id")).agg(F.floor(F.sum("copies") / F.count(F.lit(1))).alias("copies"))
+    rows = docs.select(*COLUMNS).join(taken.filter("copies > 0"), "doc_id")
+    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(*COLUMNS)
+
+
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in sequences of 2048 tokens."""
+    return packing.packed(docs, tokenizer()).withColumnsRenamed({"id": "doc_id", "crc": "ids_crc32"})
 
 
-STAGES = [("quality rules", quality_rules)]
+STAGES = [
+    ("quality rules", quality_rules),
+    ("line dedup", unique_lines),
+    ("n-gram Jaccard join", unique_documents),
+    ("mixing sources to target weights", mixed_sources),
+    ("best-fit packing", packed_sequences),
+]
+#: Thresholds from labels, components, balanced sampling and tokens are beyond SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
@@ -25,6 +64,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; each result is written to the shared folder before the next stage reads it."""
     shelf = Shelf(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = shelf.put(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    for number, (_, stage) in enumerate(STAGES[:-1]):
+        docs = shelf.put(stage(spark, docs, sf_dir), f"stage-{number}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapledger.llm import chat, html, mixing, ngram_join, packing, quality, substrings, toxicity, vectors
+from lapledger.llm import chat, html, line_dedup, mixing, ngram_join, packing, quality, substrings, toxicity, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -68,6 +68,14 @@ def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
 
 
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.removals(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_lines", F.size("removed").alias("n_removed"), F.array_join("removed", ",").alias("removed_lines")
+    )
+
+
 @query
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extracted(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
