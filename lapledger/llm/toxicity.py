@@ -98,8 +98,8 @@ def fitted(rows: list[np.ndarray], truth: np.ndarray, epochs: int = EPOCHS, seed
     good, bad = int((truth == 0).sum()), int((truth == 1).sum())
     if not good or not bad:
         rate = (bad + 0.5) / (good + bad + 1) if good + bad else 0.25
-        zeros = np.zeros(places, np.float32)
-        return Machine(float(np.log(rate / (1 - rate))), zeros, np.zeros((places, FACTORS), np.float32), zeros)
+        zeros = (np.zeros(shape, np.float32) for shape in (places, (places, FACTORS), places))
+        return Machine(float(np.log(rate / (1 - rate))), *zeros)
     scales = term_scales(rows, truth)
     weights = np.zeros(places, np.float32)
     factors = random.normal(0, 0.01, (places, FACTORS)).astype(np.float32)
@@ -130,7 +130,9 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """
     truth = labels.select(F.col(id_col).cast("long").alias("id"), F.col("toxic").cast("int").alias("toxic")).dropna()
     chosen = truth.distinct().orderBy(F.xxhash64("id"), "id", "toxic").limit(most)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).dropna().join(chosen, "id")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).dropna()
+    # the sample has a fixed bound, so it is sent to the documents and only its own rows are shuffled
+    rows = rows.join(F.broadcast(chosen), "id")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Terms()
@@ -153,7 +155,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             }
         )
 
-    sample = rows.mapInArrow(hashed, "id long, toxic int, terms binary").coalesce(1)
+    sample = rows.mapInArrow(hashed, "id long, toxic int, terms binary").repartition(1)
     found = sample.mapInPandas(fit, "bias double, places binary, weights binary, factors binary, scales binary").first()
     model = fitted([], np.zeros(0))
     if found:
