@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 import sys
 import zlib
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -26,31 +27,57 @@ LENGTH = 2_048
 BLOCK_ROWS = 20_000
 #: Of a block's bins, those filled less than this share go to the next round, the emptiest eighth at most.
 FULL, PASSED_ON = 0.98, 8
-#: Words that a worker remembers the tokens of.
-WORDS = 400_000
+#: Words, and words without marks and capitals, that a worker remembers the tokens of.
+WORDS = 600_000
+MARKS = ".,!?;:|#%&$*)"
+#: Letters below this are composed, have one lower case each, and need no normalization (but for the dotted I).
+PLAIN, DOTTED = "\u0250", "\u0130"
+
+
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if it is visible, else the next free one."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = iter(range(0x100, 0x200))
+    return [chr(b) if b in shown else chr(next(others)) for b in range(256)]
 
 
 class Tokens(dict):
-    """Token ids of a word (as bytes), remembered. Tokens never reach over a space or a line feed."""
+    """Token ids of a word as little-endian 32-bit numbers, remembered.
+
+    Tokens never reach over a space or a line feed, nor from letters to marks. So a word of plain letters, with or
+    without marks behind it, is looked up by its letters in lower case; any other word is given to the tokenizer.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.letters, self.known = self.tokenizer.model, byte_letters(), {}
+
+    def _letters(self, word: str) -> bytes:
+        if (found := self.known.get(word)) is None:
+            if len(self.known) >= WORDS:
+                self.known.clear()
+            told = word if word.isascii() else "".join(self.letters[b] for b in word.encode())
+            found = self.known[word] = array("I", [t.id for t in self.model.tokenize(told)]).tobytes()
+        return found
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= WORDS:
+            self.clear()
+        head = word.rstrip(MARKS)
+        if head.isalpha() and max(head) < PLAIN and DOTTED not in head:
+            ids = self._letters(head.lower())
+            if head != word:
+                ids += self[word[len(head) :]]
+        else:
+            ids = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        self[word] = ids
+        return ids
 
     def of(self, text: str) -> bytes:
-        """Little-endian 32-bit ids of a text."""
-        words = text.replace("\n", " ").split(" ")
-        fresh = {w for w in words if w not in self}
-        if fresh:
-            if len(self) + len(fresh) > WORDS:
-                self.clear()
-                fresh = set(words)
-            some = list(fresh)
-            for word, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self[word] = np.array(found.ids, np.uint32).tobytes()
-        return b"".join(map(self.__getitem__, words))
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 def tokens(path: str) -> Tokens:
