@@ -122,13 +122,10 @@ def participation_histogram(spark, sf_dir):
 @query(
     "participation_histogram_names",
     sql(
-        """SELECT entries_total, text_number, count(*) AS competitors, string_agg(name || CASE
-          WHEN pos = n THEN '' WHEN pos % (n // 20 + 1) = 0 THEN chr(10) ELSE ', ' END, '' ORDER BY pos)
-          AS names_text
-        FROM (SELECT *, CAST((pos - 1) // 1000 + 1 AS INTEGER) AS text_number FROM (
-          SELECT *, row_number() OVER (PARTITION BY entries_total ORDER BY name_last, name) AS pos,
-            count(*) OVER (PARTITION BY entries_total) AS n FROM last))
-        GROUP BY 1, 2""",
+        """SELECT entries_total, n AS competitors, CAST(pos AS INTEGER) AS position, name, CASE
+          WHEN pos = n THEN '' WHEN pos % (n // 20 + 1) = 0 THEN chr(10) ELSE ', ' END AS separator
+        FROM (SELECT *, row_number() OVER (PARTITION BY entries_total ORDER BY name_last, name) AS pos,
+          count(*) OVER (PARTITION BY entries_total) AS n FROM last)""",
         LAST_SQL,
     ),
 )
@@ -553,7 +550,15 @@ def pois_near_course(spark, sf_dir):
 @query(
     "race_pb_headline",
     sql(
-        """SELECT season, race_number, course, is_champ,
+        """SELECT * EXCLUDE (told), competitors || ' competitors entered the course' || CASE WHEN new_pb_legs > 0 THEN
+          ', achieving ' || new_pb_legs || ' new split PBs: ' || CASE len(told) WHEN 1 THEN told[1]
+            WHEN 2 THEN told[1] || ' and ' || told[2] ELSE told[1] || ', ' || told[2] || ', and ' || told[3] END
+          ELSE '' END || '.' AS sentence
+        FROM (SELECT *, list_filter([
+            CASE WHEN "new_pb_Swim" > 0 THEN "new_pb_Swim" || ' in the pool' END,
+            CASE WHEN "new_pb_Ride" > 0 THEN "new_pb_Ride" || ' on the bike' END,
+            CASE WHEN "new_pb_Run" > 0 THEN "new_pb_Run" || ' on the run' END], lambda x: x IS NOT NULL) AS told
+        FROM (SELECT season, race_number, course, is_champ,
           count(CASE WHEN part = 'Swim' THEN 1 END) AS competitors,
           CAST(0 AS BIGINT) AS new_pb_overall,
           count(CASE WHEN pb AND part = 'Swim' AND course <> 'teams' THEN 1 END) AS "new_pb_Swim",
@@ -563,7 +568,7 @@ def pois_near_course(spark, sf_dir):
         FROM (SELECT *, coalesce(split_valid AND duration_mins = min(CASE WHEN split_valid
             THEN duration_mins END) OVER (PARTITION BY name, season, course, part ORDER BY date_ymd), false)
             AND row_number() OVER (PARTITION BY name, season, part ORDER BY date_ymd) <> 1 AS pb
-          FROM leg_times) GROUP BY 1, 2, 3, 4""",
+          FROM leg_times) GROUP BY 1, 2, 3, 4))""",
         WIDE_SQL,
         LEG_TIMES_SQL,
     ),

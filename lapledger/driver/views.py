@@ -8,7 +8,7 @@ are exact in any order of addition.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lapledger.functions.times import seconds_short
@@ -28,6 +28,8 @@ from lapledger.sources.readers import history_long
 from lapledger.sources.writers import load_snapshot, save_snapshot
 
 BEFORE_SEASON = "1998-1999"
+#: A customer's next order on a date belongs to the entrant so many numbers on.
+NEXT_ENTRANT = 1_000_000_000
 YEARS = tuple(range(1995, 2002))
 SEASON_HEADERS = tuple(f"'{y % 100:02d}-{(y + 1) % 100:02d}" for y in YEARS)
 
@@ -96,24 +98,29 @@ efforts AS (
 
 
 def wide_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per effort with the seconds and marks of its legs: two aggregations and one join."""
-    orders = table(spark, sf_dir, "orders").groupBy(
-        "o_custkey", F.to_date("o_orderdate").alias("date_ymd")
-    )
-    first = orders.agg(
-        F.min("o_orderkey").alias("o_orderkey"),
-        F.min_by("o_orderpriority", "o_orderkey").alias("priority"),
-        F.min_by("o_orderstatus", "o_orderkey").alias("status"),
-        F.min_by("o_totalprice", "o_orderkey").alias("price"),
+    """One row per order, an effort, with the seconds and marks of its legs.
+
+    A customer's further orders on a date are efforts of further entrants, with numbers of their own. A leg
+    lasts as long as the prices of all its lines add up to.
+    """
+    date = F.to_date("o_orderdate")
+    again = F.row_number().over(Window.partitionBy("o_custkey", date).orderBy("o_orderkey")) - 1
+    first = table(spark, sf_dir, "orders").select(
+        (F.col("o_custkey") + F.lit(NEXT_ENTRANT) * again).alias("o_custkey"),
+        date.alias("date_ymd"),
+        "o_orderkey",
+        F.col("o_orderpriority").alias("priority"),
+        F.col("o_orderstatus").alias("status"),
+        F.col("o_totalprice").alias("price"),
     )
     leg = (F.col("l_linenumber") - 1) % 3
     returned = F.col("l_returnflag") == "R"
     measures = []
     for i in range(3):
         mine = leg == i
-        low = F.min(F.when(mine, F.col("l_extendedprice")))
+        cents = F.sum(F.when(mine, F.round(F.col("l_extendedprice") * 100).cast("long")))
         measures += [
-            (F.floor(low / 12.5) / 2).alias(f"s{i + 1}"),
+            (F.floor(cents / 1250) / 2).alias(f"s{i + 1}"),
             F.bool_or(mine & returned).alias(f"r{i + 1}"),
         ]
     lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
@@ -151,15 +158,16 @@ def wide_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 WIDE_SQL = """
 o1 AS (
-  SELECT o_custkey, CAST(o_orderdate AS DATE) AS date_ymd, min(o_orderkey) AS o_orderkey,
-         arg_min(o_orderpriority, o_orderkey) AS priority, arg_min(o_orderstatus, o_orderkey) AS status,
-         arg_min(o_totalprice, o_orderkey) AS price
-  FROM orders GROUP BY 1, 2),
+  SELECT o_custkey + 1000000000 * (row_number() OVER (
+           PARTITION BY o_custkey, CAST(o_orderdate AS DATE) ORDER BY o_orderkey) - 1) AS o_custkey,
+         CAST(o_orderdate AS DATE) AS date_ymd, o_orderkey, o_orderpriority AS priority,
+         o_orderstatus AS status, o_totalprice AS price
+  FROM orders),
 lines AS (
   SELECT l_orderkey,
-         floor(min(CASE WHEN (l_linenumber - 1) % 3 = 0 THEN l_extendedprice END) / 12.5) / 2 AS s1,
-         floor(min(CASE WHEN (l_linenumber - 1) % 3 = 1 THEN l_extendedprice END) / 12.5) / 2 AS s2,
-         floor(min(CASE WHEN (l_linenumber - 1) % 3 = 2 THEN l_extendedprice END) / 12.5) / 2 AS s3,
+         floor(sum(CASE WHEN (l_linenumber - 1) % 3 = 0 THEN CAST(round(l_extendedprice * 100) AS BIGINT) END) / 1250) / 2 AS s1,
+         floor(sum(CASE WHEN (l_linenumber - 1) % 3 = 1 THEN CAST(round(l_extendedprice * 100) AS BIGINT) END) / 1250) / 2 AS s2,
+         floor(sum(CASE WHEN (l_linenumber - 1) % 3 = 2 THEN CAST(round(l_extendedprice * 100) AS BIGINT) END) / 1250) / 2 AS s3,
          bool_or((l_linenumber - 1) % 3 = 0 AND l_returnflag = 'R') AS r1,
          bool_or((l_linenumber - 1) % 3 = 1 AND l_returnflag = 'R') AS r2,
          bool_or((l_linenumber - 1) % 3 = 2 AND l_returnflag = 'R') AS r3,
@@ -266,6 +274,7 @@ def bad_races(spark: SparkSession, sf_dir: str) -> DataFrame:
 def history_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders per customer and year, one column per year, as the historical totals are kept."""
     year = F.year("o_orderdate")
+    outside = F.raise_error(F.lit("an order lies outside the seasons of the list")).cast("long")
     counts = [
         F.count(F.when(year == y, True)).cast("int").alias(header)
         for y, header in zip(YEARS, SEASON_HEADERS)
@@ -273,7 +282,7 @@ def history_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "orders")
         .groupBy("o_custkey")
-        .agg(*counts, F.count(F.lit(1)).cast("int").alias("TOTAL"))
+        .agg(*counts, F.when(F.count_if(~year.isin(*YEARS)) > 0, outside).otherwise(F.count(F.lit(1))).cast("int").alias("TOTAL"))
         .select(
             F.concat(F.lit("K"), F.col("o_custkey").cast("string"), F.lit(" ENTRANT")).alias("Name"),
             F.col("o_custkey").cast("string").alias("Bib"),

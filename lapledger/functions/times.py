@@ -32,7 +32,7 @@ def time_seconds(text: Column) -> Column:
 
 def handicap_seconds(text: Column) -> Column:
     """A sign and a time: "-1:30.0" → -90."""
-    size = time_seconds(F.substring(text, 2, 1_000_000))
+    size = time_seconds(F.substr(text, F.lit(2)))
     return F.when(F.substring(text, 1, 1) == "-", -size).otherwise(size)
 
 
@@ -72,7 +72,7 @@ def seconds_short(seconds: Column, keep_hour: bool = False) -> Column:
     text = F.concat(*_clock(F.floor(count / 10), 1), F.lit("."), (count % 10).cast("string"))
     if keep_hour:
         return text
-    return F.when(count < 36000, F.substring(text, 3, 20)).otherwise(text)
+    return F.when(count < 36000, F.substr(text, F.lit(3))).otherwise(text)
 
 
 def unpadded_time(text: Column) -> Column:

@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapledger import spread
-from lapledger.functions.texts import counted, separator_after
+from lapledger.functions.texts import and_list, counted, separator_after
 from lapledger.model import FIRST_LEG, FULL_AND_DOUBLE, LEGS
 
 # Fixed value: the first season of the club's counts.
 FIRST_SEASON_YEAR = 1989
-NAMES_PER_TEXT = 1000
 
 
 def _entries(facts: DataFrame) -> DataFrame:
@@ -97,31 +96,20 @@ def participation_histogram_names(
     keys: Sequence[str] = (),
     order: Sequence[str] = ("name_last", "name_first", "name"),
     per_column: int = 20,
-    per_text: int = NAMES_PER_TEXT,
     hot: bool | None = None,
 ) -> DataFrame:
-    """Who has each total: the tooltip names by surname, in numbered texts.
+    """Who has each total: a row for each name by surname, with its place and what follows it in the tooltip.
 
-    A text holds at most ``per_text`` names, so a total shared by very many competitors becomes many
-    rows, which put together in order give the whole list. A usual chart has one row per total.
+    ``name`` and ``separator`` of a total's rows, put together by ``position``, are its text in a chart. No list
+    is gathered, however many competitors share a total.
     """
     groups = [*keys, total]
     by = [key for name in order for key in spread.nulls_last(name)]
-    placed = spread.running(entries, groups, by, {"__at": spread.position()}, hot)
-    counts = entries.groupBy(*groups).agg(F.count(F.lit(1)).alias("__n"))
+    placed = spread.running(entries, groups, by, {"position": spread.position()}, hot)
+    counts = entries.groupBy(*groups).agg(F.count(F.lit(1)).alias("competitors"))
     sized = spread.attach(placed, counts, groups)
-    cell = F.concat("name", separator_after(F.col("__at"), F.col("__n"), per_column))
-    cells = sized.select(
-        *groups,
-        (F.floor((F.col("__at") - 1) / per_text) + 1).cast("int").alias("text_number"),
-        F.struct(F.col("__at"), cell.alias("cell")).alias("__cell"),
-    )
-    listed = cells.groupBy(*groups, "text_number").agg(
-        F.count(F.lit(1)).alias("competitors"),
-        F.array_sort(F.collect_list("__cell")).alias("__cells"),
-    )
-    text = F.array_join(F.transform("__cells", lambda c: c["cell"]), "")
-    return listed.withColumn("names_text", text).drop("__cells")
+    separator = separator_after(F.col("position"), F.col("competitors"), per_column)
+    return sized.select(*groups, "competitors", "position", "name", separator.alias("separator"))
 
 
 def entries_by_race_course(facts: DataFrame) -> DataFrame:
@@ -288,7 +276,23 @@ def race_pb_headline(facts: DataFrame) -> DataFrame:
     for name in ["new_pb_overall", *[f"new_pb_{leg}" for leg in LEGS]]:
         counts = counts.withColumn(name, F.when(teams, F.lit(0)).otherwise(F.col(name)).cast("long"))
     splits = sum((F.col(f"new_pb_{leg}") for leg in LEGS), F.lit(0)).cast("long")
-    return counts.withColumn("new_pb_legs", splits)
+    counts = counts.withColumn("new_pb_legs", splits)
+
+    def told(name: str, words: str) -> Column:
+        return F.when(F.col(name) > 0, F.concat(F.col(name).cast("string"), F.lit(words)))
+
+    where = and_list(F.array_compact(F.array(*[told(f"new_pb_{leg}", f" {PLACES[leg]}") for leg in LEGS])))
+    parts = [told("new_pb_overall", " new overall PBs"), F.concat(told("new_pb_legs", " new split PBs: "), where)]
+    achieved = F.array_compact(F.array(*parts))
+    return counts.withColumn(
+        "sentence",
+        F.concat(
+            F.col("competitors").cast("string"),
+            F.lit(" competitors entered the course"),
+            F.when(F.size(achieved) > 0, F.concat(F.lit(", achieving "), and_list(achieved))).otherwise(""),
+            F.lit("."),
+        ),
+    )
 
 
 def best_times(facts: DataFrame, eligible: str = "handicap_eligible") -> DataFrame:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from lapledger import spread
 from lapledger.model import LEGS, OWN
 
-OWN_OVERALL = ("name", "season", "course", "part")
 OWN_EFFORT = ("name", "season", "course", "race_number")
 IN_ORDER = ("date_ymd", "is_champ", "race_number")
 # measure → (minutes, validity flag)

@@ -17,7 +17,6 @@ from lapledger.session import settle
 from lapledger.spread import attach
 
 DAY = "d/M/yyyy"
-HEADERS_TO_SEND = 200_000
 
 # Column headings of the exports, every spelling that occurs.
 EXPORT_COLUMNS = {
@@ -102,11 +101,10 @@ def read_results(
     )
     is_header = F.array_contains("__cells", "Bib") & F.array_contains("__cells", "Name")
     headers = lines.filter(is_header).select("__path", F.col("__cells").alias("__heads"))
-    # one row per file, written once; sent to all tasks only when the count says it is small
+    # one row per file, written once, so that Spark knows its size when it chooses the join
     headers = settle(headers.dropDuplicates(["__path"]))
-    small = headers.count() <= HEADERS_TO_SEND
     rows = lines.filter(~is_header & (F.size("__cells") > 1))
-    bound = attach(rows, headers, ["__path"], "inner", small)
+    bound = attach(rows, headers, ["__path"], "inner")
 
     def cell(spellings: Sequence[str]) -> Column:
         found = [

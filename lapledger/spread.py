@@ -2,13 +2,14 @@
 
 A plain window puts each group into one task. That is the best plan while groups are small, and
 impossible when a group holds a third of a very large table. Each function here first asks, with one
-map-side combined count, whether any group is over the row limit. If none is, the plain window is
-used. If some are, those groups are cut into ordered blocks at sampled values of the sort key, the
-window runs per block, and what the earlier blocks add up to is joined back. Both ways give the same
-rows; only the work is divided differently.
-
-All choices are made by hashing the rows, never by partition numbers or random draws, so a task
-that is run again after a lost executor cuts the rows in the same places.
+map-side combined count, whether any group is over the row limit. If some are, only their rows take
+another way: Spark deals them out by ranges of the sort key, a window runs in each range, and what the
+earlier ranges of a group add up to is joined back. A hash of the whole row is the last sort field, so
+that rows with equal sort keys are dealt out too. Both ways give the same rows; only the work is divided
+differently.
+
+Ranges are written to the shared folder before they are used, so a task that is run again after a lost
+executor finds its rows in the same range.
 """
 
 from __future__ import annotations
@@ -24,13 +25,10 @@ from lapledger.session import settle
 
 LIMIT_SETTING = "spark.lapledger.groupRows"
 LIMIT_DEFAULT = 1_000_000
-BLOCKS_MAX = 4096
-BLOCKS_PER_LIMIT = 4
-SEARCH_STEPS = 16
-BROADCAST_GROUPS = 50_000
-BROADCAST_CUTS = 200_000
+#: Ranges for each time that the hot groups hold the limit; Spark's ranges are uneven by a small factor.
+RANGES_PER_LIMIT = 4
 
-ROWS, BLOCK, CUTS, HOT = "__rows", "__block", "__cuts", "__hot"
+ROWS, BLOCK, TIE = "__rows", "__block", "__tie"
 
 
 class Step(NamedTuple):
@@ -106,21 +104,10 @@ def hot_key_sets(
     return [(largest.get(number) or 0) > bound for number in numbers]
 
 
-def attach(
-    df: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    how: str = "left",
-    send: bool = False,
-) -> DataFrame:
-    """Join on equal keys where two missing keys are equal, keeping only the left copy of the keys.
-
-    ``send`` asks for a broadcast and is set by callers that have checked the size of ``right``.
-    """
+def attach(df: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join on equal keys where two missing keys are equal, keeping only the left copy of the keys."""
     others = [c for c in right.columns if c not in keys]
     renamed = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *others)
-    if send:
-        renamed = F.broadcast(renamed)
     matches = reduce(
         lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys]
     )
@@ -128,44 +115,16 @@ def attach(
     return joined.drop(*[f"__r_{k}" for k in keys])
 
 
-def _block_of(cuts: Column, key: Column) -> Column:
-    """How many cut values lie below the key: a binary search over the sorted array."""
-
-    def halve(state: Column, _: Column) -> Column:
-        low, high = state["low"], state["high"]
-        middle = F.floor((low + high) / 2).cast("int")
-        below = F.get(cuts, middle) < key
-        narrowed = F.struct(
-            F.when(below, middle + 1).otherwise(low).alias("low"),
-            F.when(below, high).otherwise(middle).alias("high"),
-        )
-        return F.when(low < high, narrowed).otherwise(state)
-
-    start = F.struct(F.lit(0).alias("low"), F.size(cuts).alias("high"))
-    rounds = F.sequence(F.lit(1), F.lit(SEARCH_STEPS))
-    return F.reduce(rounds, start, halve, lambda state: state["low"])
-
-
-def _with_blocks(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], limit: int
+def _in_ranges(
+    df: DataFrame, hot: DataFrame, keys: Sequence[str], order: Sequence[Column], limit: int
 ) -> DataFrame:
-    """Add the block number of each row: 0 for ordinary groups, an ordered cut for hot ones."""
-    hot = hot_groups(df, keys, limit)
-    few = hot.count()
-    key = F.struct(*[column.alias(f"o{i}") for i, column in enumerate(order)])
-    pieces = F.least(F.lit(BLOCKS_MAX), F.ceil(F.col(ROWS) / limit) * BLOCKS_PER_LIMIT)
-    every = F.greatest(F.lit(1), F.floor(F.col(ROWS) / pieces)).cast("long")
-    sampled = attach(
-        df.select(*keys, key.alias("__key")), hot, keys, "inner", few <= BROADCAST_GROUPS
-    )
-    cuts = (
-        sampled.filter(F.pmod(F.xxhash64("__key"), every) == 0)
-        .groupBy(*keys)
-        .agg(F.sort_array(F.collect_set("__key")).alias(CUTS))
-    )
-    marked = attach(df, cuts, keys, "left", few * BLOCKS_MAX <= BROADCAST_CUTS)
-    block = F.when(F.col(CUTS).isNotNull(), _block_of(F.col(CUTS), key)).otherwise(0)
-    return marked.withColumn(BLOCK, block).withColumn(HOT, F.col(CUTS).isNotNull()).drop(CUTS)
+    """The rows of the hot groups with the number of their range, ascending within each group."""
+    rows = attach(df, hot.select(*keys), keys, "left_semi")
+    rows = rows.withColumn(TIE, F.xxhash64(*df.columns))
+    held = hot.agg(F.sum(ROWS)).first()[0] or 0
+    ranges = int(held / limit * RANGES_PER_LIMIT) + 1
+    dealt = rows.repartitionByRange(ranges, *keys, *order, TIE)
+    return settle(dealt.withColumn(BLOCK, F.spark_partition_id()))
 
 
 def _within(step: Step, ordered) -> Column:
@@ -194,7 +153,7 @@ def _carried(step: Step, name: str, keys: Sequence[str]) -> Column:
 
 def _combined(step: Step, here: Column, before: Column) -> Column:
     if step.whole:
-        return F.when(F.col(HOT), before).otherwise(here)
+        return before
     if step.kind == "position":
         return (here + F.coalesce(before, F.lit(0))).cast("int")
     if step.kind == "total":
@@ -212,33 +171,37 @@ def running(
 ) -> DataFrame:
     """Add running columns per group in the given ascending order (its keys should be unique).
 
-    All columns of one call share one sort, those of the whole group too. ``hot`` tells whether groups over the limit exist; None means look.
+    All columns of one call share one sort, those of the whole group too. ``hot`` tells whether groups over
+    the limit exist; None means look.
     """
     keys, order = list(keys), list(order)
     bound = group_limit(df, limit)
     if hot is None:
         hot = any_hot(df, keys, bound)
+    ordered = Window.partitionBy(*keys).orderBy(*order)
     if not hot:
-        ordered = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns({n: _within(s, ordered) for n, s in columns.items()})
 
-    # the rows are read several times below, so what made them is computed once
-    blocks = _with_blocks(settle(df), keys, order, bound)
+    large = settle(hot_groups(df, keys, bound))
+    rest = attach(df, large.select(*keys), keys, "left_anti")
+    rest = rest.withColumns({n: _within(s, ordered) for n, s in columns.items()})
+    blocks = _in_ranges(df, large, keys, order, bound)
     grouped = [*keys, BLOCK]
-    in_block = Window.partitionBy(*grouped).orderBy(*order)
-    sums = blocks.filter(HOT).groupBy(*grouped).agg(
+    in_block = Window.partitionBy(*grouped).orderBy(*order, TIE)
+    sums = blocks.groupBy(*grouped).agg(
         *[_block_value(s).alias(f"__b_{n}") for n, s in columns.items()]
     )
     carried = sums.select(
         *grouped, *[_carried(s, f"__b_{n}", keys).alias(f"__c_{n}") for n, s in columns.items()]
     )
-    local = blocks.withColumns({f"__l_{n}": _within(s, in_block) for n, s in columns.items()})
+    local = blocks.withColumns(
+        {f"__l_{n}": F.lit(None) if s.whole else _within(s, in_block) for n, s in columns.items()}
+    )
     joined = attach(local, carried, grouped)
     done = joined.withColumns(
         {n: _combined(s, F.col(f"__l_{n}"), F.col(f"__c_{n}")) for n, s in columns.items()}
     )
-    extra = [BLOCK, HOT, *[f"__l_{n}" for n in columns], *[f"__c_{n}" for n in columns]]
-    return done.drop(*extra)
+    return rest.unionByName(done.select(*rest.columns))
 
 
 def group_values(
@@ -250,8 +213,7 @@ def group_values(
 ) -> DataFrame:
     """Add aggregates of the whole group to each of its rows.
 
-    Hot groups are aggregated with map-side combining and joined back; their rows pass the window of
-    the ordinary groups spread over many small salts.
+    Hot groups are aggregated with map-side combining and joined back; the others pass a window.
     """
     keys = list(keys)
     bound = group_limit(df, limit)
@@ -261,23 +223,14 @@ def group_values(
     if not hot:
         return df.withColumns({n: c.over(group) for n, c in columns.items()})
 
-    df = settle(df)
     sizes = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias(ROWS), *[c.alias(f"__g_{n}") for n, c in columns.items()]
-    )
-    large = sizes.filter(F.col(ROWS) > bound)
-    marked = attach(df, large, keys, "left", large.count() <= BROADCAST_GROUPS)
-    pieces = (F.col(ROWS) / bound).cast("long") + 1
-    salt = F.when(F.col(ROWS).isNotNull(), F.pmod(F.xxhash64(*df.columns), pieces)).otherwise(0)
-    salted = marked.withColumn(BLOCK, salt)
-    spread = Window.partitionBy(*keys, BLOCK)
-    done = salted.withColumns(
-        {
-            n: F.when(F.col(ROWS).isNotNull(), F.col(f"__g_{n}")).otherwise(c.over(spread))
-            for n, c in columns.items()
-        }
+        F.count(F.lit(1)).alias(ROWS), *[c.alias(n) for n, c in columns.items()]
     )
-    return done.drop(ROWS, BLOCK, *[f"__g_{n}" for n in columns])
+    large = settle(sizes.filter(F.col(ROWS) > bound).drop(ROWS))
+    rest = attach(df, large.select(*keys), keys, "left_anti")
+    rest = rest.withColumns({n: c.over(group) for n, c in columns.items()})
+    done = attach(df.drop(*columns), large, keys, "inner")
+    return rest.unionByName(done.select(*rest.columns))
 
 
 def shared_rank(

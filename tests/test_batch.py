@@ -34,33 +34,33 @@ def loaded(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("club")
     (root / "calendar.csv").write_text(
         "season,race_number,date_ymd,race_type,cancelled,scheduled,cancelled_reason,report_id\n"
-        "2020-2021,1,26/9/2020,Standard,,,,17\n"
-        "2020-2021,2,3/10/2020,Club Championships,,,,\n"
-        "2020-2021,3,10/10/2020,Standard,TRUE,,COVID,\n"
-        "2020-2021,4,17/10/2020,Standard,,FALSE,New Years,\n"
+        "2030-2031,1,28/9/2030,Standard,,,,17\n"
+        "2030-2031,2,5/10/2030,Club Championships,,,,\n"
+        "2030-2031,3,12/10/2030,Standard,TRUE,,COVID,\n"
+        "2030-2031,4,19/10/2030,Standard,,FALSE,New Years,\n"
     )
     export(
-        root, "2020-2021", "2020-09-26", "full", HEAD_FULL,
+        root, "2030-2031", "2030-09-28", "full", HEAD_FULL,
         [
-            "1\t1\tANN O'NEIL\tAnn\tO'Neil\t51:06.8\t8:18.9\t25:12.1\t17:35.8\t",
-            "2\t2\tbo mcrae\tBo\tMcRae\t52:06.8\t9:18.9\t25:12.1\t17:35.8\t",
-            "3\t3\tCy Dee\tCy\tDee\t52:06.8\t9:18.9\t25:12.1\t17:35.8\t",
+            "1\t1\tANN O'NEIL\tAnn\tO'Neil\t52:40.0\t8:25.0\t26:05.0\t18:10.0\t",
+            "2\t2\tbo mcrae\tBo\tMcRae\t53:40.0\t9:25.0\t26:05.0\t18:10.0\t",
+            "3\t3\tCy Dee\tCy\tDee\t53:40.0\t9:25.0\t26:05.0\t18:10.0\t",
             "-\t4\tDi Gone\tDi\tGone\tDNS\t\t\t\t",
             "-\t5\tEd Half\tEd\tHalf\tDNF\t9:00.0\t26:00.0\t-\t",
         ],
     )
     export(
-        root, "2020-2021", "2020-10-03", "champ", HEAD_OLD,
+        root, "2030-2031", "2030-10-05", "champ", HEAD_OLD,
         ["1\tann o'neil\t50:00.0\t8:00.0\t25:00.0\t17:00.0"], bom=False,
     )
     export(
-        root, "2020-2021", "2020-10-03", "full", HEAD_FULL,
+        root, "2030-2031", "2030-10-05", "full", HEAD_FULL,
         [
             "1\t2\tBo Mcrae\tBo\tMcRae\t55:00.0\t8:00.0\t25:00.0\t17:00.0\t+5:00.0",
             "2\t3\tCy Dee\tCy\tDee\t45:00.0\t0:30.0\t25:00.0\t17:00.0\t-1:00.0",
         ],
     )
-    export(root, "2020-2021", "2020-10-03", "aqua", HEAD_OLD, ["9\tNo Body\t1:00.0\t1:00.0\t-\t-"])
+    export(root, "2030-2031", "2030-10-05", "aqua", HEAD_OLD, ["9\tNo Body\t1:00.0\t1:00.0\t-\t-"])
     calendar = readers.expanded_calendar(readers.read_calendar(spark, str(root / "calendar.csv")))
     results = readers.read_results(spark, str(root / "exports"), calendar)
     return root, calendar, results
@@ -83,7 +83,7 @@ def facts(loaded, spark):
     ]
     aliases = spark.createDataFrame([("cy dee", "CYRIL dee")], "name_in string, name_out string")
     problems = spark.createDataFrame(
-        [(dt.date(2020, 9, 26), "Bo McRae", "Swim", False, True)] * 2,
+        [(dt.date(2030, 9, 28), "Bo McRae", "Swim", False, True)] * 2,
         "date_ymd date, name string, part string, split_valid boolean, cumulative_valid boolean",
     )
     return build_facts(long_results(wide, ids), aliases, problems).cache()
@@ -146,9 +146,9 @@ def test_new_best_needs_an_earlier_race(facts):
 
 
 def test_records_and_reports(facts):
-    table = reports.record_table_overall(facts, "2020-2021", "full").collect()
+    table = reports.record_table_overall(facts, "2030-2031", "full").collect()
     assert [r["record_rank_overall"] for r in table] == sorted(r["record_rank_overall"] for r in table)
-    race = reports.race_table(facts, "2020-2021", 1, "full").collect()
+    race = reports.race_table(facts, "2030-2031", 1, "full").collect()
     assert [r["name"] for r in race] == ["Ed Half", "Ann O'Neil", "Bo McRae", "Cyril Dee"]
     board = reports.season_leaderboard(facts).collect()
     assert {r["name"]: r["entries_total"] for r in board}["Ann O'Neil"] == 2
@@ -212,4 +212,4 @@ def test_snapshot_is_partitioned_and_pruned(facts, spark, tmp_path):
     writers.save_snapshot(facts, path)
     back = writers.load_snapshot(spark, path)
     assert back.count() == facts.count()
-    assert (tmp_path / "facts" / "season=2020-2021").exists()
+    assert (tmp_path / "facts" / "season=2030-2031").exists()

@@ -56,11 +56,26 @@ def test_running_columns(rows):
     same(plain, blocks)
 
 
-def test_blocks_are_small(rows):
-    order = [*spread.nulls_last("value"), F.col("tie")]
-    blocks = spread._with_blocks(rows, ["key"], order, LIMIT)
-    largest = blocks.groupBy("key", spread.BLOCK).count().agg(F.max("count")).first()[0]
-    assert largest <= 4 * LIMIT
+def largest_range(df, keys, order, limit):
+    hot = spread.hot_groups(df, keys, limit)
+    ranges = spread._in_ranges(df, hot, keys, order, limit)
+    return ranges.groupBy(*keys, spread.BLOCK).count().agg(F.max("count")).first()[0]
+
+
+def test_ranges_are_small(rows):
+    assert largest_range(rows, ["key"], [*spread.nulls_last("value"), F.col("tie")], LIMIT) <= 2 * LIMIT
+
+
+@pytest.mark.parametrize("distinct", [1, 3, 300])
+def test_equal_sort_keys_are_dealt_out(spark, distinct):
+    df = spark.range(30_000).select(F.lit("hot").alias("key"), (F.col("id") % distinct).alias("at"), "id")
+    assert largest_range(df, ["key"], [F.col("at")], 1000) <= 2000
+    steps = {"place": spread.position(), "sum": spread.total(F.lit(1))}
+    placed = spread.running(df, ["key"], [F.col("at")], steps, limit=1000)
+    assert placed.filter("place != sum").isEmpty()
+    assert placed.select("place").distinct().count() == 30_000
+    after = placed.groupBy("at").agg(F.min("place").alias("low"), F.max("place").alias("high")).orderBy("at").collect()
+    assert all(a["high"] < b["low"] for a, b in zip(after, after[1:]))
 
 
 def test_group_values(rows):
