@@ -40,7 +40,8 @@ def unique_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them. Rows that share an id share its copies, rounded down."""
     taken = mixing.mixed(docs).groupBy(F.col("id").alias("doc_id")).agg(F.floor(F.sum("copies") / F.count(F.lit(1))).alias("copies"))
-    rows = docs.select(*COLUMNS).join(taken.filter("copies > 0"), "doc_id")
+    taken = taken.filter("copies > 0").withColumnRenamed("doc_id", "taken_id")
+    rows = docs.select(*COLUMNS).join(taken, F.col("doc_id").eqNullSafe(F.col("taken_id")))
     return rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(*COLUMNS)
 
 

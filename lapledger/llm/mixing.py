@@ -148,7 +148,7 @@ def mixed(
     while True:
         many = waiting.groupBy("number").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("blocks"))
         blocks = waiting.join(many, "number").withColumn("block", F.pmod(F.xxhash64("mark", F.lit(turn)), "blocks"))
-        flew = shelf.put(blocks.groupBy("number", "block").applyInPandas(fly, blocks.schema).select(*units.columns), "round")
+        flew = shelf.put(blocks.repartition("number", "block").groupBy("number", "block").applyInPandas(fly, blocks.schema).select(*units.columns), "round")
         waiting, turn = flew.filter("p > 0 and p < 1"), turn + 1
         done = done.unionByName(flew.filter("p <= 0 or p >= 1"))
         if waiting.isEmpty():
