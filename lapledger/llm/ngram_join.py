@@ -30,9 +30,8 @@ from lapledger.llm.words import mixed, random_table, run_hashes, word_hashes, wo
 #: Cells of the sketch of counts; each is sent to the tasks as one byte, 4 MB in all whatever the input.
 CELLS = 1 << 22
 BLOCK = 1 << 13
-#: The most shared shingles that a prefix may ask for, the cost of verifying a pair in rows of a posting list,
-#: and by how much each further shared shingle thins out the candidates.
-MATCHES, VERIFY_COST, THINNING = 4, 20, 4
+#: The most shared shingles that a prefix may ask for, and the cost of verifying a pair in rows of a posting list.
+MATCHES, VERIFY_COST = 4, 20
 
 
 def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
@@ -56,6 +55,11 @@ def least_overlap(n, percent: int):
     return (percent * n + 99) // 100
 
 
+def must_share(percent: int, n: Column, m: Column) -> Column:
+    """Shingles that sets of n and m must share to be similar."""
+    return F.floor((percent * (n + m) + 99 + percent) / (100 + percent))
+
+
 def sizes_and_counts(docs: DataFrame, width: int) -> DataFrame:
     """Rows of two kinds from one reading: ``id, n, key`` of each document, and ``block, counts`` of the sketch."""
 
@@ -174,27 +178,31 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
 
     raw = shelf.put(prefixes(rows, width, percent, levels), "prefixes")
     met = raw.groupBy("token").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
-    postings = (
-        raw.join(met, "token")
-        .groupBy("token", "key", "n")
-        .agg(F.min("id").alias("id"), F.min("place").alias("place"), F.min("f").alias("f"))
-    )
+    # copies of a set in several files count once
+    postings = raw.join(met, "token").groupBy("token", "key", "n").agg(F.min("id").alias("id"), F.min("place").alias("place"))
     postings = shelf.put(postings, "postings")
+    shelf.drop("prefixes")
+    met = postings.groupBy("token").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
+    postings = shelf.put(postings.join(met, "token"), "shared")
     overlap = F.expr(f"({percent} * n + 99) div 100")
     first = F.col("n") - overlap + 1
     longest = F.least("n", first + MATCHES - 1)
-    scans = [F.sum(F.when(F.col("place") < first + m, F.col("f") - 1).otherwise(0)) for m in range(1, MATCHES + 1)]
-    costs = [s + s * F.lit(VERIFY_COST / (m * THINNING ** (m - 1))) for m, s in enumerate(scans, 1)]
-    best, lowest = F.lit(1), costs[0]
-    for m, cost in enumerate(costs[1:], 2):
-        best, lowest = F.when(cost < lowest, m).otherwise(best), F.least(cost, lowest)
+    # candidates of m shared shingles are estimated by the m-th longest of the set's lists, as if each held the next
+    sorted_lists = F.sort_array(F.collect_list("f"), asc=False)
+    best, lowest = F.lit(1), F.lit(None).cast("double")
+    for m in range(1, MATCHES + 1):
+        within = F.col("place") <= F.col("n") - F.expr(f"(2 * {percent} * n + 99 + {percent}) div (100 + {percent})") + m
+        scan = F.sum(F.when(within, F.col("f") - 1).otherwise(0))
+        cost = scan + VERIFY_COST * (F.coalesce(F.get(sorted_lists, F.lit(m - 1)), F.lit(1)) - 1.0)
+        best, lowest = F.when(lowest.isNull() | (cost < lowest), m).otherwise(best), F.least(cost, lowest)
+    # a set with no shared shingle in its prefix is in no list
     choice = postings.groupBy("key", "n").agg(best.alias("wish"), (longest - F.count(F.lit(1))).alias("own"))
     asks = F.least(F.col("wish").cast("long"), overlap).alias("asks")
     lists = postings.join(choice, ["key", "n"]).select(
         "token", "id", "n", F.greatest("own", F.lit(0)).alias("own"), "place", asks, first.alias("first")
     )
     lists = shelf.put(lists.filter(F.col("place") < F.col("first") + F.col("asks")), "lists")
-    shelf.drop("prefixes", "postings")
+    shelf.drop("postings", "shared")
 
     # first against one set of each list
     centre = F.min(F.struct(F.col("own"), F.col("id"))).alias("c")
@@ -207,10 +215,25 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     # then all pairs of sets that share a list and are in different components
     marked = lists.join(reached, "id", "left").withColumn("component", F.coalesce("component", "id"))
     marked = shelf.put(marked, "marked")
-    groups = marked.select("token", "component").distinct()
-    apart = groups.join(groups.select("token", F.col("component").alias("component_y")), "token").filter("component < component_y")
+    # how much a component's sets can share, how small they are and how early they have the shingle rules out most
+    # other components in its lists, and then most of its own sets
+    groups = marked.groupBy("token", "component").agg(
+        F.max(F.col("n") - F.col("own")).alias("most"),
+        F.min("n").alias("least"),
+        F.min(F.col("place") - F.col("n")).alias("early"),
+        F.max("asks").alias("wants"),
+        F.count(F.lit(1)).alias("held"),
+    )
+    beside = groups.select("token", *[F.col(c).alias(f"{c}_y") for c in ("component", "most", "least", "early", "wants", "held")])
+    shared, wants = must_share(percent, F.col("least"), F.col("least_y")), F.least("wants", "wants_y")
+    near_enough = (F.least("most", "most_y") >= shared) & (F.greatest("early", "early_y") + shared <= wants)
+    # the component with fewer sets in the list is the first to be listed
+    fewer = F.struct("held", "component") < F.struct("held_y", "component_y")
+    apart = groups.join(beside, "token").filter(fewer & near_enough)
+    apart = apart.select("token", "component", "component_y", "least_y", "wants_y")
+    in_time = F.col("place") - F.col("n") + must_share(percent, F.col("n"), F.col("least_y")) <= F.least("asks", "wants_y")
     others = marked.select("token", *[F.col(c).alias(f"{c}_y") for c in ("component", "id", "n", "own", "place", "asks", "first")])
-    rest = apart.join(marked, ["token", "component"]).join(others, ["token", "component_y"])
+    rest = apart.join(marked, ["token", "component"]).filter(in_time).join(others, ["token", "component_y"])
     pairs = matched(rest, percent).join(tried, ["x", "y"], "left_anti")
     pairs = shelf.put(pairs, "pairs")
     far = verified(pairs, rows, width, percent, shelf)
@@ -236,7 +259,9 @@ def same_ids(own: DataFrame, same: DataFrame) -> DataFrame:
 def matched(rows: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs ``x`` < ``y`` with as many shared shingles in their prefixes as the less demanding asks for."""
     least = F.least("asks", "asks_y")
-    within = (F.col("place") < F.col("first") + least) & (F.col("place_y") < F.col("first_y") + least)
+    # what this pair must share leaves a shorter prefix of each than the least that any pair must
+    shared = must_share(percent, F.col("n"), F.col("n_y"))
+    within = (F.col("place") <= F.col("n") - shared + least) & (F.col("place_y") <= F.col("n_y") - shared + least)
     return (
         rows.filter(possible(percent) & within)
         .select(F.least("id", "id_y").alias("x"), F.greatest("id", "id_y").alias("y"), least.alias("least"), "token")
