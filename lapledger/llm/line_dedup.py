@@ -47,22 +47,22 @@ def keys(distinct: DataFrame, edits: int) -> DataFrame:
 
     Each edit changes three words at most, so the parities of the words' hashes differ in three bits for each.
     """
-    n, parts = F.col("n"), edits + 1
-
-    def entry(less: int, i: int, d: int) -> Column:
-        length = n - less
-        size = F.floor(length / parts).cast("int")
-        longer = length - size * parts  # so many of the last segments have one more
-        start = size * i + F.greatest(F.lit(0), longer - (parts - i)) + d
-        width = size + F.when(longer > parts - 1 - i, 1).otherwise(0)
-        key = F.xxhash64(F.lit(i), length, F.substring(F.col("line"), start + 1, width))
-        inside = (start >= 0) & (start + width <= n) & (width > 0)
-        return F.when(inside, F.struct(key.alias("key"), F.lit(less == 0 and d == 0).alias("indexed")))
-
+    parts = edits + 1
     bits = F.transform(F.split("line", " "), lambda w: F.call_function("shiftleft", F.lit(1), F.pmod(F.xxhash64(w), F.lit(31)).cast("int")))
     parity = F.aggregate(bits, F.lit(0), lambda x, b: x.bitwiseXOR(b))
-    wide = distinct.select("h", "n", parity.alias("parity"), F.array(*[entry(*s) for s in spots(edits)]).alias("entries"), "line")
-    return wide.select("h", "n", "parity", F.explode("entries").alias("e")).filter("e is not null").select("e.key", "h", "n", "parity", "e.indexed")
+    every = F.array(*[F.struct(F.lit(x).alias("less"), F.lit(i).alias("i"), F.lit(d).alias("d")) for x, i, d in spots(edits)])
+    # a row for each spot and then one short expression: one long expression for all is code that is never compiled
+    rows = distinct.withColumn("parity", parity).select("h", "n", "parity", "line", F.explode(every).alias("spot"))
+    i, length = F.col("spot.i"), F.col("n") - F.col("spot.less")
+    rows = rows.withColumns({"length": length, "size": F.floor(length / parts).cast("int")})
+    longer = F.col("length") - F.col("size") * parts  # so many of the last segments have one more
+    start = F.col("size") * i + F.greatest(F.lit(0), longer - (parts - i)) + F.col("spot.d")
+    width = F.col("size") + F.when(longer > parts - 1 - i, 1).otherwise(0)
+    rows = rows.withColumns({"start": start, "width": width})
+    inside = (F.col("start") >= 0) & (F.col("start") + F.col("width") <= F.col("n")) & (F.col("width") > 0)
+    key = F.xxhash64(i, F.col("length"), F.substr("line", F.col("start") + 1, F.col("width")))
+    indexed = (F.col("spot.less") == 0) & (F.col("spot.d") == 0)
+    return rows.filter(inside).select(key.alias("key"), "h", "n", "parity", indexed.alias("indexed"))
 
 
 def let(value: Column, body) -> Column:
@@ -120,7 +120,8 @@ def texts_of(names: DataFrame, lines: DataFrame, classes: DataFrame) -> DataFram
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int"))
     words = names.groupBy(F.floor(slot / 64).alias("word")).agg(F.bit_or(bit).alias("bits"))
     held = lines.withColumn("word", F.floor(slot / 64)).join(F.broadcast(words), "word").filter(F.col("bits").bitwiseAND(bit) != 0)
-    return held.join(names, "h", "left_semi").join(classes.select("h", "g", "id", "place"), ["h", "g", "id", "place"]).select("h", "line")
+    # names are distinct; a semi join would be moved below the broadcast one, and all lines be shuffled
+    return held.join(names, "h").join(classes.select("h", "g", "id", "place"), ["h", "g", "id", "place"]).select("h", "line")
 
 
 def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
