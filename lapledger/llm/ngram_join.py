@@ -30,6 +30,8 @@ from lapledger.llm.words import mixed, random_table, run_hashes, word_hashes, wo
 #: Cells of the sketch of counts; each is sent to the tasks as one byte, 4 MB in all whatever the input.
 CELLS = 1 << 22
 BLOCK = 1 << 13
+#: The step of a cell that one set alone has counted in.
+ALONE = 8
 #: The most shared shingles that a prefix may ask for, and the cost of verifying a pair in rows of a posting list.
 MATCHES, VERIFY_COST = 4, 20
 
@@ -101,14 +103,17 @@ def rarity(blocks: DataFrame) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, width: int, percent: int, levels: np.ndarray) -> DataFrame:
-    """``token, key, id, n, place`` of the longest prefix of each set; of equal sets in a task only the first's."""
+    """``token, key, id, n, own, place`` of the longest prefix of each set; of equal sets in a task only the first's.
+
+    ``own`` counts the shingles of the whole set whose cell of the sketch has counted one: no other set has them.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(levels)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank, seen = sent.value, set()
         for batch in batches:
             for chunk in chunks(batch, "text"):
-                out: list[list] = [[], [], [], [], []]
+                out: list[list] = [[], [], [], [], [], []]
                 for doc, s in zip(chunk.column(0).to_pylist(), shingle_sets(chunk.column(1), width)):
                     key = int(mixed(s).sum(dtype=np.uint64).view(np.int64))
                     if not len(s) or doc is None or key in seen:
@@ -116,13 +121,15 @@ def prefixes(docs: DataFrame, width: int, percent: int, levels: np.ndarray) -> D
                     seen.add(key)
                     n = len(s)
                     size = min(n, n - least_overlap(n, percent) + MATCHES)
-                    order = np.argsort((rank[(s & np.uint64(CELLS - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (s >> np.uint64(8)), kind="stable")[:size]
-                    for column, values in zip(out, (s[order].view(np.int64), np.full(size, key), np.full(size, doc), np.full(size, n), np.arange(1, size + 1))):
+                    steps = rank[(s & np.uint64(CELLS - 1)).astype(np.int64)]
+                    own = int((steps == ALONE).sum())
+                    order = np.argsort((steps.astype(np.uint64) << np.uint64(56)) | (s >> np.uint64(8)), kind="stable")[:size]
+                    for column, values in zip(out, (s[order].view(np.int64), np.full(size, key), np.full(size, doc), np.full(size, n), np.full(size, own), np.arange(1, size + 1))):
                         column.append(values)
                 if out[0]:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in out], ["token", "key", "id", "n", "place"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in out], ["token", "key", "id", "n", "own", "place"])
 
-    return docs.mapInArrow(cut, "token long, key long, id long, n long, place long")
+    return docs.mapInArrow(cut, "token long, key long, id long, n long, own long, place long")
 
 
 def possible(percent: int, over: str = "y") -> Column:
@@ -179,14 +186,13 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     raw = shelf.put(prefixes(rows, width, percent, levels), "prefixes")
     met = raw.groupBy("token").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
     # copies of a set in several files count once
-    postings = raw.join(met, "token").groupBy("token", "key", "n").agg(F.min("id").alias("id"), F.min("place").alias("place"))
+    postings = raw.join(met, "token").groupBy("token", "key", "n").agg(F.min("id").alias("id"), F.min("own").alias("own"), F.min("place").alias("place"))
     postings = shelf.put(postings, "postings")
     shelf.drop("prefixes")
     met = postings.groupBy("token").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
     postings = shelf.put(postings.join(met, "token"), "shared")
     overlap = F.expr(f"({percent} * n + 99) div 100")
     first = F.col("n") - overlap + 1
-    longest = F.least("n", first + MATCHES - 1)
     # candidates of m shared shingles are estimated by the m-th longest of the set's lists, as if each held the next
     sorted_lists = F.sort_array(F.collect_list("f"), asc=False)
     best, lowest = F.lit(1), F.lit(None).cast("double")
@@ -196,11 +202,9 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
         cost = scan + VERIFY_COST * (F.coalesce(F.get(sorted_lists, F.lit(m - 1)), F.lit(1)) - 1.0)
         best, lowest = F.when(lowest.isNull() | (cost < lowest), m).otherwise(best), F.least(cost, lowest)
     # a set with no shared shingle in its prefix is in no list
-    choice = postings.groupBy("key", "n").agg(best.alias("wish"), (longest - F.count(F.lit(1))).alias("own"))
+    choice = postings.groupBy("key", "n").agg(best.alias("wish"))
     asks = F.least(F.col("wish").cast("long"), overlap).alias("asks")
-    lists = postings.join(choice, ["key", "n"]).select(
-        "token", "id", "n", F.greatest("own", F.lit(0)).alias("own"), "place", asks, first.alias("first")
-    )
+    lists = postings.join(choice, ["key", "n"]).select("token", "id", "n", "own", "place", asks, first.alias("first"))
     lists = shelf.put(lists.filter(F.col("place") < F.col("first") + F.col("asks")), "lists")
     shelf.drop("postings", "shared")
 

@@ -55,6 +55,17 @@ def test_a_group_of_near_copies_is_one_component(spark):
     assert {r.component_id for r in found} == {0}
 
 
+@pytest.mark.parametrize("width, percent, n", [(4, 85, 93), (5, 80, 60)])
+def test_a_text_and_the_same_with_words_added_are_linked(spark, width, percent, n):
+    texts = []
+    for share in (5, 8, 11, 15):
+        base, more = [f"s{share}w{i}" for i in range(n)], [f"s{share}new{i}" for i in range(n * share // 100)]
+        texts += [" ".join(base), " ".join(base + more), " ".join(base[: n // 2] + ["odd"] + base[n // 2 :] + more[:2])]
+    found = {tuple(r) for r in ngram_join.similar(documents(spark, texts), width=width, percent=percent).collect()}
+    assert found == brute.similar(list(enumerate(texts)), width, percent)
+    assert sum(i != c for i, _, c in found) == 8
+
+
 def test_substrings(spark, empty):
     texts = ODD + brute.some_texts(2, 120, vocabulary=150)
     found = {r.id: (r.n_words, r.text, r.n_removed) for r in substrings.without_repeats(documents(spark, texts)).collect()}
