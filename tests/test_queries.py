@@ -29,3 +29,8 @@ def test_query_equals_sql(spark, con, name):
 
 def test_entry_has_rows(spark):
     assert driver.entry(spark).limit(1).count() == 1
+
+
+def test_overall_bests_are_counted_and_told(spark):
+    rows = driver.queries()["race_pb_headline_overall"](spark, SF_DIR).filter("new_pb_overall > 0").collect()
+    assert rows and all(f"{r.new_pb_overall} new overall PBs" in r.sentence for r in rows)
