@@ -172,6 +172,26 @@ def leaderboard_rank(spark, sf_dir):
     return ranks.leaderboard_rank(entries, ["season"], "entries")
 
 
+@query(
+    "leaderboard_rank_fd",
+    facts_sql(
+        """SELECT season, name, part, date_ymd, course, is_champ, entries_total_fd, entries_total_all_fd,
+          CAST(rank() OVER (PARTITION BY season, part ORDER BY entries_total_fd DESC NULLS LAST) AS INTEGER)
+            AS entries_total_fd_rank,
+          CAST(rank() OVER (PARTITION BY part ORDER BY entries_total_all_fd DESC NULLS LAST) AS INTEGER)
+            AS entries_total_all_fd_rank
+        FROM facts WHERE is_last_entry""",
+    ),
+)
+def leaderboard_rank_fd(spark, sf_dir):
+    """Ranks of the full-and-double totals among the last entries of all seasons."""
+    last = facts(spark, sf_dir).filter("is_last_entry").select(
+        "season", "name", "part", "date_ymd", "course", "is_champ", "entries_total_fd", "entries_total_all_fd"
+    )
+    ranked = ranks.leaderboard_rank(last, ["season", "part"], "entries_total_fd", "entries_total_fd_rank")
+    return ranks.leaderboard_rank(ranked, ["part"], "entries_total_all_fd", "entries_total_all_fd_rank", hot=True)
+
+
 @query(
     "record_rank_overall",
     sql(
