@@ -4,10 +4,15 @@ A line within ``edits`` edits of another contains one of the other's ``edits + 1
 line is indexed under its length and its segments, and probes the index with those of its substrings that a
 segment of a line of such a length can lie at, given that the edits before and after it share the limit. What
 meets there is verified with a banded bit-parallel edit distance. Equal lines are one class and join once.
+
+Lines that share a key first meet one line of it; only pairs of lines that are in different components by then
+are listed. A large group of lines that are nearly equal so costs as many pairs as it has lines.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +23,8 @@ EDITS = 2
 MIN_CHARS = 20
 #: Bits of the table that is sent to all tasks before texts are fetched: 2**16 rows of 64 bits, whatever the input.
 SENT_BITS = 22
+#: Pairs that a task verifies.
+TASK_PAIRS = 4_000
 
 
 def lines_of(rows: DataFrame) -> DataFrame:
@@ -42,17 +49,18 @@ def spots(edits: int) -> list[tuple[int, int, int]]:
     return sorted(found, key=lambda x: (x[0] != 0 or x[2] != 0, x))
 
 
-def keys(distinct: DataFrame, edits: int) -> DataFrame:
-    """``key, h, n, parity, indexed``: a row for each indexed segment and each probe of each line.
+def word_parity(line: Column) -> Column:
+    """Each edit changes three words at most, so the parities of the words' hashes differ in three bits for each."""
+    bits = F.transform(F.split(line, " "), lambda w: F.call_function("shiftleft", F.lit(1), F.pmod(F.xxhash64(w), F.lit(31)).cast("int")))
+    return F.aggregate(bits, F.lit(0), lambda x, b: x.bitwiseXOR(b))
 
-    Each edit changes three words at most, so the parities of the words' hashes differ in three bits for each.
-    """
+
+def keys(distinct: DataFrame, edits: int) -> DataFrame:
+    """``key, h, n, parity, indexed``: a row for each indexed segment and each probe of each line."""
     parts = edits + 1
-    bits = F.transform(F.split("line", " "), lambda w: F.call_function("shiftleft", F.lit(1), F.pmod(F.xxhash64(w), F.lit(31)).cast("int")))
-    parity = F.aggregate(bits, F.lit(0), lambda x, b: x.bitwiseXOR(b))
     every = F.array(*[F.struct(F.lit(x).alias("less"), F.lit(i).alias("i"), F.lit(d).alias("d")) for x, i, d in spots(edits)])
     # a row for each spot and then one short expression: one long expression for all is code that is never compiled
-    rows = distinct.withColumn("parity", parity).select("h", "n", "parity", "line", F.explode(every).alias("spot"))
+    rows = distinct.select("h", "n", "parity", "line", F.explode(every).alias("spot"))
     i, length = F.col("spot.i"), F.col("n") - F.col("spot.less")
     rows = rows.withColumns({"length": length, "size": F.floor(length / parts).cast("int")})
     longer = F.col("length") - F.col("size") * parts  # so many of the last segments have one more
@@ -70,8 +78,8 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def distance(most: int) -> Column:
-    """The edit distance of two texts, given as arrays of characters ``a`` and ``b``, if it is ``most`` or less.
+def distance(most: int, a: Column, b: Column) -> Column:
+    """The edit distance of two texts, given as arrays of characters, if it is ``most`` or less.
 
     Else ``most`` + 1. Banded and bit-parallel: a bit for each cell of the band around the diagonal tells whether
     the distance grows (``vp``) or falls (``vn``) from the cell before it; a step along ``b`` renews them all at
@@ -80,7 +88,6 @@ def distance(most: int) -> Column:
     """
     top = 2 * most + 1  # the bit of the lowest diagonal: place i + most of a
     every = (1 << (top + 1)) - 1
-    a, b = F.col("a"), F.col("b")
     down, gap = F.size(a) - most, F.abs(F.size(a) - F.size(b))
     other = lambda v: F.lit(every) - v
     either, both = Column.bitwiseOR, Column.bitwiseAND
@@ -111,17 +118,50 @@ def distance(most: int) -> Column:
 def close(pairs: DataFrame, most: int) -> DataFrame:
     """The rows whose texts ``x`` and ``y`` are within ``most`` edits."""
     rows = pairs.filter(F.abs(F.length("x") - F.length("y")) <= most).filter(F.length("x") > most)
-    return rows.withColumns({"a": F.split("x", ""), "b": F.split("y", "")}).filter(distance(most) <= most).drop("a", "b")
+    # bound once in one expression: Spark moves filters below projections and would split both texts for each character
+    letters = F.struct(F.split("x", "").alias("a"), F.split("y", "").alias("b"))
+    return rows.filter(let(letters, lambda s: distance(most, s["a"], s["b"])) <= most)
 
 
-def texts_of(names: DataFrame, lines: DataFrame, classes: DataFrame) -> DataFrame:
-    """``h, line`` of the classes with these names. A bit table of fixed size keeps other lines out of the shuffle."""
-    slot = F.pmod(F.col("h"), F.lit(1 << SENT_BITS))
+def sent(values: DataFrame, name: str) -> DataFrame:
+    """A bit table of fixed size over the values of a long column, for :func:`held`."""
+    slot = F.pmod(F.col(name), F.lit(1 << SENT_BITS))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int"))
-    words = names.groupBy(F.floor(slot / 64).alias("word")).agg(F.bit_or(bit).alias("bits"))
-    held = lines.withColumn("word", F.floor(slot / 64)).join(F.broadcast(words), "word").filter(F.col("bits").bitwiseAND(bit) != 0)
-    # names are distinct; a semi join would be moved below the broadcast one, and all lines be shuffled
-    return held.join(names, "h").join(classes.select("h", "g", "id", "place"), ["h", "g", "id", "place"]).select("h", "line")
+    return values.groupBy(F.floor(slot / 64).alias("word")).agg(F.bit_or(bit).alias("bits"))
+
+
+def held(rows: DataFrame, values: DataFrame, name: str) -> DataFrame:
+    """The rows whose value is among the distinct ``values``. The bit table keeps most others out of the shuffle."""
+    slot = F.pmod(F.col(name), F.lit(1 << SENT_BITS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int"))
+    found = rows.withColumn("word", F.floor(slot / 64)).join(F.broadcast(sent(values, name)), "word")
+    # values are distinct; a semi join would be moved below the broadcast one, and all rows be shuffled
+    return found.filter(F.col("bits").bitwiseAND(bit) != 0).drop("word", "bits").join(values.select(name), name)
+
+
+def alike(edits: int) -> Column:
+    """Whether lines of a key can be within the edits: by length, then by the parities of their words."""
+    least = F.bit_count(F.col("parity").bitwiseXOR(F.col("parity_y"))) <= 3 * edits
+    return (F.col("n") >= F.col("n_y")) & (F.col("n") - F.col("n_y") <= edits) & least
+
+
+def ordered() -> tuple[Column, Column]:
+    return F.least("h", "h_y").alias("x"), F.greatest("h", "h_y").alias("y")
+
+
+def verified(pairs: DataFrame, distinct: DataFrame, edits: int, shelf: Shelf) -> DataFrame:
+    """The links ``a`` - ``b`` among the pairs ``x`` - ``y`` of names."""
+    names = shelf.put(pairs.select(F.col("x").alias("h")).union(pairs.select(F.col("y").alias("h"))).distinct(), "names")
+    texts = shelf.put(held(distinct.select("h", "line"), names, "h"), "texts")
+    both = pairs.join(texts.select(F.col("h").alias("x"), F.col("line").alias("tx")), "x").join(
+        texts.select(F.col("h").alias("y"), F.col("line").alias("ty")), "y"
+    )
+    both = both.select(F.col("x").alias("a"), F.col("y").alias("b"), F.col("tx").alias("x"), F.col("ty").alias("y"))
+    # few bytes, much work: by number of pairs, not by size
+    tasks = max(1, math.ceil(pairs.count() / TASK_PAIRS))
+    near = shelf.put(close(both.repartition(tasks, "a", "b"), edits).select("a", "b"), "near")
+    shelf.drop("names", "texts")
+    return near
 
 
 def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -141,22 +181,37 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ed
     classes = placed.groupBy("h", "g").agg(F.min(F.struct("id", "place")).alias("first"), F.count(F.lit(1)).alias("copies"))
     classes = shelf.put(classes.select("h", "g", "first.id", "first.place", "copies"), "classes")
 
-    distinct = lines.join(classes.select("id", "place"), ["id", "place"]).withColumn("n", F.length("line"))
-    every = F.expr("count(1) over (partition by key)")
-    met = keys(distinct, edits).withColumn("lines", every).filter("lines > 1").drop("lines")
-    met = shelf.put(met, "met")
-    index = met.filter("indexed").select("key", F.col("h").alias("y"), F.col("n").alias("m"), F.col("parity").alias("other"))
-    longer = (F.col("n") > F.col("m")) | ((F.col("n") == F.col("m")) & (F.col("h") > F.col("y")))
-    alike = F.bit_count(F.col("parity").bitwiseXOR(F.col("other"))) <= 3 * edits
-    pairs = shelf.put(met.join(index, "key").filter(longer & alike).select(F.col("h").alias("x"), "y").distinct(), "pairs")
-
-    names = shelf.put(pairs.select(F.col("x").alias("h")).union(pairs.select(F.col("y").alias("h"))).distinct(), "names")
-    texts = shelf.put(texts_of(names, lines, classes), "texts")
-    both = pairs.join(texts.select(F.col("h").alias("x"), F.col("line").alias("tx")), "x").join(
-        texts.select(F.col("h").alias("y"), F.col("line").alias("ty")), "y"
-    )
-    near = close(both.select(F.col("x").alias("p"), F.col("y").alias("q"), F.col("tx").alias("x"), F.col("ty").alias("y")), edits)
-    linked = components(near.select(F.col("p").alias("a"), F.col("q").alias("b")), shelf)
+    distinct = lines.join(classes.select("h", "g", "id", "place"), ["h", "g", "id", "place"])
+    distinct = shelf.put(distinct.select("h", F.length("line").alias("n"), word_parity(F.col("line")).alias("parity"), "line"), "distinct")
+    # a key joins lines only where one of them has it as a segment of its own: first the keys, then the lines of those
+    every = keys(distinct, edits)
+    useful = every.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.bool_or("indexed").alias("indexed"))
+    useful = shelf.put(useful.filter("rows > 1 and indexed").select("key"), "useful")
+    every = shelf.put(held(every, useful, "key"), "keys")
+    # the line with the least name among those with the segment stands for all of a key
+    line = ("h", "n", "parity")
+    centre = every.filter("indexed").groupBy("key").agg(F.min(F.struct(*line)).alias("c"), F.count(F.lit(1)).alias("size"))
+    centre = shelf.put(centre.select("key", *[F.col(f"c.{x}").alias(f"{x}_y") for x in line], "size"), "centre")
+    met = shelf.put(every.join(centre, "key").filter("size > 1 or h != h_y"), "met")
+    shelf.drop("keys", "centre")
+    tried = shelf.put(met.filter("h != h_y").filter(alike(edits)).select(*ordered()).distinct(), "tried")
+    near = verified(tried, distinct, edits, shelf)
+    reached = shelf.put(components(near, shelf), "reached")
+
+    # then lines of other components that have the key as a segment of their own
+    marked = met.filter("size > 1").join(reached.withColumnRenamed("id", "h"), "h", "left")
+    marked = marked.select("key", *line, "indexed", F.coalesce("component", "h").alias("component"))
+    marked = shelf.put(marked, "marked")
+    several = marked.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high")
+    groups = marked.join(several, "key", "left_semi").groupBy("key", "component").agg(F.bool_or("indexed").alias("indexed"))
+    groups = shelf.put(groups, "groups")
+    apart = groups.join(groups.filter("indexed").select("key", F.col("component").alias("component_y")), "key")
+    apart = apart.filter("component != component_y").select("key", "component", "component_y")
+    index = marked.filter("indexed").select("key", F.col("component").alias("component_y"), *[F.col(x).alias(f"{x}_y") for x in line])
+    rest = marked.join(apart, ["key", "component"]).join(index, ["key", "component_y"]).filter(alike(edits))
+    pairs = shelf.put(rest.select(*ordered()).distinct().join(tried, ["x", "y"], "left_anti"), "pairs")
+    far = verified(pairs, distinct, edits, shelf)
+    linked = components(near.union(far), shelf)
 
     grouped = classes.join(linked.withColumnRenamed("id", "h"), "h")
     first = grouped.groupBy("component").agg(F.min(F.struct("id", "place")).alias("first"))

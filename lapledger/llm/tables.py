@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lapledger.session import new_path
 
+#: Removes what a query has shuffled as soon as it ends: a written table needs no shuffle files behind it.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 class Shelf:
     """Tables written on the way, each of which can be removed as soon as nothing reads it any more."""
@@ -19,7 +22,12 @@ class Shelf:
     def put(self, df: DataFrame, name: str) -> DataFrame:
         """Write the rows to the shared folder and read them from there: the lineage ends here."""
         path = new_path(self.spark, f"{self.label}-{name}")
-        df.write.parquet(path)
+        before = self.spark.conf.get(CLEANUP, None)
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.unset(CLEANUP) if before is None else self.spark.conf.set(CLEANUP, before)
         self.paths.setdefault(name, []).append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 

@@ -126,6 +126,21 @@ def _lines(seed):
     return ["\n".join(r.choice([near(r.choice(base)), "short", "", "".join(r.choice("abcdefgh ") for _ in range(30))]) for _ in range(r.randint(0, 6))) for _ in range(70)]
 
 
+def test_verification_splits_each_text_once(spark):
+    left = spark.createDataFrame([(1, "a" * 30)], "k int, x string")
+    right = spark.createDataFrame([(1, "a" * 29 + "b")], "k int, y string")
+    near = line_dedup.close(left.join(right, "k"), 2)
+    assert near._jdf.queryExecution().optimizedPlan().toString().count("split(") == 2
+    assert near.count() == 1
+
+
+def test_a_group_of_near_equal_lines_meets_one_of_them(spark):
+    lines = [f"a line that is nearly like all the others {i:02d}" for i in range(60)]
+    texts = ["\n".join(lines[i : i + 5]) for i in range(0, 60, 5)] + ["nothing of the kind at all, but as long"]
+    found = {r.id: r.removed for r in line_dedup.removals(documents(spark, texts)).collect()}
+    assert {i: r for i, r in found.items() if r} == brute.removed_lines(list(enumerate(texts)))
+
+
 def test_line_dedup(spark, empty):
     texts = [None, "", "\n\n", *_lines(5)]
     docs = documents(spark, texts)
