@@ -49,18 +49,26 @@ def spots(edits: int) -> list[tuple[int, int, int]]:
     return sorted(found, key=lambda x: (x[0] != 0 or x[2] != 0, x))
 
 
-def word_parity(line: Column) -> Column:
-    """Each edit changes three words at most, so the parities of the words' hashes differ in three bits for each."""
-    bits = F.transform(F.split(line, " "), lambda w: F.call_function("shiftleft", F.lit(1), F.pmod(F.xxhash64(w), F.lit(31)).cast("int")))
-    return F.aggregate(bits, F.lit(0), lambda x, b: x.bitwiseXOR(b))
+def parities(line: Column) -> tuple[Column, Column]:
+    """Bits of a line's words and of its pairs of characters: each is set if its hash occurs an odd number of times.
+
+    Each edit changes three words at most, and four pairs: lines within the edits differ in few bits.
+    """
+    bit = lambda h, bits: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(h, F.lit(bits)).cast("int"))
+    none = F.lit(0).cast("long")
+    words = F.aggregate(F.split(line, " "), none, lambda x, w: x.bitwiseXOR(bit(F.xxhash64(w), 31)))
+    follow = lambda a: F.aggregate(
+        F.sequence(F.lit(1), F.size(a) - 1), none, lambda x, i: x.bitwiseXOR(bit(F.xxhash64(F.get(a, i - 1), F.get(a, i)), 64))
+    )
+    return words.alias("parity"), let(F.split(line, ""), follow).alias("pairs")
 
 
 def keys(distinct: DataFrame, edits: int) -> DataFrame:
-    """``key, h, n, parity, indexed``: a row for each indexed segment and each probe of each line."""
+    """``key, h, n, indexed``: a row for each indexed segment and each probe of each line."""
     parts = edits + 1
     every = F.array(*[F.struct(F.lit(x).alias("less"), F.lit(i).alias("i"), F.lit(d).alias("d")) for x, i, d in spots(edits)])
     # a row for each spot and then one short expression: one long expression for all is code that is never compiled
-    rows = distinct.select("h", "n", "parity", "line", F.explode(every).alias("spot"))
+    rows = distinct.select("h", "n", "line", F.explode(every).alias("spot"))
     i, length = F.col("spot.i"), F.col("n") - F.col("spot.less")
     rows = rows.withColumns({"length": length, "size": F.floor(length / parts).cast("int")})
     longer = F.col("length") - F.col("size") * parts  # so many of the last segments have one more
@@ -70,7 +78,7 @@ def keys(distinct: DataFrame, edits: int) -> DataFrame:
     inside = (F.col("start") >= 0) & (F.col("start") + F.col("width") <= F.col("n")) & (F.col("width") > 0)
     key = F.xxhash64(i, F.col("length"), F.substr("line", F.col("start") + 1, F.col("width")))
     indexed = (F.col("spot.less") == 0) & (F.col("spot.d") == 0)
-    return rows.filter(inside).select(key.alias("key"), "h", "n", "parity", indexed.alias("indexed"))
+    return rows.filter(inside).select(key.alias("key"), "h", "n", indexed.alias("indexed"))
 
 
 def let(value: Column, body) -> Column:
@@ -140,8 +148,9 @@ def held(rows: DataFrame, values: DataFrame, name: str) -> DataFrame:
 
 
 def alike(edits: int) -> Column:
-    """Whether lines of a key can be within the edits: by length, then by the parities of their words."""
-    least = F.bit_count(F.col("parity").bitwiseXOR(F.col("parity_y"))) <= 3 * edits
+    """Whether lines of a key can be within the edits: by length, then by their parities."""
+    differ = lambda c: F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_y")))
+    least = (differ("parity") <= 3 * edits) & (differ("pairs") <= 4 * edits)
     return (F.col("n") >= F.col("n_y")) & (F.col("n") - F.col("n_y") <= edits) & least
 
 
@@ -159,7 +168,9 @@ def verified(pairs: DataFrame, distinct: DataFrame, edits: int, shelf: Shelf) ->
     both = both.select(F.col("x").alias("a"), F.col("y").alias("b"), F.col("tx").alias("x"), F.col("ty").alias("y"))
     # few bytes, much work: by number of pairs, not by size
     tasks = max(1, math.ceil(pairs.count() / TASK_PAIRS))
-    near = shelf.put(close(both.repartition(tasks, "a", "b"), edits).select("a", "b"), "near")
+    # an aggregate, so that Spark does not verify before it deals the pairs out
+    both = both.repartition(tasks, "a", "b").groupBy("a", "b").agg(F.first("x").alias("x"), F.first("y").alias("y"))
+    near = shelf.put(close(both, edits).select("a", "b"), "near")
     shelf.drop("names", "texts")
     return near
 
@@ -182,18 +193,22 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ed
     classes = shelf.put(classes.select("h", "g", "first.id", "first.place", "copies"), "classes")
 
     distinct = lines.join(classes.select("h", "g", "id", "place"), ["h", "g", "id", "place"])
-    distinct = shelf.put(distinct.select("h", F.length("line").alias("n"), word_parity(F.col("line")).alias("parity"), "line"), "distinct")
+    distinct = shelf.put(distinct.select("h", F.length("line").alias("n"), "line"), "distinct")
     # a key joins lines only where one of them has it as a segment of its own: first the keys, then the lines of those
-    every = keys(distinct, edits)
+    every = shelf.put(keys(distinct, edits), "every")
     useful = every.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.bool_or("indexed").alias("indexed"))
     useful = shelf.put(useful.filter("rows > 1 and indexed").select("key"), "useful")
     every = shelf.put(held(every, useful, "key"), "keys")
+    shelf.drop("every", "useful")
+    names = shelf.put(every.select("h").distinct(), "names")
+    marks = shelf.put(held(distinct.select("h", "line"), names, "h").select("h", *parities(F.col("line"))).distinct(), "marks")
+    every = shelf.put(every.join(marks, "h"), "marked-keys")
     # the line with the least name among those with the segment stands for all of a key
-    line = ("h", "n", "parity")
+    line = ("h", "n", "parity", "pairs")
     centre = every.filter("indexed").groupBy("key").agg(F.min(F.struct(*line)).alias("c"), F.count(F.lit(1)).alias("size"))
     centre = shelf.put(centre.select("key", *[F.col(f"c.{x}").alias(f"{x}_y") for x in line], "size"), "centre")
     met = shelf.put(every.join(centre, "key").filter("size > 1 or h != h_y"), "met")
-    shelf.drop("keys", "centre")
+    shelf.drop("keys", "names", "marks", "marked-keys", "centre")
     tried = shelf.put(met.filter("h != h_y").filter(alike(edits)).select(*ordered()).distinct(), "tried")
     near = verified(tried, distinct, edits, shelf)
     reached = shelf.put(components(near, shelf), "reached")
