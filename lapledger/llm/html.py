@@ -3,13 +3,16 @@
 Every node of a page's tree has a density: its characters per tag, made smaller where characters or tags
 belong to links. The node whose children's densities have the largest sum holds the main text; blocks beside
 its path to the body join it if they are at least as dense as the least dense node on that path. Parts that
-say by their tag, role or class what they are (menus, forms, adverts, comments) are left out beforehand.
+say by their tag, role or class what they are (menus, adverts, comments) are left out beforehand. A form, or a
+part of whose class names only one piece says so (``has-sidebar``, ``no-comments``), is left out only if the page
+has its text elsewhere; if most text is inside, it is no more than a wrapper, and its parts are judged instead.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -25,15 +28,19 @@ BLOCKS = frozenset(
 )
 #: What these hold is no text of a page.
 UNSEEN = frozenset("head script style noscript template svg math canvas object iframe audio video title map".split())
-ASIDE = frozenset("nav footer aside form button select textarea input dialog menu label fieldset".split())
+ASIDE = frozenset("nav footer aside button select textarea input dialog menu label".split())
+#: Left out unless they wrap the text of the page.
+DOUBTFUL = frozenset("form fieldset".split())
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-#: Words of a class or id that say a part is not the article.
+#: Words that say a part is not the article, as a class or id of their own or, doubtfully, as a piece of one.
 ASIDE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion nav navbar navigation menu "
     "menus breadcrumb breadcrumbs sidebar aside widget widgets footer footnav masthead topbar cookie cookies consent gdpr notice notices "
     "alert popup modal overlay subscribe subscription newsletter signup login search form share sharing social related recommended "
     "pagination pager toolbar comment comments reply replies respond disqus discussion copyright legal disclaimer skip hidden".split()
 )
+#: What an article is made of.
+PLAIN = frozenset("h1 h2 h3 h4 h5 h6 p ul ol dl pre blockquote table figure".split())
 #: These belong to the article even where a class word above names them.
 ROOTS = frozenset("html body main article h1".split())
 #: A start tag of the first kind ends an open element of the second.
@@ -45,76 +52,154 @@ CLOSED_BY = {
 #: An implied end does not reach over these.
 SCOPES = frozenset("html body table ul ol dl article section div main aside nav header footer form blockquote td th".split())
 MARK = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])")
+HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
+HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+#: What a part is: text, doubtful, aside, or none of the page's text.
+TEXT, DOUBT, OUT, NEVER = range(4)
+#: A doubtful part is a wrapper if all text outside such parts is less than this share of its own, and its own not
+#: tiny, or under a heading.
+ELSEWHERE, TINY = 0.25, 200
 
 
 class Page(HTMLParser):
-    """A page's nodes in the order they start: tag, parent, whether aside, and the texts in between."""
+    """A page's nodes in the order they start: tag, parent, what kind of part, and the texts in between.
 
-    def __init__(self):
+    ``left_out`` tells, once the page is read, which nodes hold no text of the article.
+    """
+
+    def __init__(self, html: str = ""):
         super().__init__(convert_charrefs=True)
-        self.tags, self.parents, self.left_out, self.texts = ["#"], [-1], [False], []
-        self.open = [0]
-
-    def _aside(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-        if tag in UNSEEN or tag in ASIDE:
-            return True
-        if tag == "header" and not any(self.tags[i] in ("article", "main") for i in self.open):
-            return True
+        self.tags, self.parents, self.kinds, self.unseen, self.texts = ["#"], [-1], [TEXT], [False], []
+        self.open, self.held = [0], Counter()
+        self.feed(html)
+        self.close()
+        self.left_out = self._judged()
+
+    def _kind(self, tag: str, attrs: list[tuple[str, str | None]]) -> int:
+        if tag in UNSEEN:
+            return NEVER
+        if tag in ASIDE or (tag == "header" and not self.held["article"] and not self.held["main"]):
+            return OUT
+        found = DOUBT if tag in DOUBTFUL else TEXT
         if tag in ROOTS or not attrs:
-            return False
+            return found
         given = dict(attrs)
-        if "hidden" in given or given.get("aria-hidden") == "true" or (given.get("role") or "").lower() in ASIDE_ROLES:
-            return True
-        if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", given.get("style") or "", re.I):
-            return True
-        name = re.sub(r"(?<=[a-z])(?=[A-Z])", " ", f"{given.get('class') or ''} {given.get('id') or ''}").lower()
-        return not ASIDE_WORDS.isdisjoint(MARK.split(name))
+        if "hidden" in given or given.get("aria-hidden") == "true" or HIDDEN.search(given.get("style") or ""):
+            return NEVER
+        if (given.get("role") or "").lower() in ASIDE_ROLES:
+            return OUT
+        names = f"{given.get('class') or ''} {given.get('id') or ''}"
+        if not ASIDE_WORDS.isdisjoint(names.lower().split()):
+            return OUT
+        if not ASIDE_WORDS.isdisjoint(MARK.split(HUMP.sub(" ", names).lower())):
+            return DOUBT
+        return found
+
+    def _end(self, depth: int) -> None:
+        """The open elements from this depth on are closed."""
+        self.held.subtract(self.tags[i] for i in self.open[depth:])
+        del self.open[depth:]
 
     def _close(self, tags: tuple[str, ...]) -> None:
-        for depth in range(len(self.open) - 1, 0, -1):
-            tag = self.tags[self.open[depth]]
-            if tag in tags:
-                del self.open[depth:]
-                return self._close(tags)
-            if tag in SCOPES:
-                return None
-        return None
+        while any(self.held[t] > 0 for t in tags):
+            for depth in range(len(self.open) - 1, 0, -1):
+                tag = self.tags[self.open[depth]]
+                if tag in tags:
+                    self._end(depth)
+                    break
+                if tag in SCOPES:
+                    return
+            else:
+                return
 
     def handle_starttag(self, tag, attrs):
         if tag in CLOSED_BY:
             self._close(CLOSED_BY[tag])
         parent = self.open[-1]
+        kind = self._kind(tag, attrs)
         self.tags.append(tag)
         self.parents.append(parent)
-        self.left_out.append(self.left_out[parent] or self._aside(tag, attrs))
+        self.kinds.append(kind)
+        self.unseen.append(self.unseen[parent] or kind == NEVER)
         if tag not in VOID:
             self.open.append(len(self.tags) - 1)
+            self.held[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID and tag in ("svg", "path", "g", "circle", "rect", "use", "math"):
-            self.open.pop()
+            self._end(len(self.open) - 1)
 
     def handle_endtag(self, tag):
+        if self.held[tag] <= 0:
+            return
         for depth in range(len(self.open) - 1, 0, -1):
             if self.tags[self.open[depth]] == tag:
-                del self.open[depth:]
+                self._end(depth)
                 return
 
     def handle_data(self, data):
         node = self.open[-1]
-        if not self.left_out[node]:
+        if not self.unseen[node]:
             self.texts.append((len(self.tags) - 1, node, data))
 
+    def parse_comment(self, i, report=True):
+        return self.parse_html_declaration(i)
+
+    def parse_html_declaration(self, i):
+        """A comment, or all up to the next ``>``; what is not closed reaches to the end. Nothing of it is text."""
+        text = self.rawdata
+        if text.startswith("<!--", i):
+            if text.startswith((">", "->"), i + 4):
+                return text.index(">", i + 4) + 1
+            ends = [text.find(mark, i + 4) + len(mark) for mark in ("-->", "--!>") if text.find(mark, i + 4) >= 0]
+            return min(ends, default=len(text))
+        start = i + 2
+        if text[i + 2 : i + 9].lower() == "doctype" or text.startswith("[CDATA[", i + 2):
+            # a subset or section of its own stands in brackets
+            first, inner = text.find(">", start), text.find("[", start)
+            if 0 <= inner < first and (end := text.find("]", inner)) >= 0:
+                start = end
+        return text.find(">", start) + 1 or len(text)
+
+    def _judged(self) -> list[bool]:
+        n = len(self.tags)
+        own = [0] * n
+        for _, node, text in self.texts:
+            own[node] += len("".join(text.split()))
+        headed = [tag in ("article", "main", "h1") for tag in self.tags]
+        for i in range(n - 1, 0, -1):
+            headed[self.parents[i]] |= headed[i] and self.kinds[i] <= DOUBT
+        while True:
+            left = [False] * n
+            for i in range(1, n):
+                left[i] = left[self.parents[i]] or self.kinds[i] != TEXT
+            outside = sum(c for c, gone in zip(own, left) if not gone)
+            inside = list(own)  # with what doubtful parts hold
+            for i in range(n - 1, 0, -1):
+                if self.kinds[i] <= DOUBT:
+                    inside[self.parents[i]] += inside[i]
+            doubtful = [i for i in range(1, n) if self.kinds[i] == DOUBT and not left[self.parents[i]]]
+            wrapper = max(doubtful, key=lambda i: inside[i], default=0)
+            if not wrapper or outside >= ELSEWHERE * inside[wrapper] or (inside[wrapper] < TINY and not headed[wrapper]):
+                return left
+            # one of a chain of wrappers goes at a time; all that hold nothing else go together
+            while wrapper:
+                self.kinds[wrapper] = TEXT
+                below = [i for i in range(wrapper + 1, n) if self.kinds[i] == DOUBT and self.parents[i] == wrapper and inside[i] == inside[wrapper]]
+                wrapper = below[0] if below else 0
 
-def densities(page: Page) -> tuple[list[float], list[float]]:
-    """Of each node: its composite density, and the sum of its children's."""
+
+def densities(page: Page) -> tuple[list[float], list[float], list[int]]:
+    """Of each node: its composite density, the sum of its children's, and its characters in links."""
     n = len(page.tags)
     chars, links, tags, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     linked = [False] * n
     for i in range(1, n):
         linked[i] = linked[page.parents[i]] or page.tags[i] == "a"
     for _, node, text in page.texts:
+        if page.left_out[node]:
+            continue
         size = len("".join(text.split()))
         chars[node] += size
         links[node] += size * linked[node]
@@ -134,33 +219,26 @@ def densities(page: Page) -> tuple[list[float], list[float]]:
             base = math.log(math.e + c * lc / max(c - lc, 1) + share * c)
             density[i] = c / t * max(0.0, math.log(c * t / (max(lc, 1) * lt) + 1e-9)) / base
         total[page.parents[i]] += density[i]
-    return density, total
+    return density, total, links
 
 
 def main_nodes(page: Page) -> set[int]:
     """The roots of the subtrees that hold the main text."""
-    density, total = densities(page)
+    density, total, links = densities(page)
     n = len(page.tags)
     best = max(range(n), key=lambda i: (total[i], -i)) if n else 0
-    whole = best
     path = []
     node = best
     while node > 0:
         path.append(node)
-        if page.tags[node] in ("article", "main"):
-            whole = node
         node = page.parents[node]
-    if whole != best or page.tags[best] in ("article", "main"):
-        # articles beside it are as much part of the page's main text as this one, if they are as dense
-        limit = min((density[i] for i in path), default=0.0)
-        beside = [i for i in range(1, n) if page.parents[i] == page.parents[whole] and page.tags[i] == page.tags[whole]]
-        return {whole, *(i for i in beside if density[i] >= limit and not page.left_out[i])}
     limit = min((density[i] for i in path if page.tags[i] not in ("html", "body")), default=0.0)
     found = {best}
     inside = set(path)
     for i in range(1, n):
         if page.parents[i] in inside and page.parents[i] != best and i not in inside and not page.left_out[i]:
-            if density[i] >= limit or page.tags[i] == "h1":
+            # a short paragraph between dense ones is as thin as a menu, but has no links
+            if density[i] >= limit or (page.tags[i] in PLAIN and not links[i]):
                 found.add(i)
     return found
 
@@ -169,10 +247,8 @@ def text_of(html: str | None) -> str:
     """The main text: a line for each block, in page order."""
     if not html:
         return ""
-    page = Page()
-    page.feed(html)
-    page.close()
-    if not page.texts:
+    page = Page(html)
+    if not any(text for _, node, text in page.texts if not page.left_out[node]):
         return ""
     roots = main_nodes(page)
     n = len(page.tags)

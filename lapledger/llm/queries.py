@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapledger.llm import chat, html, line_dedup, mixing, ngram_join, packing, quality, substrings, toxicity, vectors
+from lapledger.llm import chat, collocations, html, line_dedup, mixing, ngram_join, oracle, packing, quality, ranked_search, substrings, token_files, toxicity, vectors
+from lapledger.session import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -16,6 +17,8 @@ SQL: dict[str, str] = {}
 
 def query(function: Query) -> Query:
     QUERIES[function.__name__] = function
+    if function.__name__ in oracle.SQL:
+        SQL[function.__name__] = oracle.SQL[function.__name__]
     return function
 
 
@@ -106,3 +109,21 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.without_repeats(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op11_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "token-files")
+    token_files.write(table(spark, sf_dir, "documents"), tokenizer(), path)
+    return token_files.read(spark, path).select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mined(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ranked_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnsRenamed({"item": "item_id", "id": "doc_id"})

@@ -3,16 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from lapledger.session import new_path
+from lapledger.session import new_path, remove
 
 #: Removes what a query has shuffled as soon as it ends: a written table needs no shuffle files behind it.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries that end in this block, which write tables or files, leave no shuffle files."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
 class Shelf:
     """Tables written on the way, each of which can be removed as soon as nothing reads it any more."""
 
@@ -22,22 +34,16 @@ class Shelf:
     def put(self, df: DataFrame, name: str) -> DataFrame:
         """Write the rows to the shared folder and read them from there: the lineage ends here."""
         path = new_path(self.spark, f"{self.label}-{name}")
-        before = self.spark.conf.get(CLEANUP, None)
-        self.spark.conf.set(CLEANUP, "true")
-        try:
+        with shuffles_removed(self.spark):
             df.write.parquet(path)
-        finally:
-            self.spark.conf.unset(CLEANUP) if before is None else self.spark.conf.set(CLEANUP, before)
         self.paths.setdefault(name, []).append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
         """Remove the tables of these names, of all names if none is given."""
-        jvm = self.spark._jvm
         for name in names or list(self.paths):
             for path in self.paths.pop(name, []):
-                where = jvm.org.apache.hadoop.fs.Path(path)
-                where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+                remove(self.spark, path)
 
     def drop_older(self, name: str) -> None:
         """Of the tables of this name keep the last one."""

@@ -6,6 +6,7 @@ on bytes. Hashes have 64 bits and depend on the bytes of a word only.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from typing import NamedTuple
 
 import numpy as np
@@ -37,8 +38,8 @@ class Words(NamedTuple):
     text_starts: np.ndarray  # where each text starts, and where the last ends
 
 
-def words_of(column: pa.Array, lower: bool = False) -> Words:
-    """The words of each text; null counts as empty. ``lower`` turns A-Z into a-z."""
+def words_of(column: pa.Array, lower: bool = False, separators: Iterable[int] = SEPARATORS) -> Words:
+    """The words of each text, the runs between ``separators`` (bytes); null counts as empty. ``lower`` turns A-Z into a-z."""
     column = column.cast(pa.large_string()).fill_null("")
     _, offsets, data = column.buffers()
     offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
@@ -47,7 +48,7 @@ def words_of(column: pa.Array, lower: bool = False) -> Words:
     if lower:
         data = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
     apart = np.zeros(256, bool)
-    apart[list(SEPARATORS)] = True
+    apart[list(separators)] = True
     inside = ~apart[data]
     before = np.zeros(len(data) + 1, bool)
     before[1:] = inside
@@ -60,13 +61,13 @@ def words_of(column: pa.Array, lower: bool = False) -> Words:
     return Words(data, starts, ends, np.searchsorted(starts, at), at)
 
 
-def word_hashes(words: Words, seed: int = 1) -> np.ndarray:
+def word_hashes(words: Words, seed: int = 1, separators: Iterable[int] = SEPARATORS) -> np.ndarray:
     """A hash of each word: a random number for each byte at its place, added up and mixed."""
     data, starts, ends, *_ = words
     if not len(starts):
         return np.zeros(0, np.uint64)
     numbers = random_table(seed, PLACES, 256)
-    numbers[:, list(SEPARATORS)] = 0  # what follows a word up to the next one adds nothing
+    numbers[:, list(separators)] = 0  # what follows a word up to the next one adds nothing
     spans = np.diff(starts, append=len(data))
     place = np.arange(starts[0], len(data), dtype=np.int32) - np.repeat(starts.astype(np.int32), spans)
     value = numbers.ravel()[((place & (PLACES - 1)) << 8) | data[starts[0] :]]
