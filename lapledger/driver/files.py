@@ -23,11 +23,14 @@ from lapledger.driver.views import (
     race_days,
     sql,
     table,
+    wide_seconds,
 )
 from lapledger.functions.times import time_seconds
 from lapledger.model import LEGS
 from lapledger.operators import bests, geo, handicap, ranks
 from lapledger.operators.clean import render_places
+from lapledger.operators.joins import POSITION, apply_aliases, attach_calendar, attach_problems
+from lapledger.operators.update import apply_overrides
 from lapledger.plans import reports
 from lapledger.session import new_path
 from lapledger.sources import readers, writers
@@ -55,7 +58,7 @@ def short_day(column="date_ymd"):
 )
 def read_calendar(spark, sf_dir):
     days = race_days(spark, sf_dir).withColumn("date_ymd", short_day())
-    return readers.read_calendar(spark, written_csv(days, "calendar"))
+    return readers.read_calendar(spark, written_csv(days, "calendar")).drop(POSITION)
 
 
 def event_calendar(spark, sf_dir):
@@ -209,7 +212,7 @@ def read_history_totals(spark, sf_dir):
 )
 def read_aliases(spark, sf_dir):
     listed = aliases(spark, sf_dir).withColumn("other", F.lit(None).cast("string"))
-    return readers.read_aliases(spark, written_csv(listed, "aliases"))
+    return readers.read_aliases(spark, written_csv(listed, "aliases")).drop(POSITION)
 
 
 PROBLEM_ROWS = " UNION ALL ".join(
@@ -224,7 +227,83 @@ PROBLEM_ROWS = " UNION ALL ".join(
 @query("read_timing_problems", sql(PROBLEM_ROWS, WIDE_SQL))
 def read_timing_problems(spark, sf_dir):
     listed = problems(spark, sf_dir).withColumn("date_ymd", short_day())
-    return readers.read_timing_problems(spark, written_csv(listed, "problems"))
+    return readers.read_timing_problems(spark, written_csv(listed, "problems")).drop(POSITION)
+
+
+@query(
+    "read_overrides",
+    sql(
+        """SELECT date_ymd, 'Entrant K' || o_custkey AS name, CASE WHEN price > 250000 THEN 'int' ELSE 'full' END AS course
+        FROM wide WHERE price > 200000""",
+        WIDE_SQL,
+    ),
+)
+def read_overrides(spark, sf_dir):
+    course = F.when(F.col("price") > 250000, "int").otherwise("full").alias("course")
+    listed = wide_seconds(spark, sf_dir).filter("price > 200000").select(short_day().alias("date_ymd"), "name", course)
+    return readers.read_overrides(spark, written_csv(listed, "overrides")).drop(POSITION)
+
+
+@query(
+    "update_joins_last_line",
+    sql(
+        """SELECT date_ymd, 'Entrant K' || o_custkey || CASE WHEN o_custkey % 3 = 0 THEN ' B' WHEN o_custkey % 3 = 1 THEN ' C'
+            ELSE '' END AS name, part,
+          CASE WHEN status = 'F' AND leg = 1 THEN true WHEN status = 'O' AND leg = 1 THEN false ELSE true END AS split_valid,
+          NOT (status = 'O' AND leg = 1) AS cumulative_valid,
+          CASE WHEN price <= 150000 THEN course WHEN status = 'F' THEN 'full' ELSE 'int' END AS course,
+          CASE WHEN day(date_ymd) % 2 = 0 THEN 'even again' ELSE 'odd' END AS course_nice
+        FROM wide, (VALUES ('Swim', 1), ('Ride', 2)) p(part, leg)""",
+        WIDE_SQL,
+    ),
+)
+def update_joins_last_line(spark, sf_dir):
+    """Lists that hold a key twice, in either order of their values: the later line counts in each lookup."""
+    wide = wide_seconds(spark, sf_dir)
+    lines = lambda *values: F.explode(F.array(*[F.struct(F.lit(k).alias("line"), *v) for k, v in enumerate(values)])).alias("v")
+    key, done = F.col("o_custkey"), F.col("status") == "F"
+
+    flags = lambda split, whole: (split.alias("split_valid"), whole.alias("cumulative_valid"))
+    listed = wide.filter("status in ('F', 'O')").select(
+        "o_custkey", short_day().alias("date_ymd"), "name", F.lit("Swim").alias("part"), lines(flags(~done, ~done), flags(done, done))
+    )
+    order = ["v.line", "date_ymd", "o_custkey"]
+    listed = listed.repartitionByRange(*order).sortWithinPartitions(*order).select("date_ymd", "name", "part", "v.split_valid", "v.cumulative_valid")
+    listed = readers.read_timing_problems(spark, written_csv(listed, "problems"))
+
+    fixed = wide.filter("price > 150000").select(
+        "o_custkey",
+        short_day().alias("date_ymd"),
+        "name",
+        lines([F.when(done, "int").otherwise("full").alias("course")], [F.when(done, "full").otherwise("int").alias("course")]),
+    )
+    fixed = fixed.repartitionByRange(*order).sortWithinPartitions(*order).select("date_ymd", "name", "v.course")
+    fixed = readers.read_overrides(spark, written_csv(fixed, "overrides"))
+
+    ending = lambda a, b: F.when(key % 3 == 0, a).otherwise(b)
+    named = wide.filter("o_custkey % 3 < 2").select("o_custkey", "name").distinct()
+    named = named.select(
+        "o_custkey", F.upper("name").alias("name_in"),
+        lines(*[[F.concat("name", F.lit(" "), ending(a, b)).alias("name_out")] for a, b in (("c", "b"), ("b", "c"))]),
+    )
+    named = named.repartitionByRange("v.line", "o_custkey").sortWithinPartitions("v.line", "o_custkey")
+    named = readers.read_aliases(spark, written_csv(named.select("name_in", "v.name_out", F.lit(None).cast("string").alias("other")), "aliases"))
+
+    even = F.dayofmonth("date_ymd") % 2 == 0
+    days = race_days(spark, sf_dir).select("date_ymd", lines([F.lit("odd").alias("label")], [F.when(even, "even again").otherwise("odd").alias("label")]))
+    days = days.repartitionByRange("v.line", "date_ymd").sortWithinPartitions("v.line", "date_ymd")
+    blank = lambda kind: F.lit(None).cast(kind)
+    days = days.select(
+        F.lit("s").alias("season"), F.lit(1).alias("race_number"), short_day().alias("date_ymd"), F.col("v.label").alias("race_type"),
+        blank("boolean").alias("cancelled"), blank("boolean").alias("scheduled"), blank("string").alias("cancelled_reason"), blank("string").alias("report_id"),
+    )
+    days = readers.read_calendar(spark, written_csv(days, "calendar")).withColumnRenamed("race_type", "course_nice")
+
+    legs = F.explode(F.array(F.lit("Swim"), F.lit("Ride"))).alias("part")
+    rows = wide.select("date_ymd", "name", legs, "course")
+    rows = attach_calendar(rows, days, on=["date_ymd"], columns=["course_nice"])
+    rows = apply_overrides(attach_problems(rows, listed), fixed, ["date_ymd", "name"], ["course"])
+    return apply_aliases(rows, named).select("date_ymd", "name", "part", "split_valid", "cumulative_valid", "course", "course_nice")
 
 
 @query(
@@ -239,7 +318,7 @@ def read_start_list(spark, sf_dir):
         "name", words[0].alias("first"), words[1].alias("last"), "course", "chip"
     )
     path = written_csv(listed, "start-list", header=False, sep="\t", emptyValue="")
-    return readers.read_start_list(spark, path)
+    return readers.read_start_list(spark, path).drop(POSITION)
 
 
 @query(
@@ -284,7 +363,7 @@ def read_course_shapes(spark, sf_dir):
     )
     later = written_csv(customers, "shapes")
     shapes = readers.read_course_shapes(spark, written_csv(suppliers, "shapes"), extra=[later])
-    return geo.rename_distances(shapes)
+    return geo.rename_distances(shapes).drop(POSITION)
 
 
 @query(

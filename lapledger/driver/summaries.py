@@ -548,77 +548,45 @@ def pois_near_course(spark, sf_dir):
 # race headline with bests ------------------------------------------------------------------------
 
 
-@query(
-    "race_pb_headline",
-    sql(
-        """SELECT * EXCLUDE (told), competitors || ' competitors entered the course' || CASE WHEN new_pb_legs > 0 THEN
-          ', achieving ' || new_pb_legs || ' new split PBs: ' || CASE len(told) WHEN 1 THEN told[1]
-            WHEN 2 THEN told[1] || ' and ' || told[2] ELSE told[1] || ', ' || told[2] || ', and ' || told[3] END
-          ELSE '' END || '.' AS sentence
-        FROM (SELECT *, list_filter([
-            CASE WHEN "new_pb_Swim" > 0 THEN "new_pb_Swim" || ' in the pool' END,
-            CASE WHEN "new_pb_Ride" > 0 THEN "new_pb_Ride" || ' on the bike' END,
-            CASE WHEN "new_pb_Run" > 0 THEN "new_pb_Run" || ' on the run' END], lambda x: x IS NOT NULL) AS told
-        FROM (SELECT season, race_number, course, is_champ,
-          count(CASE WHEN part = 'Swim' THEN 1 END) AS competitors,
-          CAST(0 AS BIGINT) AS new_pb_overall,
-          count(CASE WHEN pb AND part = 'Swim' AND course <> 'teams' THEN 1 END) AS "new_pb_Swim",
-          count(CASE WHEN pb AND part = 'Ride' AND course <> 'teams' THEN 1 END) AS "new_pb_Ride",
-          count(CASE WHEN pb AND part = 'Run' AND course <> 'teams' THEN 1 END) AS "new_pb_Run",
-          count(CASE WHEN pb AND course <> 'teams' THEN 1 END) AS new_pb_legs
-        FROM (SELECT *, coalesce(split_valid AND duration_mins = min(CASE WHEN split_valid
-            THEN duration_mins END) OVER (PARTITION BY name, season, course, part ORDER BY date_ymd), false)
-            AND row_number() OVER (PARTITION BY name, season, part ORDER BY date_ymd) <> 1 AS pb
-          FROM leg_times) GROUP BY 1, 2, 3, 4))""",
-        WIDE_SQL,
-        LEG_TIMES_SQL,
-    ),
+RACE_PB_HEADLINE_SQL = sql(
+    """SELECT * EXCLUDE (told, achieved), competitors || ' competitors entered the course' || CASE len(achieved)
+      WHEN 0 THEN '' WHEN 1 THEN ', achieving ' || achieved[1]
+      ELSE ', achieving ' || achieved[1] || ' and ' || achieved[2] END || '.' AS sentence
+    FROM (SELECT *, list_filter([
+        CASE WHEN new_pb_overall > 0 THEN new_pb_overall || ' new overall PBs' END,
+        CASE WHEN new_pb_legs > 0 THEN new_pb_legs || ' new split PBs: ' || CASE len(told) WHEN 1 THEN told[1]
+          WHEN 2 THEN told[1] || ' and ' || told[2] ELSE told[1] || ', ' || told[2] || ', and ' || told[3] END
+        END], lambda x: x IS NOT NULL) AS achieved
+    FROM (SELECT *, list_filter([
+        CASE WHEN "new_pb_Swim" > 0 THEN "new_pb_Swim" || ' in the pool' END,
+        CASE WHEN "new_pb_Ride" > 0 THEN "new_pb_Ride" || ' on the bike' END,
+        CASE WHEN "new_pb_Run" > 0 THEN "new_pb_Run" || ' on the run' END], lambda x: x IS NOT NULL) AS told
+    FROM (SELECT season, race_number, course, is_champ,
+      count(CASE WHEN part = 'Swim' THEN 1 END) AS competitors,
+      count(CASE WHEN overall_pb AND part = 'Swim' AND course <> 'teams' THEN 1 END) AS new_pb_overall,
+      count(CASE WHEN pb AND part = 'Swim' AND course <> 'teams' THEN 1 END) AS "new_pb_Swim",
+      count(CASE WHEN pb AND part = 'Ride' AND course <> 'teams' THEN 1 END) AS "new_pb_Ride",
+      count(CASE WHEN pb AND part = 'Run' AND course <> 'teams' THEN 1 END) AS "new_pb_Run",
+      count(CASE WHEN pb AND course <> 'teams' THEN 1 END) AS new_pb_legs
+    FROM (SELECT *, again AND coalesce(split_valid AND duration_mins = min(CASE WHEN split_valid
+        THEN duration_mins END) OVER sofar, false) AS pb,
+      again AND coalesce(overall_valid AND overall_mins = min(CASE WHEN overall_valid
+        THEN overall_mins END) OVER sofar, false) AS overall_pb
+      FROM (SELECT *, max(cumulative_mins) OVER effort AS overall_mins,
+          bool_and(cumulative_valid) OVER effort AS overall_valid,
+          row_number() OVER (PARTITION BY name, season, part ORDER BY date_ymd) <> 1 AS again
+        FROM leg_times WINDOW effort AS (PARTITION BY name, date_ymd))
+      WINDOW sofar AS (PARTITION BY name, season, course, part ORDER BY date_ymd)) GROUP BY 1, 2, 3, 4)))""",
+    WIDE_SQL,
+    LEG_TIMES_SQL,
 )
-def race_pb_headline(spark, sf_dir):
-    rows = totals.first_race(totals.running_entries(leg_times(spark, sf_dir), order=("date_ymd",)))
-    best = bests.running_best_leg(rows, order=("date_ymd",))
-    marked = bests.new_pb(best, "new_pb_leg", "duration_mins", "running_best_leg")
-    return aggregates.race_pb_headline(marked.withColumn("new_pb_overall", F.lit(False)))
-
 
 
-@query(
-    "race_pb_headline_overall",
-    sql(
-        """SELECT * EXCLUDE (told, achieved), competitors || ' competitors entered the course' || CASE len(achieved)
-          WHEN 0 THEN '' WHEN 1 THEN ', achieving ' || achieved[1]
-          ELSE ', achieving ' || achieved[1] || ' and ' || achieved[2] END || '.' AS sentence
-        FROM (SELECT *, list_filter([
-            CASE WHEN new_pb_overall > 0 THEN new_pb_overall || ' new overall PBs' END,
-            CASE WHEN new_pb_legs > 0 THEN new_pb_legs || ' new split PBs: ' || CASE len(told) WHEN 1 THEN told[1]
-              WHEN 2 THEN told[1] || ' and ' || told[2] ELSE told[1] || ', ' || told[2] || ', and ' || told[3] END
-            END], lambda x: x IS NOT NULL) AS achieved
-        FROM (SELECT *, list_filter([
-            CASE WHEN "new_pb_Swim" > 0 THEN "new_pb_Swim" || ' in the pool' END,
-            CASE WHEN "new_pb_Ride" > 0 THEN "new_pb_Ride" || ' on the bike' END,
-            CASE WHEN "new_pb_Run" > 0 THEN "new_pb_Run" || ' on the run' END], lambda x: x IS NOT NULL) AS told
-        FROM (SELECT season, race_number, course, is_champ,
-          count(CASE WHEN part = 'Swim' THEN 1 END) AS competitors,
-          count(CASE WHEN overall_pb AND part = 'Swim' AND course <> 'teams' THEN 1 END) AS new_pb_overall,
-          count(CASE WHEN pb AND part = 'Swim' AND course <> 'teams' THEN 1 END) AS "new_pb_Swim",
-          count(CASE WHEN pb AND part = 'Ride' AND course <> 'teams' THEN 1 END) AS "new_pb_Ride",
-          count(CASE WHEN pb AND part = 'Run' AND course <> 'teams' THEN 1 END) AS "new_pb_Run",
-          count(CASE WHEN pb AND course <> 'teams' THEN 1 END) AS new_pb_legs
-        FROM (SELECT *, again AND coalesce(split_valid AND duration_mins = min(CASE WHEN split_valid
-            THEN duration_mins END) OVER sofar, false) AS pb,
-          again AND coalesce(overall_valid AND overall_mins = min(CASE WHEN overall_valid
-            THEN overall_mins END) OVER sofar, false) AS overall_pb
-          FROM (SELECT *, max(cumulative_mins) OVER effort AS overall_mins,
-              bool_and(cumulative_valid) OVER effort AS overall_valid,
-              row_number() OVER (PARTITION BY name, season, part ORDER BY date_ymd) <> 1 AS again
-            FROM leg_times WINDOW effort AS (PARTITION BY name, date_ymd))
-          WINDOW sofar AS (PARTITION BY name, season, course, part ORDER BY date_ymd)) GROUP BY 1, 2, 3, 4)))""",
-        WIDE_SQL,
-        LEG_TIMES_SQL,
-    ),
-)
-def race_pb_headline_overall(spark, sf_dir):
-    """The headline with overall bests, which the SQL of ``race_pb_headline`` holds at nought."""
+# the second name is that of an earlier round
+@query("race_pb_headline_overall", RACE_PB_HEADLINE_SQL)
+@query("race_pb_headline", RACE_PB_HEADLINE_SQL)
+def race_pb_headline(spark, sf_dir):
+    """New bests of legs and of whole efforts."""
     whole = {"overall_mins": F.max("cumulative_mins"), "overall_valid": F.bool_and("cumulative_valid")}
     timed = spread.group_values(leg_times(spark, sf_dir), ["name", "date_ymd"], whole)
     rows = totals.first_race(totals.running_entries(timed, order=("date_ymd",)))

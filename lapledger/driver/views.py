@@ -22,14 +22,16 @@ from lapledger.operators.calendar import (
     results_availability,
 )
 from lapledger.operators.joins import apply_aliases
-from lapledger.plans.facts import RESULT_IDS, build_facts, long_results
+from lapledger.plans.facts import RESULT_IDS, build_facts, entered, long_results
 from lapledger.session import new_path, settle
-from lapledger.sources.readers import history_long
+from lapledger.sources.readers import RACERS, expanded_calendar, history_long, participation_long, team_long
 from lapledger.sources.writers import load_snapshot, save_snapshot
 
 BEFORE_SEASON = "1998-1999"
 #: A customer's next order on a date belongs to the entrant so many numbers on.
 NEXT_ENTRANT = 1_000_000_000
+#: Seconds before the start of races that record the time of day.
+CLOCK_START = 6 * 3600
 YEARS = tuple(range(1995, 2002))
 SEASON_HEADERS = tuple(f"'{y % 100:02d}-{(y + 1) % 100:02d}" for y in YEARS)
 
@@ -197,9 +199,15 @@ wide AS (
   FROM w0)"""
 
 
-def raw_results(spark: SparkSession, sf_dir: str, wide: DataFrame | None = None) -> DataFrame:
-    """The efforts as an export would hold them: everything is text."""
+def raw_results(
+    spark: SparkSession, sf_dir: str, wide: DataFrame | None = None, clock: Column | None = None
+) -> DataFrame:
+    """The efforts as an export would hold them: everything is text.
+
+    Where ``clock`` holds, totals are times of day of a race that began at six.
+    """
     wide = wide_seconds(spark, sf_dir) if wide is None else wide
+    total = F.col("recorded") + (0 if clock is None else F.when(clock, CLOCK_START).otherwise(0))
     blank = F.when(F.col("status") == "O", "-").when(F.col("status") == "F", "")
     first = F.when(F.col("s1").isNull(), blank).otherwise(export_time(F.col("s1")))
     later = {
@@ -219,7 +227,7 @@ def raw_results(spark: SparkSession, sf_dir: str, wide: DataFrame | None = None)
         F.when(F.col("status") == "P", "-").otherwise("1").alias("place"),
         first.alias("Swim"),
         *[text.alias(leg) for leg, text in later.items()],
-        F.coalesce(export_time(F.col("recorded")), F.lit("DNF")).alias("time"),
+        F.coalesce(export_time(total), F.lit("DNF")).alias("time"),
         F.concat(sign, export_time(F.abs("handicap_s"))).alias("handicap"),
         (F.col("race_type") == "Super Teams").alias("participation_only"),
         F.concat(F.lit("r-"), F.date_format("date_ymd", "yyyy-MM-dd")).alias("race_ref"),
@@ -267,8 +275,54 @@ def overrides(spark: SparkSession, sf_dir: str, wide: DataFrame | None = None) -
 
 
 def bad_races(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return race_dates(spark, sf_dir, 31)
+
+
+def race_dates(spark: SparkSession, sf_dir: str, day: int) -> DataFrame:
+    """The dates with an order on this day of a month."""
     dates = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("date_ymd"))
-    return dates.filter(F.dayofmonth("date_ymd") == 31).distinct()
+    return dates.filter(F.dayofmonth("date_ymd") == day).distinct()
+
+
+def clock_races(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Races whose exports have the time of day as total."""
+    return race_dates(spark, sf_dir, 5)
+
+
+def dupe_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Races whose entrants of the other courses are also in the export of the double course."""
+    return race_dates(spark, sf_dir, 10)
+
+
+def on_team_sheet() -> Column:
+    """Efforts that are kept on team sheets instead of exports."""
+    return F.col("course") == "teams"
+
+
+def on_list() -> Column:
+    """Efforts that are kept on the hand-kept list instead of exports."""
+    return (F.dayofmonth("date_ymd") == 29) & F.col("course").isin("full", "int")
+
+
+def team_sheets(wide: DataFrame) -> DataFrame:
+    """Three racers of a race a row, by number; the last team of a race may have fewer."""
+    place = F.row_number().over(Window.partitionBy("date_ymd").orderBy("o_custkey")) - 1
+    placed = wide.filter(on_team_sheet()).withColumn("place", place)
+    team = (F.floor(F.col("place") / 3) + 1).cast("string").alias("Team No")
+    racers = [F.max(F.when(F.col("place") % 3 == i, F.upper("name"))).alias(c) for i, c in enumerate(RACERS)]
+    return placed.groupBy("season", "race_number", "date_ymd", team).agg(*racers)
+
+
+def participation_list(wide: DataFrame) -> DataFrame:
+    return wide.filter(on_list()).select("date_ymd", "course", F.upper("name").alias("name"), F.lit(False).alias("is_champ"))
+
+
+def export_rows(wide: DataFrame) -> DataFrame:
+    """The efforts that exports hold, some of them twice on the dates with double entries."""
+    held = wide.filter(~(on_team_sheet() | on_list()))
+    twice = (F.dayofmonth("date_ymd") == 10) & F.col("course").isin("full", "int") & (F.col("status") == "F")
+    again = held.filter(twice).withColumns({"course": F.lit("double"), "is_champ": F.lit(False)})
+    return held.unionByName(again)
 
 
 def history_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -306,16 +360,38 @@ def newcomers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 NAMED_SQL = """
+kinds AS (
+  SELECT *, CASE WHEN course = 'teams' THEN 'teams' WHEN day(date_ymd) = 29 AND course IN ('full', 'int') THEN 'listed'
+         ELSE 'export' END AS entry_source FROM wide),
+entries AS (
+  SELECT * FROM kinds WHERE started OR entry_source <> 'export'
+  UNION ALL
+  SELECT * REPLACE ('double' AS course, false AS is_champ) FROM kinds
+  WHERE started AND entry_source = 'export' AND day(date_ymd) = 10 AND course IN ('full', 'int') AND status = 'F'),
+counted AS (SELECT *, count(*) OVER (PARTITION BY o_custkey, date_ymd) AS times FROM entries),
+single AS (SELECT * FROM counted WHERE NOT (day(date_ymd) = 10 AND times > 1 AND course = 'double')),
+clocked AS (
+  SELECT *, CASE WHEN day(date_ymd) <> 5 THEN recorded
+                 WHEN floor((recorded + 21600) / 3600) = 7 THEN recorded ELSE recorded + 21600 END AS fixed
+  FROM single),
 named AS (
-  SELECT wide.* EXCLUDE (name, course),
+  SELECT clocked.* EXCLUDE (name, course, s1, s2, s3, recorded, handicap_s, started, is_champ, fixed),
          'Entrant K' || o_custkey || CASE WHEN c_mktsegment = 'BUILDING' THEN ' B' ELSE '' END AS name,
          c_mktsegment AS segment,
-         CASE WHEN price > 450000 THEN 'int' ELSE course END AS course
-  FROM wide LEFT JOIN customer ON c_custkey = o_custkey)"""
+         CASE WHEN price > 450000 THEN 'int' ELSE course END AS course,
+         CASE WHEN entry_source = 'export' THEN is_champ ELSE false END AS is_champ, true AS started,
+         CASE WHEN entry_source <> 'export' THEN 600 WHEN day(date_ymd) = 5 THEN fixed ELSE s1 END AS s1,
+         CASE WHEN entry_source <> 'export' THEN 1800 ELSE s2 END AS s2,
+         CASE WHEN entry_source <> 'export' THEN 1200 ELSE s3 END AS s3,
+         CASE WHEN entry_source = 'export' THEN fixed END AS recorded,
+         CASE WHEN entry_source = 'export' THEN handicap_s END AS handicap_s,
+         CASE WHEN entry_source = 'export' THEN CAST(o_custkey AS VARCHAR) END AS bib,
+         race_type = 'Super Teams' OR entry_source <> 'export' AS participation_only
+  FROM clocked LEFT JOIN customer ON c_custkey = o_custkey)"""
 
 TIMED_SQL = """
 v1 AS (
-  SELECT *, race_type = 'Super Teams' OR day(date_ymd) = 31 AS lost,
+  SELECT *, participation_only OR day(date_ymd) = 31 AS lost,
          coalesce(handicap_s + coalesce(s1, 0) > 0, false) AS handicap_valid
   FROM named WHERE started),
 v2 AS (
@@ -334,9 +410,9 @@ v6 AS (SELECT *, CASE WHEN total_resolve = 'cumulative' THEN c3 ELSE total1 END
               CASE WHEN total_resolve = 'imported' THEN total1 ELSE c3 END AS c3b FROM v5),
 v7 AS (SELECT *, coalesce(total2, greatest(c1, c2, c3b)) AS overall_seconds FROM v6),
 timed AS (
-  SELECT season, race_number, date_ymd, race_type, course, is_champ, CAST(o_custkey AS VARCHAR) AS bib,
+  SELECT season, race_number, date_ymd, race_type, course, is_champ, bib, entry_source,
          name, segment, started, p.part, p.leg, overall_valid, handicap_valid, handicap_s,
-         total_disagree, total_resolve, race_type = 'Super Teams' AS participation_only,
+         total_disagree, total_resolve, participation_only,
          CASE p.leg WHEN 1 THEN sv1 WHEN 2 THEN sv2 ELSE sv3 END AS split_valid,
          CASE p.leg WHEN 1 THEN cv1 WHEN 2 THEN cv2 ELSE cv3 END AS cumulative_valid,
          CAST(CASE p.leg WHEN 1 THEN d1 WHEN 2 THEN d2 ELSE d3 END AS DOUBLE) AS duration_seconds,
@@ -492,19 +568,39 @@ def long_rows(spark: SparkSession, sf_dir: str, wide: DataFrame | None = None) -
     return long_results(raw, [*RESULT_IDS, "participation_only", "race_ref", "race_link"])
 
 
-def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The full batch on the exports made from orders and lines.
+#: What rows of sheets and lists take from the calendar.
+FROM_CALENDAR = ("race_type", "race_ref", "race_link")
+
+
+def batch_rows(spark: SparkSession, sf_dir: str, wide: DataFrame) -> DataFrame:
+    """Exports, team sheets and the hand-kept list in one frame of legs."""
+    clock = F.dayofmonth("date_ymd") == 5
+    raw = raw_results(spark, sf_dir, export_rows(wide), clock)
+    exports = long_results(raw, [*RESULT_IDS, "participation_only", "race_ref", "race_link"])
+    day = F.date_format("date_ymd", "yyyy-MM-dd")
+    races = expanded_calendar(race_days(spark, sf_dir)).withColumns(
+        {"race_ref": F.concat(F.lit("r-"), day), "race_link": day}
+    )
+    teams = team_long(team_sheets(wide), races, FROM_CALENDAR)
+    listed = participation_long(participation_list(wide), races, ("season", "race_number", *FROM_CALENDAR))
+    return entered(exports, teams, listed)
+
+
+def facts(spark: SparkSession, sf_dir: str, wide: DataFrame | None = None) -> DataFrame:
+    """The full batch on the exports, team sheets and lists made from orders and lines.
 
     The efforts are written to the shared folder once: results, problems and overrides are made from
     them, as they would be read from files.
     """
-    wide = settle(wide_seconds(spark, sf_dir))
+    wide = settle(wide_seconds(spark, sf_dir)) if wide is None else wide
     return build_facts(
-        long_rows(spark, sf_dir, wide),
+        batch_rows(spark, sf_dir, wide),
         aliases=aliases(spark, sf_dir),
         problems=problems(spark, sf_dir, wide),
         overrides=overrides(spark, sf_dir, wide),
         bad_races=bad_races(spark, sf_dir),
+        clock_races=clock_races(spark, sf_dir),
+        dupe_dates=dupe_dates(spark, sf_dir),
         prehistory=prehistory_totals(history(spark, sf_dir), BEFORE_SEASON),
         newcomers=newcomers(spark, sf_dir),
     )

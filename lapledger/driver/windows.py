@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lapledger.driver import views
 from lapledger.driver.registry import query
 from lapledger.driver.views import (
     EFFORTS_SQL,
@@ -21,9 +22,11 @@ from lapledger.driver.views import (
 )
 from lapledger.functions.times import time_seconds
 from lapledger.model import LEGS
-from lapledger.operators import bests, ranks, reconcile, totals
+from lapledger.operators import bests, ranks, reconcile, totals, update
 from lapledger.operators.clean import clean_names, parse_times
+from lapledger.plans import snapshot
 from lapledger.plans.facts import cleaned_results
+from lapledger.session import new_path, settle
 
 KEYS = ["name", "date_ymd", "effort"]
 TIES = {"tie_keys": ("name", "date_ymd", "effort")}
@@ -690,7 +693,7 @@ def drop_cross_course_dupes(spark, sf_dir):
 @query(
     "batch_facts",
     facts_sql(
-        """SELECT season, race_number, date_ymd, course, is_champ, name, part, split_valid,
+        """SELECT season, race_number, date_ymd, course, is_champ, name, part, entry_source, split_valid,
         cumulative_valid, overall_valid, duration_seconds, cumulative_seconds, overall_seconds,
         place_leg, place_cumulative, place_overall, effort_rank_leg, effort_rank_cumulative,
         effort_rank_overall, entries_cumulative, entries_total, entries_total_fd, is_last_entry,
@@ -711,6 +714,7 @@ def batch_facts(spark, sf_dir):
         "is_champ",
         "name",
         "part",
+        "entry_source",
         "split_valid",
         "cumulative_valid",
         "overall_valid",
@@ -749,6 +753,27 @@ def batch_facts(spark, sf_dir):
     )
 
 
+@query(
+    "add_season",
+    facts_sql(
+        """SELECT season, race_number, date_ymd, course, is_champ, name, part, place_overall, record_rank_overall,
+        entries_cumulative, entries_total, is_last_entry, entries_cumulative_all, entries_cumulative_all_fd,
+        entries_total_all, entries_total_all_fd, is_last_entry_all FROM facts"""
+    ),
+)
+def add_season(spark, sf_dir):
+    """A snapshot of all seasons but the first and the last, to which these are added, the earlier one last."""
+    wide = settle(views.wide_seconds(spark, sf_dir))
+    first, last = wide.agg(F.min("season"), F.max("season")).first()
+    path = new_path(spark, "seasons")
+    for part in (~F.col("season").isin(first, last), F.col("season") == last, F.col("season") == first):
+        snapshot.save_seasons(facts(spark, sf_dir, wide.filter(part)), path)
+    return snapshot.load_seasons(spark, path).select(
+        "season", "race_number", "date_ymd", "course", "is_champ", "name", "part", "place_overall", "record_rank_overall",
+        "entries_cumulative", "entries_total", "is_last_entry", *snapshot.CAREER,
+    )
+
+
 @query(
     "timed_efforts",
     timed_sql(
@@ -792,11 +817,8 @@ def timed_efforts(spark, sf_dir):
 )
 def time_of_day_fix(spark, sf_dir):
     """Races on the last day of a long month recorded the clock."""
-    from lapledger.driver.views import bad_races
-    from lapledger.operators.update import time_of_day_fix as fix
-
     rows = clean_names(long_rows(spark, sf_dir), split=False)
-    fixed = fix(rows, bad_races(spark, sf_dir))
+    fixed = update.time_of_day_fix(rows, views.bad_races(spark, sf_dir))
     listed = (F.dayofmonth("date_ymd") == 31) & (F.col("part") == "Swim")
     return fixed.select(
         *LEG_OUT,
@@ -821,11 +843,8 @@ named AS (
     ),
 )
 def invalidate(spark, sf_dir):
-    from lapledger.driver.views import aliases, bad_races, problems
-    from lapledger.operators.update import invalidate as drop_flags
-
     rows = cleaned_results(
-        long_rows(spark, sf_dir), aliases(spark, sf_dir), problems(spark, sf_dir)
+        long_rows(spark, sf_dir), views.aliases(spark, sf_dir), views.problems(spark, sf_dir)
     ).withColumn("overall_valid", F.lit(True))
-    marked = drop_flags(rows, bad_races(spark, sf_dir))
+    marked = update.invalidate(rows, views.bad_races(spark, sf_dir))
     return marked.select(*LEG_OUT, "split_valid", "cumulative_valid")

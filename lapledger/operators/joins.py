@@ -14,19 +14,31 @@ from pyspark.sql import functions as F
 from lapledger.functions.names import standard_name
 
 
+#: The column that readers give rows their place in the files with.
+POSITION = "position"
+
+
 def last_match(df: DataFrame, on: Sequence[str], order: str | None = None) -> DataFrame:
     """One row per key, so that a join keeps the row count: the one with the largest ``order``.
 
-    Without an order the largest row wins, which is the same row in every run.
+    Without an order the last row by ``position`` wins where the rows have one, as in lists read from files, else
+    the largest row, which is the same row in every run. The position goes.
     """
-    others = [c for c in df.columns if c not in on]
+    if order is None and POSITION in df.columns and POSITION not in on:
+        order = POSITION
+    others = [c for c in df.columns if c not in on and c != POSITION]
     if not others:
-        return df.distinct()
+        return df.select(*on).distinct()
     row = F.struct(*[F.col(c) for c in others])
     kept = F.max_by(row, F.struct(F.col(order), row)) if order else F.max(row)
     return df.groupBy(*on).agg(kept.alias("__row")).select(*on, *[F.col(f"__row.{c}") for c in others])
 
 
+def positioned(df: DataFrame) -> list[str]:
+    """The column that tells which row of a key is the last, if there is one."""
+    return [POSITION] if POSITION in df.columns else []
+
+
 def attach_columns(
     df: DataFrame,
     right: DataFrame,
@@ -34,8 +46,8 @@ def attach_columns(
     columns: Sequence[str],
     order: str | None = None,
 ) -> DataFrame:
-    """Left join of one matching row; columns the left side already has are replaced."""
-    extra = [order] if order and order not in columns else []
+    """Left join of the last matching row; columns the left side already has are replaced."""
+    extra = [order] if order and order not in columns else positioned(right)
     lookup = last_match(right.select(*on, *columns, *extra), on, order).select(*on, *columns)
     return df.drop(*columns).join(lookup, list(on), "left")
 
@@ -51,10 +63,9 @@ def attach_calendar(
 
 
 def apply_aliases(df: DataFrame, aliases: DataFrame, name: str = "name") -> DataFrame:
-    """Replace names whose lower-case form has a correction; the result is standardised as well."""
-    fixes = last_match(
-        aliases.select(F.lower("name_in").alias("__key"), F.col("name_out").alias("__out")), ["__key"]
-    )
+    """Replace names whose lower-case form has a correction, the last one; the result is standardised as well."""
+    fixes = aliases.select(F.lower("name_in").alias("__key"), F.col("name_out").alias("__out"), *positioned(aliases))
+    fixes = last_match(fixes, ["__key"])
     keyed = df.withColumn("__key", F.lower(name)).join(fixes, "__key", "left")
     fixed = F.coalesce(standard_name(F.col("__out")), F.col(name))
     return keyed.withColumn(name, fixed).select(*df.columns)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapledger.model import FIRST_LEG
-from lapledger.operators.joins import last_match
+from lapledger.operators.joins import last_match, positioned
 
 VALID_FLAGS = ("split_valid", "cumulative_valid", "overall_valid")
 
@@ -32,8 +32,8 @@ def cast_places(df: DataFrame, place: str = "place", to: str = "place_import") -
 def apply_overrides(
     df: DataFrame, overrides: DataFrame, on: Sequence[str], set_cols: Sequence[str]
 ) -> DataFrame:
-    """Rows with an entry in ``overrides`` take its values, also where that value is null."""
-    fixes = last_match(overrides.select(*on, *set_cols), on).select(
+    """Rows with an entry in ``overrides`` take the values of the last one, also where a value is null."""
+    fixes = last_match(overrides.select(*on, *set_cols, *positioned(overrides)), on).select(
         *on, *[F.col(c).alias(f"__set_{c}") for c in set_cols], F.lit(True).alias("__found")
     )
     joined = df.join(fixes, list(on), "left")

@@ -19,7 +19,7 @@ from lapledger.operators import bests, ranks, reconcile, totals
 from lapledger.operators.calendar import course_labels
 from lapledger.operators.clean import clean_names, render_places, split_names
 from lapledger.operators.joins import apply_aliases, attach_prehistory, attach_problems
-from lapledger.operators.reshape import legs_long
+from lapledger.operators.reshape import legs_long, union_fill
 from lapledger.operators.update import (
     apply_overrides,
     cast_places,
@@ -86,19 +86,40 @@ def long_results(wide: DataFrame, ids: Sequence[str] = RESULT_IDS) -> DataFrame:
     return legs_long(renamed.filter("started"), ids)
 
 
+def entered(exports: DataFrame, teams: DataFrame | None = None, listed: DataFrame | None = None) -> DataFrame:
+    """Long rows of exports, team sheets and hand-kept lists in one frame; ``entry_source`` tells them apart.
+
+    Rows that are no export's are of participation only and have no bib, place, total or handicap. A team
+    with fewer racers than its sheet has places leaves rows without a name, which are no entries.
+    """
+    sources = {"export": exports, "teams": teams, "listed": listed}
+    frames = [df.withColumn("entry_source", F.lit(tag)) for tag, df in sources.items() if df is not None]
+    rows = union_fill(*frames)
+    if "participation_only" not in rows.columns:
+        rows = rows.withColumn("participation_only", F.lit(None).cast("boolean"))
+    return default_flags(rows, {"participation_only": False}).filter("entry_source = 'export' or name is not null")
+
+
 def cleaned_results(
     long: DataFrame,
     aliases: DataFrame | None = None,
     problems: DataFrame | None = None,
     overrides: DataFrame | None = None,
     clock_races: DataFrame | None = None,
+    dupe_dates: DataFrame | None = None,
+    hot: bool | None = None,
 ) -> DataFrame:
-    """Names corrected, validity flags set, single rows overridden: narrow steps and lookups."""
+    """Names corrected, double entries dropped, validity flags set, single rows overridden.
+
+    Entries of a corrected name count together, and what drops them goes by the course they were listed on.
+    """
     if "participation_only" not in long.columns:
         long = long.withColumn("participation_only", F.lit(None).cast("boolean"))
     named = clean_names(default_flags(long, {"participation_only": False}), split=False)
     if aliases is not None:
         named = apply_aliases(named, aliases)
+    if dupe_dates is not None:
+        named = reconcile.drop_cross_course_dupes(named, dupe_dates, hot=hot)
     if problems is not None:
         flagged = attach_problems(named, problems)
     else:
@@ -245,9 +266,7 @@ def build_facts(
         sizes = long.select(F.lower("name").alias("name"), *RACE)
         hot = spread.hot_key_sets(sizes, [("name",), RACE, RECORD])
     hot_name, hot_race, hot_record = hot
-    cleaned = cleaned_results(long, aliases, problems, overrides, clock_races)
-    if dupe_dates is not None:
-        cleaned = reconcile.drop_cross_course_dupes(cleaned, dupe_dates, hot=hot_name)
+    cleaned = cleaned_results(long, aliases, problems, overrides, clock_races, dupe_dates, hot_name)
     parsed = packed(parsed_results(cleaned), [*KEYS, *TIMING], "results")
     if not hot_name:
         # every key of the following steps starts from the name: one exchange for all of them

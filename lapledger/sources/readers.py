@@ -11,7 +11,7 @@ from lapledger.functions.texts import season_text
 from lapledger.model import LEGS
 from lapledger.operators.calendar import expand_championship, expand_courses
 from lapledger.operators.clean import clean_names
-from lapledger.operators.joins import apply_aliases, attach_calendar
+from lapledger.operators.joins import POSITION, apply_aliases, attach_calendar
 from lapledger.operators.reshape import legs_long
 from lapledger.session import settle
 from lapledger.spread import attach
@@ -46,9 +46,20 @@ SUMMARY_ROWS = (
 TOTALS_ID_COLUMNS = ("Name", "Bib", "In List?", "TOTAL")
 
 
+def _in_file_order(rows: DataFrame, column: str = POSITION) -> DataFrame:
+    """With each row's place in the files: path, start of the block, and a number that grows within the block.
+
+    It belongs right behind the reader: the number follows the order in which a task reads its rows.
+    """
+    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    path, start = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    return rows.withColumn(column, F.struct(path.alias("path"), start.alias("start"), within.alias("row")))
+
+
 def _csv(spark: SparkSession, path: str, schema: str, **options) -> DataFrame:
+    """The rows of a list, with their ``position``: where several rows have one key, the last in file order counts."""
     settings = {"header": True, "enforceSchema": True, "mode": "PERMISSIVE", **options}
-    return spark.read.options(**settings).schema(schema).csv(path)
+    return _in_file_order(spark.read.options(**settings).schema(schema).csv(path))
 
 
 def _day(column: str = "date_ymd") -> Column:
@@ -88,21 +99,21 @@ def read_results(
     Each line is bound to the headings of its own file, so files with other columns, another order
     or other spellings line up by name and miss what they lack. The folder "champ" is the
     championship on the full course. Files whose race is not in the expanded calendar are left out.
+    The headings are the first such line of a file's first block; later ones are no rows.
     """
     columns = columns or EXPORT_COLUMNS
-    lines = (
-        spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", file_filter)
-        .text(path)
-        .select(
-            F.col("_metadata.file_path").alias("__path"),
-            F.split(F.regexp_replace("value", "^\ufeff", ""), "\t").alias("__cells"),
-        )
+    lines = _in_file_order(
+        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", file_filter).text(path)
     )
+    cells = F.split(F.regexp_replace("value", "^\ufeff", ""), "\t").alias("__cells")
     is_header = F.array_contains("__cells", "Bib") & F.array_contains("__cells", "Name")
-    headers = lines.filter(is_header).select("__path", F.col("__cells").alias("__heads"))
+    # lines of other blocks go before they are looked at
+    starts = lines.filter(F.col(f"{POSITION}.start") == 0).select(f"{POSITION}.path", f"{POSITION}.row", cells)
+    first = F.min_by("__cells", "row").alias("__heads")
+    headers = starts.filter(is_header).groupBy(F.col("path").alias("__path")).agg(first)
     # one row per file, written once, so that Spark knows its size when it chooses the join
-    headers = settle(headers.dropDuplicates(["__path"]))
+    headers = settle(headers)
+    lines = lines.select(F.col(f"{POSITION}.path").alias("__path"), cells)
     rows = lines.filter(~is_header & (F.size("__cells") > 1))
     bound = attach(rows, headers, ["__path"], "inner")
 
@@ -133,35 +144,54 @@ def _placeholder_legs(df: DataFrame, ids: Sequence[str]) -> DataFrame:
     return long.withColumns({"started": F.lit(True), "participation_only": F.lit(True)})
 
 
+#: What hand-kept rows take from the calendar, by their date, course and championship.
+PARTICIPATION_CALENDAR = ("season", "race_number", "course_nice", "race_type")
+TEAM_CALENDAR = ("course_nice", "race_type")
+
+
+def participation_long(
+    listed: DataFrame, calendar: DataFrame, columns: Sequence[str] = PARTICIPATION_CALENDAR
+) -> DataFrame:
+    """Listed entrants (date_ymd, course, name, is_champ) with three placeholder legs each."""
+    legs = _placeholder_legs(listed, ["date_ymd", "course", "name", "is_champ"])
+    return attach_calendar(legs, calendar, columns=columns)
+
+
 def read_participation(spark: SparkSession, path: str, calendar: DataFrame) -> DataFrame:
     """Hand-kept list of who took part, three placeholder legs each."""
     schema = "date_ymd string, course string, name string, is_champ boolean"
     listed = _csv(spark, path, schema).withColumn("date_ymd", _day())
-    return attach_calendar(
-        _placeholder_legs(listed, ["date_ymd", "course", "name", "is_champ"]), calendar
-    )
+    return participation_long(listed, calendar)
 
 
-def read_team_sheets(spark: SparkSession, path: str, calendar: DataFrame) -> DataFrame:
-    """Team sheets with three racers a row: one row per racer and leg."""
-    racers = ["Racer 1", "Racer 2", "Racer 3"]
-    schema = "season string, race_number int, date_ymd string, `Team No` string, " + ", ".join(
-        f"`{racer}` string" for racer in racers
-    )
-    sheets = _csv(spark, path, schema).withColumn("date_ymd", _day())
+RACERS = ("Racer 1", "Racer 2", "Racer 3")
+
+
+def team_long(
+    sheets: DataFrame, calendar: DataFrame, columns: Sequence[str] = TEAM_CALENDAR
+) -> DataFrame:
+    """Team sheets (season, race_number, date_ymd, Team No, Racer 1 to 3): one row per racer and leg."""
     ids = ["season", "race_number", "date_ymd", "team_number"]
     named = sheets.withColumnRenamed("Team No", "team_number")
-    each = named.unpivot(ids, racers, "racer_ref", "name").withColumns(
+    each = named.unpivot(ids, list(RACERS), "racer_ref", "name").withColumns(
         {"course": F.lit("teams"), "is_champ": F.lit(False)}
     )
     long = _placeholder_legs(each, [*ids, "racer_ref", "name", "course", "is_champ"])
-    return attach_calendar(long, calendar, columns=("course_nice", "race_type"))
+    return attach_calendar(long, calendar, columns=columns)
+
+
+def read_team_sheets(spark: SparkSession, path: str, calendar: DataFrame) -> DataFrame:
+    """Team sheets with three racers a row: one row per racer and leg."""
+    schema = "season string, race_number int, date_ymd string, `Team No` string, " + ", ".join(
+        f"`{racer}` string" for racer in RACERS
+    )
+    return team_long(_csv(spark, path, schema).withColumn("date_ymd", _day()), calendar)
 
 
 def read_aliases(spark: SparkSession, path: str) -> DataFrame:
     """Name corrections, matched on the lower-case name."""
     aliases = _csv(spark, path, "name_in string, name_out string, other string")
-    return aliases.select(F.lower("name_in").alias("name_in"), "name_out")
+    return aliases.select(F.lower("name_in").alias("name_in"), "name_out", POSITION)
 
 
 def read_history_totals(
@@ -201,6 +231,12 @@ def read_timing_problems(spark: SparkSession, path: str) -> DataFrame:
     return _csv(spark, path, schema).withColumn("date_ymd", _day())
 
 
+def read_overrides(spark: SparkSession, path: str) -> DataFrame:
+    """Entries that were listed on the wrong course, with the right one."""
+    listed = _csv(spark, path, "date_ymd string, name string, course string")
+    return listed.withColumn("date_ymd", _day())
+
+
 def read_start_list(spark: SparkSession, path: str) -> DataFrame:
     """Start list without headings, named by position."""
     schema = "name string, first string, last string, course string, chip string"
@@ -220,15 +256,13 @@ def read_tracks(spark: SparkSession, path: str, files: DataFrame | None = None)
         .option("recursiveFileLookup", True)
         .schema("_lat double, _lon double, ele double, time string")
         .load(path)
-        .select(
-            F.col("_metadata.file_path").alias("__path"),
-            F.col("_metadata.file_block_start").alias("__start"),
-            F.col("_lat").alias("lat"),
-            F.col("_lon").alias("lon"),
-        )
     )
-    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    ordered = points.withColumn("seq", F.struct("__start", within.alias("row")))
+    ordered = _in_file_order(points).select(
+        F.col(f"{POSITION}.path").alias("__path"),
+        F.struct(F.col(f"{POSITION}.start").alias("__start"), F.col(f"{POSITION}.row").alias("row")).alias("seq"),
+        F.col("_lat").alias("lat"),
+        F.col("_lon").alias("lon"),
+    )
     if files is None:
         tagged = ordered.withColumns({"course": _folder(2), "part": _folder(1)})
     else:
