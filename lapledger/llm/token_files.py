@@ -23,7 +23,8 @@ from lapledger.llm.tables import chunks, shuffles_removed
 
 MAGIC = b"IDWORDS1"
 #: Magic, then documents, ids, blocks, words, escaped ids and bytes of the frame.
-HEAD = struct.Struct("<8s6q")
+HEAD = "<8s6q"
+HEAD_SIZE = struct.calcsize(HEAD)
 BLOCK = 1_024
 #: Ids after which a frame ends with the document at hand, and frames of a file: a file has about 60 MB at most.
 FRAME_IDS, FILE_FRAMES = 500_000, 48
@@ -124,15 +125,15 @@ def frame(docs: list[int | None], ids: list[bytes]) -> bytes:
         words.astype("<u8").tobytes(),
         escapes.astype("<u8").tobytes(),
     ]
-    size = HEAD.size + sum(map(len, parts))
-    return b"".join([HEAD.pack(MAGIC, len(docs), len(flat), len(offsets) - 1, len(words), len(escapes), size), *parts])
+    size = HEAD_SIZE + sum(map(len, parts))
+    return b"".join([struct.pack(HEAD, MAGIC, len(docs), len(flat), len(offsets) - 1, len(words), len(escapes), size), *parts])
 
 
 def heads(content: memoryview) -> Iterator[tuple[int, tuple[int, ...]]]:
     """Where each frame of a file's bytes starts, and the numbers of its head."""
     at = 0
     while at < len(content):
-        magic, *numbers = HEAD.unpack_from(content, at)
+        magic, *numbers = struct.unpack_from(HEAD, content, at)
         if magic != MAGIC:
             raise ValueError("not a frame of token ids")
         yield at, tuple(numbers)
@@ -142,7 +143,7 @@ def heads(content: memoryview) -> Iterator[tuple[int, tuple[int, ...]]]:
 def unframed(content: memoryview, at: int, head: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Documents, marks of null ids, lengths and all token ids of the frame that starts there."""
     docs, ids, blocks, words, escapes, _ = head
-    at += HEAD.size
+    at += HEAD_SIZE
     parts = []
     for kind, count in (("<i8", docs), ("u1", docs), ("<i8", docs), ("<i8", blocks + 1), ("<u8", words), ("<u8", escapes)):
         parts.append(np.frombuffer(content, kind, count, at))
