@@ -15,7 +15,7 @@ WITH pieces AS (
 worded AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
 totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM worded GROUP BY 1),
 runs AS (
-  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), i -> list_slice(w, i, i + k - 1))) AS p
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: list_slice(w, i, i + k - 1))) AS p
   FROM worded, (VALUES (1), (2), (3), (4), (5)) lengths(k) WHERE len(w) >= k),
 f AS (SELECT lang, k, p, CAST(count(*) AS BIGINT) AS f FROM runs GROUP BY ALL HAVING count(*) >= 100),
 inner_ AS (
