@@ -1,7 +1,8 @@
 """Similarity join of documents on word shingles, by adaptive multi-match prefixes.
 
-Shingles have one order for all documents: from rare to frequent, by a sketch of their counts over all
-documents, ties by hash. Two sets with similarity over the threshold share at least ``m`` shingles within the
+Shingles have one order for all documents: from rare to frequent, by the number of documents that hold them, ties
+by hash. They are counted in buckets of their hashes, to which tasks send them in arrays, once for each chunk of
+documents; each bucket answers a chunk with a byte for each of its shingles. Two sets with similarity over the threshold share at least ``m`` shingles within the
 first ``n - least overlap + m`` of either. So the first shingles of each set are its prefix; a set whose prefix
 would meet many others takes a longer one and asks for more shared shingles, whichever costs least by the
 counts of its own prefix. Pairs with enough shared shingles are verified on the whole sets.
@@ -13,6 +14,7 @@ large group of copies so costs as many pairs as it has members. The result is th
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -25,13 +27,12 @@ from pyspark.sql import functions as F
 
 from lapledger.llm.links import components
 from lapledger.llm.tables import Shelf, chunks
-from lapledger.llm.words import mixed, random_table, run_hashes, word_hashes, words_of
+from lapledger.llm.words import mixed, run_hashes, word_hashes, words_of
 
-#: Cells of the sketch of counts; each is sent to the tasks as one byte, 4 MB in all whatever the input.
-CELLS = 1 << 22
-BLOCK = 1 << 13
-#: The step of a cell that one set alone has counted in.
-ALONE = 8
+#: Shingles of a bucket in which they are counted.
+BUCKET = 1_000_000
+#: The level of a shingle that one document alone holds.
+ALONE = 0
 #: The most shared shingles that a prefix may ask for, and the cost of verifying a pair in rows of a posting list.
 MATCHES, VERIFY_COST = 4, 20
 
@@ -62,74 +63,108 @@ def must_share(percent: int, n: Column, m: Column) -> Column:
     return F.floor((percent * (n + m) + 99 + percent) / (100 + percent))
 
 
-def sizes_and_counts(docs: DataFrame, width: int) -> DataFrame:
-    """Rows of two kinds from one reading: ``id, n, key`` of each document, and ``block, counts`` of the sketch."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(CELLS, np.uint32)
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-        names = ["id", "n", "key", "key2", "block", "counts"]
-        for batch in batches:
-            for chunk in chunks(batch, "text"):
-                sets = shingle_sets(chunk.column(1), width)
-                for s in sets:
-                    cells[(s & np.uint64(CELLS - 1)).astype(np.int64)] += 1
-                n = len(sets)
-                keys = [int(mixed(s).sum(dtype=np.uint64).view(np.int64)) for s in sets]
-                others = [int(mixed(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64)) for s in sets]
-                columns = [chunk.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.int64()), pa.array(others, pa.int64())]
-                yield pa.RecordBatch.from_arrays([*columns, pa.nulls(n, kinds[4]), pa.nulls(n, kinds[5])], names)
-        used = [b for b in range(CELLS // BLOCK) if cells[b * BLOCK : (b + 1) * BLOCK].any()]
-        packed = [zlib.compress(cells[b * BLOCK : (b + 1) * BLOCK].tobytes(), 1) for b in used]
-        yield pa.RecordBatch.from_arrays([*(pa.nulls(len(used), k) for k in kinds[:4]), pa.array(used, kinds[4]), pa.array(packed, kinds[5])], names)
-
-    return docs.mapInArrow(count, "id long, n long, key long, key2 long, block int, counts binary")
+def set_keys(s: np.ndarray) -> tuple[int, int]:
+    """Two hashes of a set."""
+    return tuple(int(mixed(s ^ np.uint64(seed)).sum(dtype=np.uint64).view(np.int64)) for seed in (0, 0x5851F42D4C957F2D))
 
 
-def rarity(blocks: DataFrame) -> np.ndarray:
-    """A byte for each cell: eight steps for each doubling of its count."""
-
-    def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(BLOCK, np.uint64)
-        for packed in rows.counts:
-            total += np.frombuffer(zlib.decompress(packed), np.uint32)
-        steps = np.minimum(255, 8 * np.log2(1.0 + total)).astype(np.uint8)
-        return pd.DataFrame({"block": [key[0]], "steps": [steps.tobytes()]})
-
-    levels = np.zeros(CELLS, np.uint8)
-    for row in blocks.groupBy("block").applyInPandas(add, "block int, steps binary").toLocalIterator():
-        levels[row.block * BLOCK : (row.block + 1) * BLOCK] = np.frombuffer(row.steps, np.uint8)
-    return levels
+def chunked_sets(docs: DataFrame, width: int) -> DataFrame:
+    """Rows of two kinds from one reading: ``id, n, key, key2`` of each document, and chunks of documents.
 
+    A chunk has ``ids``, ``sizes`` and ``tokens`` of its sets, without null ids, empty sets and sets that it has already.
+    """
+    names = ["id", "n", "key", "key2", "chunk", "ids", "sizes", "tokens"]
+    kinds = [pa.int64()] * 5 + [pa.binary()] * 3
 
-def prefixes(docs: DataFrame, width: int, percent: int, levels: np.ndarray) -> DataFrame:
-    """``token, key, id, n, own, place`` of the longest prefix of each set; of equal sets in a task only the first's.
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk_number = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for chunk in chunks(batch, "text"):
+                docs, sets = chunk.column(0).to_pylist(), shingle_sets(chunk.column(1), width)
+                keys = [set_keys(s) for s in sets]
+                held: dict[tuple[int, int], int] = {}
+                for k, (doc, s, key) in enumerate(zip(docs, sets, keys)):
+                    if doc is not None and len(s):
+                        held.setdefault(key, k)
+                own = list(held.values())
+                blobs = [np.array([docs[k] for k in own], np.int64), np.array([len(sets[k]) for k in own], np.int64)]
+                blobs.append(np.concatenate([np.zeros(0, np.uint64), *(sets[k] for k in own)]))
+                columns = [docs, [len(s) for s in sets], [k[0] for k in keys], [k[1] for k in keys]]
+                none = [None] * len(docs)
+                last = [None] * 4 + [chunk_number] + [b.tobytes() for b in blobs]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([*(columns[k] if k < 4 else none), last[k]], kind) for k, kind in enumerate(kinds)], names
+                )
+                chunk_number += 1
+
+    return docs.mapInArrow(rows, "id long, n long, key long, key2 long, chunk long, ids binary, sizes binary, tokens binary")
+
+
+def levels(sets: DataFrame, total: int) -> DataFrame:
+    """``chunk, bucket, levels``: for each different shingle of a chunk, in order, a byte that grows with its count.
+
+    ALONE is for one document, and eight steps for each doubling above. A bucket has about BUCKET shingles and is
+    a range of hashes; a shingle comes once from each chunk, with its number of documents there.
+    """
+    bits = max(1, math.ceil(math.log2(max(2, total / BUCKET))))
+    shift = np.uint64(64 - bits)
 
-    ``own`` counts the shingles of the whole set whose cell of the sketch has counted one: no other set has them.
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+                tokens, counts = np.unique(np.frombuffer(blob.as_buffer(), np.uint64), return_counts=True)
+                buckets, starts = np.unique(tokens >> shift, return_index=True)
+                ends = np.append(starts[1:], len(tokens))
+                parts = [(tokens[a:b].tobytes(), zlib.compress(counts[a:b].astype(np.uint32).tobytes(), 1)) for a, b in zip(starts, ends)]
+                columns = [pa.array(buckets.astype(np.int64)), pa.array([chunk] * len(parts), pa.int64())]
+                columns += [pa.array([part[k] for part in parts], pa.binary()) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays(columns, ["bucket", "chunk", "tokens", "counts"])
+
+    def answer(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        tokens = [np.frombuffer(x, np.uint64) for x in rows.tokens]
+        counts = np.concatenate([np.frombuffer(zlib.decompress(x), np.uint32) for x in rows.counts])
+        found, place = np.unique(np.concatenate(tokens), return_inverse=True)
+        count = np.bincount(place, counts, len(found))
+        level = np.minimum(255, 8 * np.log2(count)).astype(np.uint8)[place]
+        ends = np.cumsum([len(t) for t in tokens])
+        parts = [zlib.compress(part.tobytes(), 1) for part in np.split(level, ends[:-1])]
+        return pd.DataFrame({"chunk": rows.chunk, "bucket": key[0], "levels": parts})
+
+    asked = sets.select("chunk", "tokens").mapInArrow(ask, "bucket long, chunk long, tokens binary, counts binary")
+    return asked.groupBy("bucket").applyInPandas(answer, "chunk long, bucket long, levels binary")
+
+
+def prefixes(sets: DataFrame, answers: DataFrame, percent: int) -> DataFrame:
+    """``token, key, id, n, own, place`` of the longest prefix of each set, for the shingles that others hold too.
+
+    ``own`` counts the shingles of the whole set that no other document has; they are the first in order, so that
+    many sets have nothing else in their prefix.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(levels)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank, seen = sent.value, set()
         for batch in batches:
-            for chunk in chunks(batch, "text"):
-                out: list[list] = [[], [], [], [], [], []]
-                for doc, s in zip(chunk.column(0).to_pylist(), shingle_sets(chunk.column(1), width)):
-                    key = int(mixed(s).sum(dtype=np.uint64).view(np.int64))
-                    if not len(s) or doc is None or key in seen:
-                        continue
-                    seen.add(key)
-                    n = len(s)
+            for ids, sizes, blob, told in zip(*(batch.column(k) for k in range(4))):
+                tokens = np.frombuffer(blob.as_buffer(), np.uint64)
+                known = sorted(told.as_py(), key=lambda x: x["bucket"])
+                level = np.frombuffer(b"".join(zlib.decompress(x["levels"]) for x in known), np.uint8)
+                level = level[np.unique(tokens, return_inverse=True)[1]]
+                ends = np.cumsum(np.frombuffer(sizes.as_buffer(), np.int64))
+                out: list[list] = [[np.zeros(0, np.int64)] for _ in range(6)]
+                for doc, a, b in zip(np.frombuffer(ids.as_buffer(), np.int64), np.append(0, ends[:-1]), ends):
+                    s, steps, n = tokens[a:b], level[a:b], int(b - a)
                     size = min(n, n - least_overlap(n, percent) + MATCHES)
-                    steps = rank[(s & np.uint64(CELLS - 1)).astype(np.int64)]
                     own = int((steps == ALONE).sum())
-                    order = np.argsort((steps.astype(np.uint64) << np.uint64(56)) | (s >> np.uint64(8)), kind="stable")[:size]
-                    for column, values in zip(out, (s[order].view(np.int64), np.full(size, key), np.full(size, doc), np.full(size, n), np.full(size, own), np.arange(1, size + 1))):
+                    if own >= size:
+                        continue
+                    order = np.argsort((steps.astype(np.uint64) << np.uint64(56)) | (s >> np.uint64(8)), kind="stable")[own:size]
+                    same = len(order)
+                    for column, values in zip(out, (s[order].view(np.int64), *(np.full(same, x) for x in (set_keys(s)[0], doc, n, own)), np.arange(own + 1, size + 1))):
                         column.append(values)
-                if out[0]:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in out], ["token", "key", "id", "n", "own", "place"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in out], ["token", "key", "id", "n", "own", "place"])
 
-    return docs.mapInArrow(cut, "token long, key long, id long, n long, own long, place long")
+    told = answers.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "levels")).alias("told"))
+    joined = sets.join(told, "chunk").select("ids", "sizes", "tokens", "told")
+    return joined.mapInArrow(cut, "token long, key long, id long, n long, own long, place long")
 
 
 def possible(percent: int, over: str = "y") -> Column:
@@ -165,7 +200,9 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int, shelf:
             batch = batch.filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"])
 
-    return shelf.put(both.select("x", "y", "hx", "hy").mapInArrow(compare, "a long, b long").distinct(), "links")
+    links = shelf.put(both.select("x", "y", "hx", "hy").mapInArrow(compare, "a long, b long").distinct(), "links")
+    shelf.drop("sets")
+    return links
 
 
 def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
@@ -178,15 +215,15 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     spark = docs.sparkSession
     shelf = Shelf(spark, "ngrams")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    found = shelf.put(sizes_and_counts(rows, width), "counts")
-    levels = rarity(found.filter("block is not null").select("block", "counts"))
-    own = found.filter("block is null").select("id", "n", "key", "key2")
+    found = shelf.put(chunked_sets(rows, width), "chunks")
+    own = shelf.put(found.filter("chunk is null").select("id", "n", "key", "key2"), "own")
     same = own.filter("n > 0 and id is not null").groupBy("key", "key2", "n").agg(F.min("id").alias("class"))
-
-    raw = shelf.put(prefixes(rows, width, percent, levels), "prefixes")
-    met = raw.groupBy("token").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
-    # copies of a set in several files count once
-    postings = raw.join(met, "token").groupBy("token", "key", "n").agg(F.min("id").alias("id"), F.min("own").alias("own"), F.min("place").alias("place"))
+    sets = found.filter("chunk is not null").select("chunk", "ids", "sizes", "tokens")
+    answers = shelf.put(levels(sets, own.agg(F.sum("n")).first()[0] or 0), "levels")
+    raw = shelf.put(prefixes(sets, answers, percent), "prefixes")
+    shelf.drop("chunks", "levels")
+    # copies of a set in several chunks count once
+    postings = raw.groupBy("token", "key", "n").agg(F.min("id").alias("id"), F.min("own").alias("own"), F.min("place").alias("place"))
     postings = shelf.put(postings, "postings")
     shelf.drop("prefixes")
     met = postings.groupBy("token").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
