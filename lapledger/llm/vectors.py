@@ -5,6 +5,7 @@ a pair over the threshold is in at least one block as near as that block's share
 is range-joined on a grid of cells as wide as the range; candidates of all blocks are verified with the cosine in
 double precision. A pair is judged in the first block that brings it together, so links are counted where they
 are found and no list of pairs is ever kept; a task passes on each vector's number of links and a spanning forest.
+Equal vectors of a label are one vector with a weight, so that a group of copies costs no more than one of them.
 """
 
 from __future__ import annotations
@@ -70,7 +71,7 @@ def ranges(n: int, threshold: float) -> list[float]:
 
 
 def cells(rows: DataFrame, threshold: float) -> DataFrame:
-    """``id, label, dims, block, cell, home``: where each vector lives, and the later cells within its range."""
+    """``id, label, mark, dims, block, cell, home``: where each vector lives, and the later cells within its range."""
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -93,13 +94,14 @@ def cells(rows: DataFrame, threshold: float) -> DataFrame:
                     index = pa.array(at[which])
                     yield pa.RecordBatch.from_arrays(
                         [
-                            batch.column(0).take(index), batch.column(1).take(index), pa.array(np.full(len(which), n, np.int32)),
+                            *(batch.column(k).take(index) for k in (0, 1, 3)), pa.array(np.full(len(which), n, np.int32)),
                             pa.array(np.full(len(which), b, np.int32)), pa.array(cell), pa.array(lives),
                         ],
-                        ["id", "label", "dims", "block", "cell", "home"],
+                        ["id", "label", "mark", "dims", "block", "cell", "home"],
                     )
 
-    return rows.mapInArrow(place, "id long, label string, dims int, block int, cell long, home boolean")
+    rows = rows.select("id", "label", "embedding", "mark")
+    return rows.mapInArrow(place, "id long, label string, mark long, dims int, block int, cell long, home boolean")
 
 
 def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -119,7 +121,7 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class Side:
     """Vectors of a cell, in the order of the number that follows the grid."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, block: int):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, block: int, weights: np.ndarray | None = None, times: np.ndarray | None = None):
         y = turned(vectors)
         own = y[:, blocks_of(vectors.shape[1])[block]].astype(np.float64)
         key = own[:, min(GRID, own.shape[1] - 1)]
@@ -127,6 +129,8 @@ class Side:
         self.ids, self.key, self.own, self.y = ids[order], key[order], own[order], y[order].astype(np.float64)
         self.unit = (vectors / np.sqrt((vectors * vectors).sum(1))[:, None])[order]
         self.squares = (self.own * self.own).sum(1)
+        one = np.ones(len(ids), np.int64)
+        self.weights, self.times = ((one if x is None else x)[order] for x in (weights, times))
 
 
 def links_between(p: Side, h: Side, block: int, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -160,8 +164,8 @@ def found_between(p: Side, h: Side, block: int, threshold: float) -> pa.RecordBa
     ids = h.ids if p is h else np.concatenate([h.ids, p.ids])
     counts, low = np.zeros(len(ids), np.int64), np.arange(len(ids))
     for a, b in links_between(p, h, block, threshold):
-        np.add.at(counts, a + shift, 1)
-        np.add.at(counts, b, 1)
+        np.add.at(counts, a + shift, p.times[a] * h.weights[b])
+        np.add.at(counts, b, h.times[b] * p.weights[a])
         tree = np.flatnonzero(low != np.arange(len(ids)))
         low = forest(len(ids), np.concatenate([a + shift, tree]), np.concatenate([b, low[tree]]))
     some = np.flatnonzero(counts)
@@ -179,7 +183,7 @@ def judge(rows: DataFrame, threshold: float) -> DataFrame:
     def side(batches: list[pa.RecordBatch], key: tuple) -> Side:
         table = pa.Table.from_batches(batches).combine_chunks()
         vectors = table["embedding"].combine_chunks().flatten().cast(pa.float64()).to_numpy().reshape(-1, key[1])
-        return Side(table["id"].to_numpy(), vectors, key[2])
+        return Side(table["id"].to_numpy(), vectors, key[2], table["weight"].to_numpy(), table["times"].to_numpy())
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, waiting, residents = None, [], None
@@ -215,6 +219,18 @@ def judge(rows: DataFrame, threshold: float) -> DataFrame:
     return ordered.mapInArrow(compare, "id long, links long, least long")
 
 
+def nodes_of(able: DataFrame) -> DataFrame:
+    """``label, mark, mark2, twin, id, weight, times``: equal vectors of a label as one, under their smallest id.
+
+    ``mark`` and ``mark2`` are hashes of the vector. Rows whose id occurs again are nodes of their own (``twin`` is
+    the id), as they link with no row of that id; the same row ``times`` over is one of them.
+    """
+    twins = able.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id", F.col("id").alias("twin"))
+    grouped = able.join(twins, "id", "left").groupBy("label", "mark", "mark2", "twin")
+    nodes = grouped.agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("weight"))
+    return nodes.withColumn("times", F.when(F.col("twin").isNull(), 1).otherwise(F.col("weight")))
+
+
 def near_duplicates(
     vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = 0.98
 ) -> DataFrame:
@@ -229,8 +245,16 @@ def near_duplicates(
     rows = vectors.select(
         F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).cast("array<float>").alias("embedding")
     )
-    able = rows.filter("id is not null and label is not null and size(embedding) > 0")
-    where = shelf.put(cells(able, threshold), "cells")
+    # a number that is null, infinite or no number is not below infinity
+    able = rows.filter(
+        "id is not null and label is not null and forall(embedding, x -> coalesce(abs(x) < float('inf'), false)) and exists(embedding, x -> x != 0)"
+    )
+    able = able.withColumns({"mark": F.xxhash64("embedding"), "mark2": F.xxhash64(F.lit(1), F.col("embedding"))})
+    named = shelf.put(able.select("id", "label", "mark", "mark2"), "named")
+    nodes = shelf.put(nodes_of(named), "nodes")
+    one = able.join(nodes.select("id", "label", "mark", "mark2", "weight", "times"), ["id", "label", "mark", "mark2"])
+    one = shelf.put(one.dropDuplicates(["id", "label", "mark", "mark2"]).drop("mark2"), "vectors")
+    where = shelf.put(cells(one, threshold), "cells")
     keys = ["label", "dims", "block", "cell"]
     crowd = where.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), F.count_if("home").alias("homes")).filter("homes > 0 and rows > 1")
     sized = where.join(crowd, keys).withColumn("chunks", F.ceil(F.col("rows") / CELL_ROWS))
@@ -239,16 +263,24 @@ def near_duplicates(
     dealt = sized.withColumn("own", own).withColumn(
         "chunk", F.explode(F.expr("sequence(if(home, own, 0L), chunks - 1)"))
     )
-    dealt = dealt.select("id", *keys, "chunk", (F.col("home") & (F.col("chunk") == F.col("own"))).alias("home"))
-    found = shelf.put(judge(dealt.join(able.select("id", "label", "embedding"), ["id", "label"]), threshold), "found")
-    shelf.drop("cells")
-    counts = found.groupBy("id").agg(F.sum("links").alias("n_links"))
+    dealt = dealt.select("id", "mark", *keys, "chunk", (F.col("home") & (F.col("chunk") == F.col("own"))).alias("home"))
+    found = shelf.put(judge(dealt.join(one, ["id", "label", "mark"]), threshold), "found")
+    shelf.drop("cells", "vectors")
+    counts = found.groupBy("id").agg(F.sum("links").alias("links"))
     joined = components(found.select(F.col("id").alias("a"), F.col("least").alias("b")), shelf)
+    told = nodes.join(counts, "id", "left").join(joined, "id", "left").select(
+        "label", "mark", "mark2", "twin", "id", (F.col("weight") - F.col("times")).alias("copies"), "links", F.coalesce("component", "id").alias("component")
+    )
+    # a twin is told by its id, every other vector by its label and marks
+    alone = named.join(told.filter("twin is null").drop("id", "twin"), ["label", "mark", "mark2"]).join(
+        told.filter("twin is not null").select("id"), "id", "left_anti"
+    )
+    alone = alone.select("id", (F.coalesce("links", F.lit(0)) + F.col("copies")).alias("n_links"), "component")
+    twins = told.filter("twin is not null").select("id", F.coalesce("links", F.lit(0)).alias("n_links"), "component").distinct()
     known = F.col("id").isNotNull()
     return (
         rows.select("id")
-        .join(counts, "id", "left")
-        .join(joined, "id", "left")
+        .join(alone.union(twins), "id", "left")
         .select(
             "id",
             F.when(known, F.coalesce("n_links", F.lit(0))).alias("n_links"),
