@@ -3,8 +3,8 @@
 Terms of a text are its words in lower case, without marks around them, and the first 4 and 5 characters of
 longer words; each is hashed to one of 2**BITS places. The machine adds a weight for each term and, for each
 pair of terms, the product of their factor vectors, so a pair (an insult with a group's name) can weigh more
-or less than its terms alone. It is fitted on a bounded sample of labelled documents; every document is scored
-from its whole text.
+or less than its terms alone. Weights and factors are fitted together on a bounded sample of labelled documents, and
+scores are calibrated on a fifth of it that is kept apart; every document is scored from its whole text.
 """
 
 from __future__ import annotations
@@ -23,9 +23,8 @@ from lapledger.llm.tables import chunks
 BITS = 18
 FACTORS = 4
 #: The bound of the sample that the machine is fitted on: this many labelled documents at most, taken in the
-#: order of a hash of the id, and this many different terms of each.
+#: order of a hash of the id.
 SAMPLE = 20_000
-SAMPLE_TERMS = 3_000
 EPOCHS = 8
 PREFIXES = (4, 5)
 WORD = re.compile(r"[^\W\d_]+")
@@ -56,18 +55,26 @@ def terms_of(text: str | None, known: Terms) -> np.ndarray:
 
 
 class Machine:
-    """score = sigmoid(bias + weights of the terms + products of their factors, these over the sum of squared scales)."""
+    """score = sigmoid(bias + weights of the terms + products of their factors, these over 1 + the sum of squared inputs).
 
-    def __init__(self, bias: float, weights: np.ndarray, factors: np.ndarray, scales: np.ndarray):
-        self.bias, self.weights, self.factors, self.scales = bias, weights, factors, scales
+    A factor is stored times its term's input; ``inputs`` say how much a term can count in pairs.
+    """
 
-    def raw(self, places: np.ndarray) -> float:
-        if not len(places):
-            return self.bias
-        own, scale = self.factors[places], self.scales[places]
+    def __init__(self, bias: float, weights: np.ndarray, factors: np.ndarray, inputs: np.ndarray):
+        self.bias, self.weights, self.factors, self.inputs = bias, weights, factors, inputs
+
+    def alone(self, places: np.ndarray) -> float:
+        """What the terms say one by one."""
+        return self.bias + float(self.weights[places].sum())
+
+    def pairs(self, places: np.ndarray) -> float:
+        """The sum over all pairs of different terms, from the sum of their factors."""
+        own, inputs = self.factors[places], self.inputs[places]
         total = own.sum(0)
-        pairs = 0.5 * float(total @ total - (own * own).sum()) / (float(scale @ scale) + 1e-9)
-        return self.bias + float(self.weights[places].sum()) + pairs
+        return 0.5 * float(total @ total - (own * own).sum()) / (1.0 + float(inputs @ inputs))
+
+    def raw(self, places: np.ndarray) -> float:
+        return self.alone(places) + self.pairs(places)
 
 
 def sigmoid(x):
@@ -75,8 +82,15 @@ def sigmoid(x):
 
 
 #: Steps for the weights and the factors, the pull to zero of both, and what smooths a term's ratio of kinds.
-STEP, FACTOR_STEP, PULL, SMOOTH = 0.005, 0.05, 1e-3, 10
+STEP, FACTOR_STEP, PULL, FACTOR_PULL, SMOOTH = 0.005, 0.3, 1e-3, 1e-2, 10
 POSITIVE_WEIGHT = 4.0
+#: The spread that factors start with, and the most that a step moves one.
+START, MOST = 0.3, 0.2
+#: Inputs of pairs: a term counts by its own ratio of kinds up to CAP, and by its rarity up to FLOOR, as two terms that
+#: say nothing alone can do so together; terms of fewer than LEAST documents of the sample are in no pair.
+CAP, FLOOR, LEAST = 3.0, 0.5, 5
+#: One of so many documents of the sample is kept for the calibration.
+CALIBRATION = 5
 
 
 def term_scales(rows: list[np.ndarray], truth: np.ndarray) -> np.ndarray:
@@ -88,6 +102,35 @@ def term_scales(rows: list[np.ndarray], truth: np.ndarray) -> np.ndarray:
     return np.abs(ratio).astype(np.float32)
 
 
+def pair_inputs(rows: list[np.ndarray], scales: np.ndarray) -> np.ndarray:
+    held = np.bincount(np.concatenate([np.zeros(0, np.int32), *rows]), minlength=1 << BITS)
+    n = max(len(rows), 1)
+    rarity = np.log(n / np.maximum(held, 1)) / max(1.0, np.log(n / LEAST))
+    return np.where(held >= LEAST, np.minimum(scales, CAP) + FLOOR * rarity, 0).astype(np.float32)
+
+
+def calibrated(raw: np.ndarray, truth: np.ndarray, steps: int = 100) -> tuple[float, float]:
+    """Slope and shift that make sigmoid(slope * raw + shift) likeliest, with the weight of toxic rows; Newton steps."""
+    bad = int((truth == 1).sum())
+    good = len(truth) - bad
+    slope, shift = 1.0, 0.0
+    if not good or not bad:
+        return slope, shift
+    # targets a little inside 0 and 1, so that kinds that are apart have an answer
+    target = np.where(truth == 1, (bad + 1) / (bad + 2), 1 / (good + 2))
+    weight = np.where(truth == 1, min(POSITIVE_WEIGHT, max(1.0, good / bad)), 1.0)
+    for _ in range(steps):
+        guess = sigmoid(slope * raw + shift)
+        miss, curve = weight * (guess - target), weight * guess * (1 - guess)
+        matrix = np.array([[(curve * raw * raw).sum(), (curve * raw).sum()], [(curve * raw).sum(), curve.sum()]]) + 1e-6 * np.eye(2)
+        step = np.clip(np.linalg.solve(matrix, [(miss * raw).sum(), miss.sum()]), -1, 1)
+        slope, shift = slope - step[0], shift - step[1]
+        if np.abs(step).max() < 1e-6:
+            break
+    # a model that says the opposite of the labels is no better turned round
+    return (float(slope), float(shift)) if slope > 0 else (1.0, 0.0)
+
+
 def fitted(rows: list[np.ndarray], truth: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> Machine:
     """Stochastic gradient steps for a fixed number of rounds; toxic rows, the rarer kind, weigh more.
 
@@ -101,16 +144,17 @@ def fitted(rows: list[np.ndarray], truth: np.ndarray, epochs: int = EPOCHS, seed
         zeros = (np.zeros(shape, np.float32) for shape in (places, (places, FACTORS), places))
         return Machine(float(np.log(rate / (1 - rate))), *zeros)
     scales = term_scales(rows, truth)
+    inputs = pair_inputs(rows, scales)
     weights = np.zeros(places, np.float32)
-    factors = random.normal(0, 0.01, (places, FACTORS)).astype(np.float32)
+    factors = random.normal(0, START, (places, FACTORS)).astype(np.float32)
     bias, extra = float(np.log(bad / good)), min(POSITIVE_WEIGHT, max(1.0, good / bad))
     for _ in range(epochs):
         for i in random.permutation(len(rows)):
             x, y = rows[i], int(truth[i])
             if not len(x):
                 continue
-            scale = scales[x]
-            even = (scale / np.sqrt(scale @ scale + 1e-9))[:, None]
+            scale, even = scales[x], inputs[x]
+            even = (even / np.sqrt(1.0 + float(even @ even)))[:, None]
             own = factors[x] * even
             total = own.sum(0)
             guess = bias + float(weights[x] @ scale) + 0.5 * float(total @ total - (own * own).sum())
@@ -119,8 +163,17 @@ def fitted(rows: list[np.ndarray], truth: np.ndarray, epochs: int = EPOCHS, seed
                 continue
             bias -= STEP * miss
             weights[x] -= STEP * (miss * scale + PULL * weights[x])
-            factors[x] -= FACTOR_STEP * (miss * (total - own) * even + PULL * factors[x])
-    return Machine(bias, weights * scales, factors * scales[:, None], scales)
+            factors[x] -= np.clip(FACTOR_STEP * (miss * (total - own) * even + FACTOR_PULL * factors[x]), -MOST, MOST)
+    return Machine(bias, weights * scales, factors * inputs[:, None], inputs)
+
+
+def fitted_and_calibrated(rows: list[np.ndarray], truth: np.ndarray) -> Machine:
+    """Fitted on all but each CALIBRATION-th row, which tell slope and shift of its scores."""
+    apart = np.arange(len(rows)) % CALIBRATION == CALIBRATION - 1
+    model = fitted([r for r, kept in zip(rows, apart) if not kept], truth[~apart])
+    raw = np.array([model.raw(r) for r, kept in zip(rows, apart) if kept])
+    slope, shift = calibrated(raw, truth[apart])
+    return Machine(slope * model.bias + shift, np.float32(slope) * model.weights, np.float32(slope**0.5) * model.factors, model.inputs)
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = SAMPLE) -> Machine:
@@ -137,33 +190,33 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Terms()
         for batch in batches:
-            terms = [terms_of(t, known)[:SAMPLE_TERMS].tobytes() for t in batch.column(1).to_pylist()]
+            terms = [terms_of(t, known).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(terms, pa.binary())], ["id", "toxic", "terms"])
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sample = pd.concat([pd.DataFrame({"id": [], "toxic": [], "terms": []}), *batches])
         sample = sample.sort_values(["id", "toxic", "terms"])[:most]
-        model = fitted([np.frombuffer(t, np.int32) for t in sample.terms], sample.toxic.to_numpy(np.int64))
-        used = np.flatnonzero(model.weights)
+        model = fitted_and_calibrated([np.frombuffer(t, np.int32) for t in sample.terms], sample.toxic.to_numpy(np.int64))
+        used = np.flatnonzero((model.weights != 0) | (model.inputs != 0))
         yield pd.DataFrame(
             {
                 "bias": [model.bias],
                 "places": [used.astype(np.int32).tobytes()],
                 "weights": [model.weights[used].tobytes()],
                 "factors": [model.factors[used].tobytes()],
-                "scales": [model.scales[used].tobytes()],
+                "inputs": [model.inputs[used].tobytes()],
             }
         )
 
     sample = rows.mapInArrow(hashed, "id long, toxic int, terms binary").repartition(1)
-    found = sample.mapInPandas(fit, "bias double, places binary, weights binary, factors binary, scales binary").first()
+    found = sample.mapInPandas(fit, "bias double, places binary, weights binary, factors binary, inputs binary").first()
     model = fitted([], np.zeros(0))
     if found:
         model.bias = found.bias
         used = np.frombuffer(found.places, np.int32)
         model.weights[used] = np.frombuffer(found.weights, np.float32)
         model.factors[used] = np.frombuffer(found.factors, np.float32).reshape(-1, FACTORS)
-        model.scales[used] = np.frombuffer(found.scales, np.float32)
+        model.inputs[used] = np.frombuffer(found.inputs, np.float32)
     return model
 
 
@@ -173,7 +226,7 @@ def scored(docs: DataFrame, model: Machine, id_col: str = "doc_id", text_col: st
     The machine that is sent to the tasks has a fixed size: (2 + FACTORS) * 4 * 2**BITS bytes, 6 MB.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sent = docs.sparkSession.sparkContext.broadcast((model.bias, model.weights, model.factors, model.scales))
+    sent = docs.sparkSession.sparkContext.broadcast((model.bias, model.weights, model.factors, model.inputs))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, known = Machine(*sent.value), Terms()

@@ -266,23 +266,24 @@ def test_the_machine_equals_plain_sums():
 
 
 def test_two_terms_are_toxic_together_only(spark):
-    """An insult is meant for one group, another for the other: each word stands in as many clean texts as toxic ones."""
+    """Each of two insults is meant for a group of its own; beside the other group, or alone, the words are clean."""
     r = random.Random(12)
-    neutral = ["".join(r.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(150)]
+    neutral = ["".join(r.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(200)]
     rows, labels = [], []
-    for i in range(1500):
-        insult, group = r.choice(["qqone", "qqtwo"]), r.choice(["zzalpha", "zzbeta"])
-        words = [r.choice(neutral) for _ in range(12)] + [insult, group]
+    for i in range(2500):
+        insult, group, kind = r.choice(["qqone", "qqtwo"]), r.choice(["zzalpha", "zzbeta"]), r.random()
+        words = [neutral[int(200 * r.random() ** 2)] for _ in range(10)]
+        words += [insult, group] if kind < 0.4 else [insult] if kind < 0.55 else [group] if kind < 0.7 else []
         r.shuffle(words)
         rows.append((i, " ".join(words), None, None, 0))
-        labels.append((i, int((insult == "qqone") == (group == "zzalpha"))))
+        labels.append((i, int(kind < 0.4 and (insult == "qqone") == (group == "zzalpha"))))
     docs = spark.createDataFrame(rows, DOCS).withColumns({c: F.lit("x") for c in CLASH if c != "id"})
-    model = toxicity.learn(docs, spark.createDataFrame(labels[:1200], "doc_id long, toxic int"))
+    model = toxicity.learn(docs, spark.createDataFrame(labels[:2000], "doc_id long, toxic int"))
     found = {x.id: x.score for x in toxicity.scored(docs, model).collect()}
-    right = sum((found[i] >= 0.5) == bool(y) for i, y in labels[1200:])
+    assert sum((found[i] >= 0.5) == bool(y) for i, y in labels[2000:]) >= 0.97 * 500
     known = toxicity.Terms()
-    alone = sum((model.alone(toxicity.terms_of(rows[i][1], known)) >= 0) == bool(y) for i, y in labels[1200:])
-    assert right >= 0.95 * 300 and alone < 0.7 * 300
+    alone = [model.alone(toxicity.terms_of(rows[i][1], known)) >= 0 for i, y in labels[2000:] if y]
+    assert len(alone) > 50 and sum(alone) <= 0.1 * len(alone)
 
 
 def test_calibration_moves_scores_to_the_labels():
