@@ -58,4 +58,70 @@ ranked AS (
   FROM scored WHERE score > 0)
 SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10"""
 
-SQL = {"op12_collocations": COLLOCATIONS, "op13_ranked_search": RANKED}
+CHAT = """
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, t, r, '<|im_end|><|im_start|>assistant ok' FROM (VALUES (0, 'user'), (1, 'assistant')) own(t, r)),
+told AS (
+  SELECT *, 2 * length(text) - length(replace(text, '\\', '')) + (length(text) - length(replace(text, '<|', ''))) // 2 AS escaped
+  FROM said)
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn)) AS loss_sha256,
+       CAST(sum(12 + length(role) + 1 + escaped + 10 + 1) AS BIGINT) AS formatted_chars
+FROM told GROUP BY 1"""
+
+VECTORS = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reached AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+own AS (SELECT a, min(b) AS low FROM reached GROUP BY 1),
+counted AS (SELECT a, count(*) AS n FROM links GROUP BY 1)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, CAST(least(vec_id, coalesce(low, vec_id)) AS BIGINT) AS component_id,
+       vec_id = least(vec_id, coalesce(low, vec_id)) AS kept
+FROM embeddings LEFT JOIN own ON own.a = vec_id LEFT JOIN counted ON counted.a = vec_id"""
+
+WORDS = "'[^\\x20\\x09-\\x0D]+'"
+
+NGRAMS = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({LOWER}, {WORDS}) AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [w]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: list_slice(w, i, i + 3)) END) AS s FROM d),
+sized AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM sets),
+single AS (SELECT doc_id, md5(CAST(unnest(s) AS VARCHAR)) AS t FROM sets),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM single a JOIN single b USING (t) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN sized x ON x.doc_id = a JOIN sized y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+reached AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+own AS (SELECT a, min(b) AS low FROM reached GROUP BY 1)
+SELECT doc_id, n AS n_shingles, CAST(least(doc_id, coalesce(low, doc_id)) AS BIGINT) AS component_id
+FROM sized LEFT JOIN own ON own.a = doc_id"""
+
+SUBSTRINGS = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {WORDS}) AS w FROM documents),
+starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d),
+named AS (SELECT doc_id, i, md5(array_to_string(list_slice(w, i, i + 19), ' ')) AS run FROM starts),
+windows AS (SELECT doc_id, i, row_number() OVER (PARTITION BY run ORDER BY doc_id, i) AS place FROM named),
+covered AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM windows WHERE place > 1),
+each AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+stays AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept, count(*) AS n FROM each ANTI JOIN covered USING (doc_id, i) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN stays USING (doc_id)"""
+
+SQL = {
+    "op2_ngram_join": NGRAMS,
+    "op3_chat_formatting": CHAT,
+    "op4_embedding_near_dedup": VECTORS,
+    "op10_substring_dedup": SUBSTRINGS,
+    "op12_collocations": COLLOCATIONS,
+    "op13_ranked_search": RANKED,
+}
