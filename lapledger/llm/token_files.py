@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lapledger.llm.packing import tokens
-from lapledger.llm.tables import chunks, shuffles_removed
+from lapledger.llm.tables import Shelf, chunks, shuffles_removed
 
 MAGIC = b"IDWORDS1"
 #: Magic, then documents, ids, blocks, words, escaped ids and bytes of the frame.
@@ -220,5 +220,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     totals = every.mapInArrow(count, "shard long, piece long, ids long")
     earlier = Window.orderBy("shard", "piece").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("shard", "piece", F.coalesce(F.sum("ids").over(earlier), F.lit(0)).alias("base"))
+    # written, so that Spark knows how small it is and does not shuffle the documents
+    bases = Shelf(spark, "token-files").put(bases, "bases")
     found = every.mapInArrow(documents, "id long, shard long, piece long, inside long, n_tokens long, ids binary")
     return found.join(bases, ["shard", "piece"]).select("id", (F.col("base") + F.col("inside")).alias("start"), "n_tokens", "ids")
