@@ -13,6 +13,8 @@ from lapledger.session import new_path, remove
 #: Removes what a query has shuffled as soon as it ends: a written table needs no shuffle files behind it.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 @contextmanager
 def shuffles_removed(spark: SparkSession) -> Iterator[None]:
@@ -25,6 +27,17 @@ def shuffles_removed(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
 
 
+@contextmanager
+def rows_per_batch(spark: SparkSession, most: int) -> Iterator[None]:
+    """Queries that run in this block send their tasks so many rows at a time: for tables with large rows."""
+    before = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+
+
 class Shelf:
     """Tables written on the way, each of which can be removed as soon as nothing reads it any more."""
 
