@@ -26,11 +26,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapledger.llm.links import components
-from lapledger.llm.tables import Shelf, chunks
+from lapledger.llm.tables import Shelf, chunks, rows_per_batch
 from lapledger.llm.words import mixed, run_hashes, word_hashes, words_of
 
 #: Shingles of a bucket in which they are counted.
 BUCKET = 1_000_000
+#: Chunks of sets, of up to two megabytes of text each, that are sent to a task at a time.
+CHUNKS = 8
 #: The level of a shingle that one document alone holds.
 ALONE = 0
 #: The most shared shingles that a prefix may ask for, and the cost of verifying a pair in rows of a posting list.
@@ -219,8 +221,9 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     own = shelf.put(found.filter("chunk is null").select("id", "n", "key", "key2"), "own")
     same = own.filter("n > 0 and id is not null").groupBy("key", "key2", "n").agg(F.min("id").alias("class"))
     sets = found.filter("chunk is not null").select("chunk", "ids", "sizes", "tokens")
-    answers = shelf.put(levels(sets, own.agg(F.sum("n")).first()[0] or 0), "levels")
-    raw = shelf.put(prefixes(sets, answers, percent), "prefixes")
+    with rows_per_batch(spark, CHUNKS):
+        answers = shelf.put(levels(sets, own.agg(F.sum("n")).first()[0] or 0), "levels")
+        raw = shelf.put(prefixes(sets, answers, percent), "prefixes")
     shelf.drop("chunks", "levels")
     # copies of a set in several chunks count once
     postings = raw.groupBy("token", "key", "n").agg(F.min("id").alias("id"), F.min("own").alias("own"), F.min("place").alias("place"))
