@@ -1,8 +1,8 @@
 """The corpus pipeline: documents go through five operators, one stage after another.
 
 Each stage takes all rows that the one before it kept and returns the columns of documents, but for the last,
-which returns the packed pieces. Rows with a null id pass all stages but cannot be told apart, so that what the
-rules and the joins say about them has no effect; rows that share an id share its fate.
+which returns the packed pieces. The first stage gives rows with a null id a number of their own, from NAMELESS on, so
+that rules and joins can tell them apart; the last one takes it away again. Rows that share an id share its fate.
 """
 
 from __future__ import annotations
@@ -15,10 +15,21 @@ from lapledger.llm.queries import tokenizer
 from lapledger.llm.tables import Shelf
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Ids from here on stand for null ones; of a group of copies a document with an id of its own stays.
+NAMELESS = 1 << 62
+
+
+def named(docs: DataFrame) -> DataFrame:
+    """All rows with ids, written where some had none, so that their numbers stay the same."""
+    if docs.filter("doc_id is null").isEmpty():
+        return docs
+    number = F.lit(NAMELESS) + F.monotonically_increasing_id()
+    return Shelf(docs.sparkSession, "named").put(docs.select(*COLUMNS).withColumn("doc_id", F.coalesce("doc_id", number)), "docs")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules keep."""
+    docs = named(docs)
     rated = quality.judged(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     rejected = rated.filter(~F.col("kept")).select(F.col("id").alias("doc_id"))
     return docs.select(*COLUMNS).join(rejected, "doc_id", "left_anti")
@@ -47,7 +58,8 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences of 2048 tokens."""
-    return packing.packed(docs, tokenizer()).withColumnsRenamed({"id": "doc_id", "crc": "ids_crc32"})
+    packed = packing.packed(docs, tokenizer()).withColumnsRenamed({"id": "doc_id", "crc": "ids_crc32"})
+    return packed.withColumn("doc_id", F.when(F.col("doc_id") < NAMELESS, F.col("doc_id")))
 
 
 STAGES = [
