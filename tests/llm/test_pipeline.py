@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import brute
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lapledger.llm import queries
@@ -85,6 +86,28 @@ def test_stages_take_empty_tables_and_nulls(spark, tmp_path):
         assert (docs.count() > 0) == bool(rows)
 
 
+def test_rows_without_an_id_meet_all_rules(spark, tmp_path):
+    """Junk goes, of copies the one with an id stays, and other columns go."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    texts = [" ".join(f"{k}{i}" for i in range(60)) for k in "abc"]
+    rows = [(None, texts[0], "en", "s", 1), (5, texts[0], "en", "s", 1), (None, texts[1], "en", "s", 1), (None, texts[1], "en", "s", 1), (None, "junk", "en", "s", 1), (6, texts[2], "en", "s", 1)]
+    docs = spark.createDataFrame(rows, schema)
+    for name in ("id", "h", "key", "token", "place", "component", "block", "size", "taken", "copies", "kept"):
+        docs = docs.withColumn(name, F.lit("x"))
+    nameless, after = corpus_pipeline.NAMELESS, []
+    for step, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        path = str(tmp_path / str(step))
+        stage(spark, docs, SF_DIR).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if step < 4:
+            assert set(docs.columns) == DOCUMENTS
+            after.append(sorted((min(r.doc_id, nameless), r.text) for r in docs.select("doc_id", "text").collect()))
+    assert after[0] == [(5, texts[0]), (6, texts[2]), (nameless, texts[0]), (nameless, texts[1]), (nameless, texts[1])]
+    # the line of a text stays where it has an id, and once where it has none
+    assert after[1] == after[2] == [(5, texts[0]), (6, texts[2]), (nameless, ""), (nameless, ""), (nameless, texts[1])]
+    assert {r.doc_id for r in docs.collect()} <= {5, 6, None} and docs.filter("doc_id is null").count()
+
+
 def test_every_operator_has_a_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
