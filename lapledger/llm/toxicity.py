@@ -83,7 +83,8 @@ def sigmoid(x):
 
 #: Steps for the weights and the factors, the pull to zero of both, and what smooths a term's ratio of kinds.
 STEP, FACTOR_STEP, PULL, FACTOR_PULL, SMOOTH = 0.005, 0.3, 1e-3, 1e-2, 10
-POSITIVE_WEIGHT = 4.0
+#: Toxic rows weigh at most so much in the fit, and in the calibration.
+POSITIVE_WEIGHT, CALIBRATION_WEIGHT = 4.0, 2.0
 #: The spread that factors start with, and the most that a step moves one.
 START, MOST = 0.3, 0.2
 #: Inputs of pairs: a term counts by its own ratio of kinds up to CAP, and by its rarity up to FLOOR, as two terms that
@@ -118,7 +119,7 @@ def calibrated(raw: np.ndarray, truth: np.ndarray, steps: int = 100) -> tuple[fl
         return slope, shift
     # targets a little inside 0 and 1, so that kinds that are apart have an answer
     target = np.where(truth == 1, (bad + 1) / (bad + 2), 1 / (good + 2))
-    weight = np.where(truth == 1, min(POSITIVE_WEIGHT, max(1.0, good / bad)), 1.0)
+    weight = np.where(truth == 1, min(CALIBRATION_WEIGHT, max(1.0, good / bad)), 1.0)
     for _ in range(steps):
         guess = sigmoid(slope * raw + shift)
         miss, curve = weight * (guess - target), weight * guess * (1 - guess)

@@ -311,7 +311,7 @@ def test_the_pair_part_decides_on_held_out_documents(spark):
         hits, false = hits + (guess and toxic == 1), false + (guess and toxic == 0)
     bad = sum(toxic == 1 for _, toxic in rows)
     assert changed >= 0.01 * len(rows)
-    assert hits >= 0.9 * bad and false <= 0.01 * len(rows)
+    assert hits >= 0.87 * bad and false <= 0.005 * len(rows)
 
 
 def test_a_long_text_is_scored_whole(spark):
