@@ -24,9 +24,9 @@ from lapledger.llm.words import word_hashes, words_of
 
 #: What stands between terms, as bytes: all of ASCII but digits and letters.
 BETWEEN = tuple(b for b in range(128) if not chr(b).isalnum())
-#: Rows of ``items`` that are searched for at once; their terms are what is sent to the tasks.
+#: Rows of ``items`` that are searched for at once, at most; their terms are what is sent to the tasks.
 BLOCK_ITEMS = 512
-#: Members of a leaf, and cells (documents by terms) of a batch.
+#: Members of a leaf, and the most cells of a matrix of items, or of a batch of documents, by terms.
 ITEM_LEAF, DOC_LEAF, CELLS = 4, 16, 1 << 23
 BATCH_DOCS = 4_096
 #: Sums below this are exact in doubles.
@@ -161,10 +161,25 @@ def _dense(batch: pa.RecordBatch, size: int, total: tuple[int, int]) -> np.ndarr
     return values
 
 
-def _block(found: DataFrame, weights: np.ndarray, numbers: list[int], total: tuple[int, int], best: int) -> DataFrame:
-    """``number, id, score``: the best documents of each item in each task."""
-    size = weights.shape[1]
-    cells = [(np.flatnonzero(row).astype(np.int32), row[row > 0]) for row in weights]
+Item = tuple[int, np.ndarray, np.ndarray]
+
+
+def matrices(items: list[Item]) -> Iterator[tuple[list[Item], np.ndarray]]:
+    """The items (number, terms, times) in runs with their terms, of which a matrix of items by terms has at most CELLS (or one item)."""
+    run, terms = [], np.zeros(0, np.int64)
+    for item in items:
+        more = np.union1d(terms, item[1])
+        if run and (len(run) + 1) * len(more) > CELLS:
+            yield run, terms
+            run, more = [], np.unique(item[1])
+        run.append(item)
+        terms = more
+    if run:
+        yield run, terms
+
+
+def _run(found: DataFrame, cells: list[tuple[np.ndarray, np.ndarray]], numbers: list[int], size: int, total: tuple[int, int], best: int) -> DataFrame:
+    """``number, id, score``: the best documents of each item in each task. ``cells`` are the places and weights of its terms."""
     sent = found.sparkSession.sparkContext.broadcast(cells)
     step = max(1, min(BATCH_DOCS, CELLS // size))
 
@@ -214,7 +229,7 @@ def ranked(
     Ranks are 1 and on, by score, then smallest id; a null id comes last among equal scores. Each row of ``docs``
     is a document and each row of ``items`` an item of its own, also where ids repeat. Null and empty texts have no
     terms: such a document has no score, such an item no rows. Terms are told apart by 64-bit hashes. Items are
-    searched for in blocks of BLOCK_ITEMS rows, each against all documents.
+    searched for in blocks of BLOCK_ITEMS rows and CELLS cells at most, each against all documents.
     """
     spark: SparkSession = docs.sparkSession
     shelf = Shelf(spark, "search")
@@ -226,21 +241,20 @@ def ranked(
     parts, total = [], None
     for (block,) in sorted(terms.filter(F.length("terms") > 0).select("block").distinct().collect()):
         held = terms.filter((F.col("block") == block) & (F.length("terms") > 0)).orderBy("number").collect()
-        each = [(np.frombuffer(r.terms, np.int64), np.frombuffer(r.times, np.int64)) for r in held]
-        vocabulary = np.unique(np.concatenate([t for t, _ in each]))
-        found = shelf.put(counted(rows, vocabulary), "counted")
-        if total is None:
-            total = found.agg(F.count_if(F.col("n") > 0).alias("documents"), F.sum("n").alias("terms")).first()
-        if not total.documents:
-            break
-        df = frequencies(found, len(vocabulary)).tolist()
-        own = np.array([math.floor(1000 * math.log((2 * total.documents + 2) / (2 * x + 1))) for x in df], np.int64)
-        weights = np.zeros((len(each), len(vocabulary)), np.int64)
-        for row, (t, times) in zip(weights, each):
-            at = np.searchsorted(vocabulary, t)
-            row[at] = own[at] * times
-        parts.append(shelf.put(_block(found, weights, [r.number for r in held], (total.documents, total.terms), best), "best"))
-        shelf.drop("counted")
+        each = [(r.number, np.frombuffer(r.terms, np.int64), np.frombuffer(r.times, np.int64)) for r in held]
+        for run, vocabulary in matrices(each):
+            found = shelf.put(counted(rows, vocabulary), "counted")
+            if total is None:
+                total = found.agg(F.count_if(F.col("n") > 0).alias("documents"), F.sum("n").alias("terms")).first()
+            if not total.documents:
+                break
+            df = frequencies(found, len(vocabulary)).tolist()
+            own = np.array([math.floor(1000 * math.log((2 * total.documents + 2) / (2 * x + 1))) for x in df], np.int64)
+            places = [np.searchsorted(vocabulary, t).astype(np.int32) for _, t, _ in run]
+            cells = [(at, own[at] * times) for at, (_, _, times) in zip(places, run)]
+            numbers = [number for number, *_ in run]
+            parts.append(shelf.put(_run(found, cells, numbers, len(vocabulary), (total.documents, total.terms), best), "best"))
+            shelf.drop("counted")
     if not parts:
         parts = [spark.createDataFrame([], "number long, id long, score long")]
     merged = parts[0]

@@ -49,9 +49,10 @@ def some(seed):
     return docs, items
 
 
-@pytest.mark.parametrize("block", [512, 7])
-def test_ranked_search(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, cells", [(512, 1 << 23), (20, 1_500)])
+def test_ranked_search(spark, monkeypatch, block, cells):
     monkeypatch.setattr(ranked_search, "BLOCK_ITEMS", block)
+    monkeypatch.setattr(ranked_search, "CELLS", cells)
     docs, items = some(4)
     found = [tuple(r) for r in ranked_search.ranked(*frames(spark, docs, items)).collect()]
     assert sorted(found, key=str) == plain(docs, items)
@@ -72,7 +73,16 @@ def test_empty_tables(spark):
     assert ranked_search.ranked(rows, asked.limit(0)).count() == 0
 
 
-def matrices(seed, large=1):
+def test_runs_of_items_have_matrices_of_bounded_size(monkeypatch):
+    monkeypatch.setattr(ranked_search, "CELLS", 40)
+    items = [(i, np.unique(np.arange(i, i + 1 + i % 9)), None) for i in range(50)] + [(50, np.arange(100), None)]
+    runs = list(ranked_search.matrices(items))
+    assert [x[0] for run, _ in runs for x in run] == list(range(51))
+    assert all(len(run) * len(terms) <= 40 or len(run) == 1 for run, terms in runs)
+    assert all(set(terms) == {t for x in run for t in x[1]} for run, terms in runs)
+
+
+def some_matrices(seed, large=1):
     r = np.random.Generator(np.random.PCG64(seed))
     # groups of documents and of items that share few terms with the others
     weights, values = np.zeros((40, 60), np.int64), np.zeros((400, 60), np.int32)
@@ -86,7 +96,7 @@ def matrices(seed, large=1):
 
 @pytest.mark.parametrize("large", [1, 10**7])
 def test_pruning_is_exact_and_prunes(large):
-    weights, values = matrices(1, large)
+    weights, values = some_matrices(1, large)
     best = ranked_search.Best(len(weights), 10)
     tree = ranked_search.Tree(weights, ranked_search.ITEM_LEAF)
     scored, ids = 0, np.arange(len(values))[::-1]
@@ -98,7 +108,7 @@ def test_pruning_is_exact_and_prunes(large):
 
 
 def test_bounds_hold_for_all_members():
-    weights, values = matrices(2)
+    weights, values = some_matrices(2)
     items, docs = ranked_search.Tree(weights, 4), ranked_search.Tree(values, 16)
     scores = weights @ values.T.astype(np.int64)
     bounds = items.most @ docs.most.T
