@@ -30,9 +30,9 @@ from lapledger.llm.tables import Shelf, chunks, rows_per_batch
 from lapledger.llm.words import mixed, run_hashes, word_hashes, words_of
 
 #: Shingles of a bucket in which they are counted.
-BUCKET = 1_000_000
-#: Chunks of sets, of up to two megabytes of text each, that are sent to a task at a time.
-CHUNKS = 8
+BUCKET = 500_000
+#: Bytes of text of a chunk of sets. Rows of these, and of texts, that are sent to a task at a time.
+CHUNK_BYTES, CHUNKS, TEXTS = 1_000_000, 8, 1_000
 #: The level of a shingle that one document alone holds.
 ALONE = 0
 #: The most shared shingles that a prefix may ask for, and the cost of verifying a pair in rows of a posting list.
@@ -70,6 +70,19 @@ def set_keys(s: np.ndarray) -> tuple[int, int]:
     return tuple(int(mixed(s ^ np.uint64(seed)).sum(dtype=np.uint64).view(np.int64)) for seed in (0, 0x5851F42D4C957F2D))
 
 
+def tight(tokens: np.ndarray) -> bytes:
+    """Sorted sets one after another: steps of the highest bytes, which are small in a sorted set, are compressed."""
+    parts = np.ascontiguousarray(tokens, "<u8").view(np.uint8).reshape(-1, 8)
+    return parts[:, :7].tobytes() + zlib.compress(np.diff(parts[:, 7], prepend=np.uint8(0)).tobytes(), 1)
+
+
+def loose(blob: memoryview, n: int) -> np.ndarray:
+    parts = np.empty((n, 8), np.uint8)
+    parts[:, :7] = np.frombuffer(blob, np.uint8, 7 * n).reshape(n, 7)
+    parts[:, 7] = np.cumsum(np.frombuffer(zlib.decompress(blob[7 * n :]), np.uint8), dtype=np.uint8)
+    return parts.view("<u8").ravel()
+
+
 def chunked_sets(docs: DataFrame, width: int) -> DataFrame:
     """Rows of two kinds from one reading: ``id, n, key, key2`` of each document, and chunks of documents.
 
@@ -81,7 +94,7 @@ def chunked_sets(docs: DataFrame, width: int) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk_number = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for chunk in chunks(batch, "text"):
+            for chunk in chunks(batch, "text", CHUNK_BYTES):
                 docs, sets = chunk.column(0).to_pylist(), shingle_sets(chunk.column(1), width)
                 keys = [set_keys(s) for s in sets]
                 held: dict[tuple[int, int], int] = {}
@@ -89,11 +102,11 @@ def chunked_sets(docs: DataFrame, width: int) -> DataFrame:
                     if doc is not None and len(s):
                         held.setdefault(key, k)
                 own = list(held.values())
-                blobs = [np.array([docs[k] for k in own], np.int64), np.array([len(sets[k]) for k in own], np.int64)]
-                blobs.append(np.concatenate([np.zeros(0, np.uint64), *(sets[k] for k in own)]))
+                blobs = [np.array([docs[k] for k in own], np.int64).tobytes(), np.array([len(sets[k]) for k in own], np.int64).tobytes()]
+                blobs.append(tight(np.concatenate([np.zeros(0, np.uint64), *(sets[k] for k in own)])))
                 columns = [docs, [len(s) for s in sets], [k[0] for k in keys], [k[1] for k in keys]]
                 none = [None] * len(docs)
-                last = [None] * 4 + [chunk_number] + [b.tobytes() for b in blobs]
+                last = [None] * 4 + [chunk_number, *blobs]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([*(columns[k] if k < 4 else none), last[k]], kind) for k, kind in enumerate(kinds)], names
                 )
@@ -113,26 +126,27 @@ def levels(sets: DataFrame, total: int) -> DataFrame:
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
-                tokens, counts = np.unique(np.frombuffer(blob.as_buffer(), np.uint64), return_counts=True)
+            for chunk, sizes, blob in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                n = int(np.frombuffer(sizes.as_buffer(), np.int64).sum())
+                tokens, counts = np.unique(loose(memoryview(blob.as_buffer()), n), return_counts=True)
                 buckets, starts = np.unique(tokens >> shift, return_index=True)
                 ends = np.append(starts[1:], len(tokens))
-                parts = [(tokens[a:b].tobytes(), zlib.compress(counts[a:b].astype(np.uint32).tobytes(), 1)) for a, b in zip(starts, ends)]
+                parts = [(tight(tokens[a:b]), zlib.compress(counts[a:b].astype(np.uint32).tobytes(), 1)) for a, b in zip(starts, ends)]
                 columns = [pa.array(buckets.astype(np.int64)), pa.array([chunk] * len(parts), pa.int64())]
                 columns += [pa.array([part[k] for part in parts], pa.binary()) for k in (0, 1)]
                 yield pa.RecordBatch.from_arrays(columns, ["bucket", "chunk", "tokens", "counts"])
 
     def answer(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        tokens = [np.frombuffer(x, np.uint64) for x in rows.tokens]
-        counts = np.concatenate([np.frombuffer(zlib.decompress(x), np.uint32) for x in rows.counts])
+        counts = [np.frombuffer(zlib.decompress(x), np.uint32) for x in rows.counts]
+        tokens = [loose(memoryview(x), len(c)) for x, c in zip(rows.tokens, counts)]
         found, place = np.unique(np.concatenate(tokens), return_inverse=True)
-        count = np.bincount(place, counts, len(found))
+        count = np.bincount(place, np.concatenate(counts), len(found))
         level = np.minimum(255, 8 * np.log2(count)).astype(np.uint8)[place]
         ends = np.cumsum([len(t) for t in tokens])
         parts = [zlib.compress(part.tobytes(), 1) for part in np.split(level, ends[:-1])]
         return pd.DataFrame({"chunk": rows.chunk, "bucket": key[0], "levels": parts})
 
-    asked = sets.select("chunk", "tokens").mapInArrow(ask, "bucket long, chunk long, tokens binary, counts binary")
+    asked = sets.select("chunk", "sizes", "tokens").mapInArrow(ask, "bucket long, chunk long, tokens binary, counts binary")
     return asked.groupBy("bucket").applyInPandas(answer, "chunk long, bucket long, levels binary")
 
 
@@ -146,11 +160,11 @@ def prefixes(sets: DataFrame, answers: DataFrame, percent: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ids, sizes, blob, told in zip(*(batch.column(k) for k in range(4))):
-                tokens = np.frombuffer(blob.as_buffer(), np.uint64)
+                ends = np.cumsum(np.frombuffer(sizes.as_buffer(), np.int64))
+                tokens = loose(memoryview(blob.as_buffer()), int(ends[-1]) if len(ends) else 0)
                 known = sorted(told.as_py(), key=lambda x: x["bucket"])
                 level = np.frombuffer(b"".join(zlib.decompress(x["levels"]) for x in known), np.uint8)
                 level = level[np.unique(tokens, return_inverse=True)[1]]
-                ends = np.cumsum(np.frombuffer(sizes.as_buffer(), np.int64))
                 out: list[list] = [[np.zeros(0, np.int64)] for _ in range(6)]
                 for doc, a, b in zip(np.frombuffer(ids.as_buffer(), np.int64), np.append(0, ends[:-1]), ends):
                     s, steps, n = tokens[a:b], level[a:b], int(b - a)
@@ -217,7 +231,8 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     spark = docs.sparkSession
     shelf = Shelf(spark, "ngrams")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    found = shelf.put(chunked_sets(rows, width), "chunks")
+    with rows_per_batch(spark, TEXTS):
+        found = shelf.put(chunked_sets(rows, width), "chunks")
     own = shelf.put(found.filter("chunk is null").select("id", "n", "key", "key2"), "own")
     same = own.filter("n > 0 and id is not null").groupBy("key", "key2", "n").agg(F.min("id").alias("class"))
     sets = found.filter("chunk is not null").select("chunk", "ids", "sizes", "tokens")

@@ -42,6 +42,15 @@ def test_ngram_join(spark, empty):
     assert ngram_join.similar(empty).count() == 0
 
 
+def test_sets_are_kept_tight():
+    r = np.random.Generator(np.random.PCG64(3))
+    for n in (0, 1, 2, 5_000):
+        tokens = np.concatenate([np.sort(part) for part in np.array_split(r.integers(0, 2**64, n, dtype=np.uint64), max(1, n // 300))])
+        blob = ngram_join.tight(tokens)
+        assert (ngram_join.loose(memoryview(blob), n) == tokens).all()
+    assert len(blob) < 7.4 * n
+
+
 def test_ngram_join_of_null_and_repeated_ids(spark):
     rows = [(None, "a b c d e f"), (1, "a b c d e f"), (7, "a b c d e f"), (7, "k l m n o p"), (3, "k l m n o p"), (None, None), (9, None)]
     found = ngram_join.similar(spark.createDataFrame(rows, "doc_id long, text string")).collect()
