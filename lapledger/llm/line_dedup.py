@@ -218,12 +218,19 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ed
     marked = marked.select("key", *line, "indexed", F.coalesce("component", "h").alias("component"))
     marked = shelf.put(marked, "marked")
     several = marked.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high")
-    groups = marked.join(several, "key", "left_semi").groupBy("key", "component").agg(F.bool_or("indexed").alias("indexed"))
-    groups = shelf.put(groups, "groups")
-    apart = groups.join(groups.filter("indexed").select("key", F.col("component").alias("component_y")), "key")
-    apart = apart.filter("component != component_y").select("key", "component", "component_y")
+    groups = marked.join(several, "key", "left_semi").groupBy("key", "component")
+    groups = shelf.put(groups.agg(F.bool_or("indexed").alias("indexed"), (F.min("h") != F.max("h")).alias("large")), "groups")
     index = marked.filter("indexed").select("key", F.col("component").alias("component_y"), *[F.col(x).alias(f"{x}_y") for x in line])
-    rest = marked.join(apart, ["key", "component"]).join(index, ["key", "component_y"]).filter(alike(edits))
+    # lines that are alone in their component meet as lines, so that only those that can be near are listed
+    lone = groups.filter("not large").select("key", "component")
+    lines_y = index.join(lone.withColumnRenamed("component", "component_y"), ["key", "component_y"])
+    near_lone = marked.join(lone, ["key", "component"]).join(lines_y, "key").filter("component != component_y").filter(alike(edits))
+    # a component of several lines meets another one once
+    sides = groups.select("key", "component", "large")
+    apart = sides.join(groups.filter("indexed").select("key", F.col("component").alias("component_y"), F.col("large").alias("large_y")), "key")
+    apart = apart.filter("component != component_y and (large or large_y)").select("key", "component", "component_y")
+    near_large = marked.join(apart, ["key", "component"]).join(index, ["key", "component_y"]).filter(alike(edits))
+    rest = near_lone.select("h", "h_y").union(near_large.select("h", "h_y"))
     pairs = shelf.put(rest.select(*ordered()).distinct().join(tried, ["x", "y"], "left_anti"), "pairs")
     far = verified(pairs, distinct, edits, shelf)
     linked = components(near.union(far), shelf)
