@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lapledger.session import new_path, remove
 
-#: Removes what a query has shuffled as soon as it ends: a written table needs no shuffle files behind it.
+#: Asks Spark to remove what a query has shuffled as soon as it ends, as a written table needs no shuffle files behind
+#: it. Where Spark does not act on it, they go when the driver collects its garbage.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -18,7 +19,7 @@ BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 @contextmanager
 def shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    """Queries that end in this block, which write tables or files, leave no shuffle files."""
+    """Queries that end in this block, which write tables or files, need to leave no shuffle files."""
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:
