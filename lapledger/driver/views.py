@@ -22,7 +22,7 @@ from lapledger.operators.calendar import (
     results_availability,
 )
 from lapledger.operators.joins import apply_aliases
-from lapledger.plans.facts import RESULT_IDS, build_facts, entered, long_results
+from lapledger.plans.facts import RESULT_IDS, build_facts, entered, labelled_results, long_results
 from lapledger.session import new_path, settle
 from lapledger.sources.readers import RACERS, expanded_calendar, history_long, participation_long, team_long
 from lapledger.sources.writers import load_snapshot, save_snapshot
@@ -586,7 +586,9 @@ def batch_rows(spark: SparkSession, sf_dir: str, wide: DataFrame) -> DataFrame:
     return entered(exports, teams, listed)
 
 
-def facts(spark: SparkSession, sf_dir: str, wide: DataFrame | None = None) -> DataFrame:
+def facts(
+    spark: SparkSession, sf_dir: str, wide: DataFrame | None = None, until: str = "labels"
+) -> DataFrame:
     """The full batch on the exports, team sheets and lists made from orders and lines.
 
     The efforts are written to the shared folder once: results, problems and overrides are made from
@@ -603,6 +605,7 @@ def facts(spark: SparkSession, sf_dir: str, wide: DataFrame | None = None) -> Da
         dupe_dates=dupe_dates(spark, sf_dir),
         prehistory=prehistory_totals(history(spark, sf_dir), BEFORE_SEASON),
         newcomers=newcomers(spark, sf_dir),
+        until=until,
     )
 
 
@@ -610,13 +613,16 @@ _SAVED: dict[tuple[str, str], str] = {}
 
 
 def saved_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact table as the reports read it: written once per session, one folder per season."""
+    """The fact table as the reports read it: written once per session, one folder per season.
+
+    Labels are made from the values of their own row, so they are made when it is read.
+    """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _SAVED:
         path = new_path(spark, "facts")
-        save_snapshot(facts(spark, sf_dir), path)
+        save_snapshot(facts(spark, sf_dir, until="places"), path, dealt=True)
         _SAVED[key] = path
-    return load_snapshot(spark, _SAVED[key])
+    return labelled_results(load_snapshot(spark, _SAVED[key]))
 
 
 def race_days(spark: SparkSession, sf_dir: str) -> DataFrame:

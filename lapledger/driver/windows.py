@@ -188,9 +188,9 @@ def leaderboard_rank(spark, sf_dir):
 )
 def leaderboard_rank_fd(spark, sf_dir):
     """Ranks of the full-and-double totals among the last entries of all seasons."""
-    last = facts(spark, sf_dir).filter("is_last_entry").select(
+    last = settle(facts(spark, sf_dir, until="counts").filter("is_last_entry").select(
         "season", "name", "part", "date_ymd", "course", "is_champ", "entries_total_fd", "entries_total_all_fd"
-    )
+    ))
     ranked = ranks.leaderboard_rank(last, ["season", "part"], "entries_total_fd", "entries_total_fd_rank")
     return ranks.leaderboard_rank(ranked, ["part"], "entries_total_all_fd", "entries_total_all_fd_rank", hot=True)
 
@@ -783,7 +783,7 @@ def add_season(spark, sf_dir):
 )
 def timed_efforts(spark, sf_dir):
     """Only the effort steps of the batch."""
-    return facts(spark, sf_dir).select(
+    return facts(spark, sf_dir, until="times").select(
         *LEG_OUT,
         "handicap_valid",
         "total_disagree",

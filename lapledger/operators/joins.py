@@ -74,10 +74,19 @@ def apply_aliases(df: DataFrame, aliases: DataFrame, name: str = "name") -> Data
 def attach_problems(
     df: DataFrame, problems: DataFrame, on: Sequence[str] = ("date_ymd", "name", "part")
 ) -> DataFrame:
-    """Validity flags of listed legs; legs without a problem are valid."""
+    """Validity flags of listed legs; legs without a problem are valid.
+
+    The last of ``on`` tells the legs of an effort apart. Flags come as a map of an effort's legs, so that rows
+    that lie by effort already need not be dealt out again by leg.
+    """
     flags = ["split_valid", "cumulative_valid"]
-    joined = attach_columns(df, problems, on, flags)
-    return joined.withColumns({f: F.coalesce(F.col(f), F.lit(True)) for f in flags})
+    *effort, leg = on
+    listed = problems.filter(F.col(leg).isNotNull()).select(*on, *flags, *positioned(problems))
+    entry = F.struct(F.col(leg), F.struct(*flags))
+    legs = last_match(listed, on).groupBy(*effort).agg(F.map_from_entries(F.collect_list(entry)).alias("__legs"))
+    joined = df.drop(*flags).join(legs, effort, "left")
+    found = F.try_element_at(F.col("__legs"), F.col(leg))
+    return joined.withColumns({f: F.coalesce(found[f], F.lit(True)) for f in flags}).drop("__legs")
 
 
 def attach_prehistory(

@@ -26,7 +26,8 @@ def drop_cross_course_dupes(
 ) -> DataFrame:
     """On the listed dates a competitor found in several courses loses the rows of ``course``."""
     listed = dates.select("date_ymd").distinct().withColumn("__listed", F.lit(True))
-    joined = df.join(listed, "date_ymd", "left")
+    # dates of races are few however many rows there are
+    joined = df.join(F.broadcast(listed), "date_ymd", "left")
     counted = spread.group_values(joined, keys, {"__n": F.count(F.lit(1))}, hot)
     dupe = when_all(F.col("__listed"), F.col("__n") > 1, F.col("course") == course)
     return counted.filter(~dupe).select(*df.columns)

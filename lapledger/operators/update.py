@@ -51,7 +51,7 @@ def invalidate(
     joined = df
     if bad_races is not None:
         bad = bad_races.select(on).distinct().withColumn("__bad", F.lit(True))
-        joined = df.join(bad, on, "left")
+        joined = df.join(F.broadcast(bad), on, "left")
         lost = lost | F.col("__bad").isNotNull()
     known = [flag for flag in VALID_FLAGS if flag in df.columns]
     flags = {f: F.when(lost, F.lit(False)).otherwise(F.col(f)) for f in known}
@@ -67,7 +67,7 @@ def time_of_day_fix(
 ) -> DataFrame:
     """Listed races recorded the clock: a leading 7 becomes 1 and the first leg takes that time."""
     listed = races.select(on).distinct().withColumn("__clock", F.lit(True))
-    joined = df.join(listed, on, "left")
+    joined = df.join(F.broadcast(listed), on, "left")
     clock = F.col("__clock").isNotNull()
     fixed = joined.withColumn(
         overall,

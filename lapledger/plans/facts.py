@@ -7,14 +7,14 @@ than one task should, the steps cut those groups into blocks instead (``lapledge
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapledger import spread
 from lapledger.functions.times import handicap_seconds, seconds_hms, seconds_short, time_seconds
-from lapledger.model import FULL_AND_DOUBLE, LAST_LEG, RACE, RECORD
+from lapledger.model import EFFORT, FULL_AND_DOUBLE, LAST_LEG, RACE, RECORD
 from lapledger.operators import bests, ranks, reconcile, totals
 from lapledger.operators.calendar import course_labels
 from lapledger.operators.clean import clean_names, render_places, split_names
@@ -28,6 +28,7 @@ from lapledger.operators.update import (
     mark_started,
     time_of_day_fix,
 )
+from lapledger.session import settle
 
 RESULT_IDS = (
     "season",
@@ -59,7 +60,9 @@ TIMING = (
 )
 COUNTING = (*KEYS, *MEASURES, *FLAGS)
 BESTING = (*COUNTING, "first_race")
-PLACING = (*COUNTING, "season_pb_leg", "season_pb_overall")
+#: Rows of a task of the steps on one competitor, which sort a row about ten times, and of the last one.
+COMPETITOR_ROWS, LAST_ROWS = 150_000, 500_000
+ROW, DEAL = "__row", "__deal"
 
 
 def packed(df: DataFrame, keep: Sequence[str], into: str) -> DataFrame:
@@ -108,26 +111,29 @@ def cleaned_results(
     clock_races: DataFrame | None = None,
     dupe_dates: DataFrame | None = None,
     hot: bool | None = None,
+    by_effort: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """Names corrected, double entries dropped, validity flags set, single rows overridden.
 
     Entries of a corrected name count together, and what drops them goes by the course they were listed on.
+    ``by_effort`` deals rows and lookups out by date and name, once the names are right.
     """
     if "participation_only" not in long.columns:
         long = long.withColumn("participation_only", F.lit(None).cast("boolean"))
     named = clean_names(default_flags(long, {"participation_only": False}), split=False)
     if aliases is not None:
         named = apply_aliases(named, aliases)
+    named = by_effort(named)
     if dupe_dates is not None:
         named = reconcile.drop_cross_course_dupes(named, dupe_dates, hot=hot)
     if problems is not None:
-        flagged = attach_problems(named, problems)
+        flagged = attach_problems(named, by_effort(problems))
     else:
         flagged = named.withColumns({"split_valid": F.lit(True), "cumulative_valid": F.lit(True)})
     if clock_races is not None:
         flagged = time_of_day_fix(flagged, clock_races)
     if overrides is not None:
-        flagged = apply_overrides(flagged, overrides, ["date_ymd", "name"], ["course"])
+        flagged = apply_overrides(flagged, by_effort(overrides), ["date_ymd", "name"], ["course"])
     return flagged
 
 
@@ -214,14 +220,46 @@ def best_results(facts: DataFrame, hot: bool = False) -> DataFrame:
 
 
 def placed_results(
-    facts: DataFrame, hot_race: bool = False, hot_record: bool = False
+    facts: DataFrame,
+    hot_race: bool = False,
+    hot_record: bool = False,
+    hot_name: bool = False,
+    rows: int | None = None,
 ) -> DataFrame:
-    """Places in the race and records of the season."""
-    facts = ranks.place_leg(facts, hot=hot_race)
-    facts = ranks.place_cumulative(facts, hot=hot_race)
-    facts = ranks.place_overall(facts, hot=hot_race)
-    facts = ranks.record_rank_overall(facts, hot=hot_record)
-    return ranks.record_rank_leg(facts, hot=hot_record)
+    """Places in the race and records of the season.
+
+    Both compare all competitors. The rows wait in the shared folder while keys and numbers are ranked, and move
+    once, a competitor's season together, to meet their ranks. So they lie by season afterwards, in ``rows``
+    by ``LAST_ROWS`` tasks.
+    """
+    spark = facts.sparkSession
+    thin_tasks, tasks = (
+        None if rows is None else spread.task_count(spark, rows, most) for most in (COMPETITOR_ROWS, LAST_ROWS)
+    )
+    share = F.pmod(F.xxhash64(ROW if hot_name else "name"), F.lit(2 * (tasks or 100)))
+    numbered = facts.withColumn(ROW, F.monotonically_increasing_id())
+    kept = settle(numbered.withColumn(DEAL, F.xxhash64("season", share)))
+
+    races = kept.select(ROW, DEAL, *RACE, "name", "date_ymd", *MEASURES, *FLAGS)
+    places = races if hot_race else spread.dealt(races, thin_tasks, *RACE)
+    places = ranks.place_leg(places, hot=hot_race)
+    places = ranks.place_cumulative(places, hot=hot_race)
+    places = ranks.place_overall(places, hot=hot_race)
+
+    def held(best: str, value: str) -> DataFrame:
+        rows_of = kept.filter(F.col("started") & F.col(best))
+        return rows_of.select(ROW, DEAL, *RECORD, "name", "date_ymd", "started", best, value)
+
+    overall = ranks.record_rank_overall(held("season_pb_overall", "overall_mins"), hot=hot_record)
+    leg = ranks.record_rank_leg(held("season_pb_leg", "duration_mins"), hot=hot_record)
+    placed = spread.dealt(kept, tasks, DEAL)
+    for ranked, found in (
+        (places, ["place_leg", "place_cumulative", "place_overall"]),
+        (overall, ["record_rank_overall"]),
+        (leg, ["record_rank_leg"]),
+    ):
+        placed = placed.join(spread.dealt(ranked.select(DEAL, ROW, *found), tasks, DEAL), [DEAL, ROW], "left")
+    return placed.drop(DEAL, ROW)
 
 
 def labelled_results(facts: DataFrame) -> DataFrame:
@@ -255,23 +293,44 @@ def build_facts(
     prehistory: DataFrame | None = None,
     newcomers: DataFrame | None = None,
     hot: Sequence[bool] | None = None,
+    until: str = "labels",
 ) -> DataFrame:
-    """All steps.
+    """All steps, or those until "times", "counts" or "places".
 
     ``hot`` tells whether a competitor, a race or a season's course holds more rows than one task
     should; when it is not given, one count finds out. The count is taken before the lookups, by the
     given name in lower case; aliases merge only a few spellings of a name.
     """
+    rows = None
     if hot is None:
         sizes = long.select(F.lower("name").alias("name"), *RACE)
-        hot = spread.hot_key_sets(sizes, [("name",), RACE, RECORD])
+        rows, largest = spread.group_sizes(sizes, [("name",), RACE, RECORD])
+        hot = [size > spread.group_limit(long) for size in largest]
     hot_name, hot_race, hot_record = hot
-    cleaned = cleaned_results(long, aliases, problems, overrides, clock_races, dupe_dates, hot_name)
+    tasks = None if rows is None else spread.task_count(long.sparkSession, rows, COMPETITOR_ROWS)
+
+    # one exchange for all steps on an effort, lookups included, and one for all on a competitor
+    def by_effort(df: DataFrame) -> DataFrame:
+        return df if hot_name else spread.dealt(df, tasks, *EFFORT)
+
+    def by_name(df: DataFrame) -> DataFrame:
+        return df if hot_name else spread.dealt(df, tasks, "name")
+
+    cleaned = cleaned_results(
+        long, aliases, problems, overrides, clock_races, dupe_dates, hot_name, by_effort
+    )
     parsed = packed(parsed_results(cleaned), [*KEYS, *TIMING], "results")
-    if not hot_name:
-        # every key of the following steps starts from the name: one exchange for all of them
-        parsed = parsed.repartition("name")
-    facts = packed(timed_results(parsed, bad_races, hot_name), COUNTING, "times")
-    facts = packed(counted_results(facts, prehistory, newcomers, hot_name), BESTING, "counts")
-    facts = packed(best_results(facts, hot_name), [*PLACING, "first_race"], "bests")
-    return labelled_results(unpacked(placed_results(facts, hot_race, hot_record)))
+    timed = timed_results(parsed, bad_races, hot_name)
+    if until == "times":
+        return unpacked(timed)
+    if prehistory is not None:
+        prehistory = by_name(prehistory)
+    if newcomers is not None:
+        newcomers = by_name(newcomers)
+    facts = by_name(packed(timed, COUNTING, "times"))
+    facts = counted_results(facts, prehistory, newcomers, hot_name)
+    if until == "counts":
+        return unpacked(facts)
+    facts = unpacked(best_results(packed(facts, BESTING, "counts"), hot_name))
+    placed = placed_results(facts, hot_race, hot_record, hot_name, rows)
+    return placed if until == "places" else labelled_results(placed)

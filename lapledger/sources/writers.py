@@ -19,13 +19,16 @@ def write_season_export(bests: DataFrame, path: str, form: str = "csv") -> None:
     writer.csv(path, header=True) if form == "csv" else writer.parquet(path)
 
 
-def save_snapshot(df: DataFrame, path: str, partition: str = "season", mode: str = "errorifexists") -> None:
+def save_snapshot(
+    df: DataFrame, path: str, partition: str = "season", mode: str = "errorifexists", dealt: bool = False
+) -> None:
     """A derived table for later jobs, one folder per season.
 
     The rebalance hint lets adaptive execution split large seasons and join small ones into files of
-    even size.
+    even size. Rows that lie by season in tasks of even size (``dealt``) are written from where they are.
     """
-    df.hint("rebalance", partition).write.mode(mode).partitionBy(partition).parquet(path)
+    rows = df if dealt else df.hint("rebalance", partition)
+    rows.write.mode(mode).partitionBy(partition).parquet(path)
 
 
 def load_snapshot(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:

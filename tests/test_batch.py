@@ -7,6 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from lapledger import spread
 from lapledger.operators import checks, reconcile
 from lapledger.plans import reports
 from lapledger.plans.facts import (
@@ -14,6 +15,7 @@ from lapledger.plans.facts import (
     cleaned_results,
     long_results,
     parsed_results,
+    placed_results,
     timed_results,
 )
 from lapledger.sources import readers, writers
@@ -213,3 +215,51 @@ def test_snapshot_is_partitioned_and_pruned(facts, spark, tmp_path):
     back = writers.load_snapshot(spark, path)
     assert back.count() == facts.count()
     assert (tmp_path / "facts" / "season=2030-2031").exists()
+
+
+def test_lookups_meet_the_rows_where_they_lie(loaded, spark):
+    """The rows are dealt out by effort and by name once each, also when no lookup is small enough to send around."""
+    long = long_results(loaded[2].withColumn("participation_only", F.lit(False)), IDS)
+    problems = spark.createDataFrame(
+        [(dt.date(2030, 9, 28), "Bo McRae", part, split, True) for part, split in (("Swim", False), ("Run", True), (None, False))],
+        "date_ymd date, name string, part string, split_valid boolean, cumulative_valid boolean",
+    )
+    overrides = problems.select("date_ymd", "name", F.lit("int").alias("course"))
+    dates, known = problems.select("date_ymd").limit(0), problems.select("name", F.lit(1).alias("entries_before"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        facts = build_facts(
+            long, None, problems, overrides, dates, dates, dates, known, known.select("name"), hot=[False] * 3
+        )
+        cleaned = cleaned_results(
+            long, None, problems, overrides, dates, dates, False, lambda df: spread.dealt(df, None, "date_ymd", "name")
+        )
+        plan = cleaned._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    dealt = [line.split("hashpartitioning(")[1] for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    # rows, problems and overrides
+    by_name = [keys for keys in dealt if "name#" in keys]
+    assert len(by_name) == 3 and not any("part#" in keys for keys in by_name)
+    rows = facts.filter("name = 'Bo McRae' and date_ymd = date'2030-09-28'").collect()
+    assert {(r.part, r.course, r.split_valid, r.entries_before) for r in rows} == {
+        ("Swim", "int", False, 0), ("Ride", "int", True, 0), ("Run", "int", True, 0)
+    }
+
+
+def test_dealt_rows_are_placed_and_written_alike(facts, spark, tmp_path):
+    ranked = ("place_leg", "place_cumulative", "place_overall", "record_rank_overall", "record_rank_leg")
+    placed = placed_results(facts.drop(*ranked), rows=facts.count())
+    columns = ["name", "part", "date_ymd", "course", *ranked]
+    assert placed.select(columns).exceptAll(facts.select(columns)).isEmpty()
+    assert placed.count() == facts.count()
+    path = str(tmp_path / "dealt")
+    writers.save_snapshot(placed, path, dealt=True)
+    assert writers.load_snapshot(spark, path).select(columns).exceptAll(facts.select(columns)).isEmpty()
+
+
+def test_task_counts_grow_with_the_rows(spark):
+    assert spread.task_count(spark, 0, 100) == 1
+    assert spread.task_count(spark, 100_000, 100) == 1000
+    rows = spark.range(10).withColumn("k", F.col("id") % 3)
+    assert spread.group_sizes(rows, [("k",), ("id", "k")]) == (10, [4, 1])
