@@ -62,6 +62,9 @@ def apply_handicap(
     Adds cumulative_seconds; efforts with a handicap take their overall time from it, keep the first
     leg's own time in duration_seconds_original and get their time texts rendered again.
     """
+    if hot is None:
+        # all steps share the key, so one look does for all; later ones would repeat the steps before them
+        hot = spread.any_hot(df, effort)
     first = F.col("part") == FIRST_LEG
     size = F.when(F.col("started"), handicap_seconds(F.col("handicap_import")))
     sized = df.withColumn("handicap_seconds", size)

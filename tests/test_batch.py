@@ -263,3 +263,18 @@ def test_task_counts_grow_with_the_rows(spark):
     assert spread.task_count(spark, 100_000, 100) == 1000
     rows = spark.range(10).withColumn("k", F.col("id") % 3)
     assert spread.group_sizes(rows, [("k",), ("id", "k")]) == (10, [4, 1])
+
+
+def test_handicap_looks_for_hot_efforts_once(spark, monkeypatch):
+    rows = spark.createDataFrame(
+        [("A", dt.date(2030, 1, 1), part, 60.0, 180.0, "+0:30.0", True, "", "") for part in ("Swim", "Ride", "Run")],
+        "name string, date_ymd date, part string, duration_seconds double, overall_seconds double,"
+        "handicap_import string, started boolean, duration_hms string, overall_hms string",
+    )
+    looks, look = [], spread.any_hot
+    monkeypatch.setattr(spread, "any_hot", lambda *args: looks.append(args) or look(*args))
+    moved = reconcile.apply_handicap(rows)
+    assert len(looks) == 1
+    assert {(r.part, r.duration_seconds, r.overall_seconds) for r in moved.collect()} == {
+        ("Swim", 90.0, 210.0), ("Ride", 60.0, 210.0), ("Run", 60.0, 210.0)
+    }
