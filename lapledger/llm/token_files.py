@@ -36,23 +36,37 @@ COUNTS = np.array([ZEROS, *(count for count, _ in PACKS), 1], np.int64)
 LIMITS = np.array([1 << bits for _, bits in PACKS], np.uint64)
 
 
-def _selectors(ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
+#: The first pack that is wide enough, for ids of 16 bits.
+KINDS = np.searchsorted(LIMITS, np.arange(1 << 16, dtype=np.uint64), side="right").astype(np.uint8)
+
+
+def _window_max(rows: np.ndarray, count: int) -> np.ndarray:
+    """The largest of each value and the ``count`` - 1 values behind it in its row."""
+    width = 1
+    while width < count:
+        step = min(width, count - width)
+        wider = rows.copy()
+        np.maximum(rows[:, :-step], rows[:, step:], out=wider[:, :-step])
+        rows, width = wider, width + step
+    return rows
+
+
+def _selectors(ids: np.ndarray) -> np.ndarray:
     """For each place the selector of a word that starts there: the one that holds most ids."""
     n = len(ids)
-    here = np.arange(n, dtype=np.int32)
-    kind = np.searchsorted(LIMITS, ids, side="right").astype(np.uint8)  # the first pack that is wide enough
 
-    def fits(odd: np.ndarray, count: int) -> np.ndarray:
-        following = np.minimum.accumulate(np.where(odd, here, np.int32(n))[::-1])[::-1]
-        return following >= np.minimum(here + np.int32(count), ends)
+    def in_blocks(values: np.ndarray) -> np.ndarray:
+        # behind the last id is room for anything
+        return np.append(values, np.zeros(-n % BLOCK, np.uint8)).reshape(-1, BLOCK)
 
-    best = np.full(n, ESCAPE, np.uint8)
-    for k in range(len(PACKS) - 1, -1, -1):
-        if (kind <= k).any():
-            best[fits(kind > k, PACKS[k][0])] = k + 1
+    kind = in_blocks(KINDS[ids] if ids.max() < len(KINDS) else np.searchsorted(LIMITS, ids, side="right").astype(np.uint8))
+    # where ids fit a pack they fit all wider ones, of which a word holds fewer
+    best = np.full(kind.shape, ESCAPE, np.uint8)
+    for k, (count, _) in enumerate(PACKS):
+        best -= _window_max(kind, count) <= k
     if not ids.all():
-        best[fits(ids != 0, ZEROS)] = 0
-    return best
+        best[_window_max(in_blocks((ids != 0).astype(np.uint8)), ZEROS) == 0] = 0
+    return best.ravel()[:n]
 
 
 def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -63,7 +77,7 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if not n:
         return np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.uint64)
     ends = np.minimum((np.arange(n, dtype=np.int32) // BLOCK + 1) * BLOCK, n).astype(np.int32)
-    best = _selectors(ids, ends)
+    best = _selectors(ids)
     following = np.minimum(np.arange(n, dtype=np.int64) + COUNTS[best], ends)
     # all blocks take a step at a time, from word to word
     at, starts = firsts, []

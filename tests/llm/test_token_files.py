@@ -38,6 +38,21 @@ def test_words_hold_as_many_ids_as_fit():
     assert list(escapes) == [2**63, 2**60] and len(words) == 3
 
 
+@pytest.mark.parametrize("bits", [1, 4, 9, 16, 40, 64])
+def test_selectors_are_the_first_that_fit(bits):
+    """Blocks are looked at side by side; each place is told the pack that holds most of the ids behind it."""
+    random = np.random.Generator(np.random.PCG64(bits))
+    n = token_files.BLOCK + 300
+    ids = random.integers(0, 2**63, n, dtype=np.uint64) >> random.integers(64 - bits, 64, n).astype(np.uint64)
+    packs = [(token_files.ZEROS, 0), *token_files.PACKS]
+
+    def first(at):
+        end = min((at // token_files.BLOCK + 1) * token_files.BLOCK, n)
+        return next((k for k, (count, wide) in enumerate(packs) if int(ids[at : min(at + count, end)].max()) < 1 << wide), token_files.ESCAPE)
+
+    assert token_files._selectors(ids).tolist() == [first(at) for at in range(n)]
+
+
 def test_a_block_is_decoded_alone():
     ids = np.random.Generator(np.random.PCG64(1)).integers(0, 50_000, 3_000).astype(np.uint64)
     words, offsets, escapes = token_files.encode(ids)
