@@ -60,8 +60,8 @@ TIMING = (
 )
 COUNTING = (*KEYS, *MEASURES, *FLAGS)
 BESTING = (*COUNTING, "first_race")
-#: Rows of a task of the steps on one competitor, which sort a row about ten times, and of the last one.
-COMPETITOR_ROWS, LAST_ROWS = 150_000, 500_000
+#: Rows of a task; the steps on one competitor sort each about ten times.
+TASK_ROWS = 150_000
 ROW, DEAL = "__row", "__deal"
 
 
@@ -230,18 +230,16 @@ def placed_results(
 
     Both compare all competitors. The rows wait in the shared folder while keys and numbers are ranked, and move
     once, a competitor's season together, to meet their ranks. So they lie by season afterwards, in ``rows``
-    by ``LAST_ROWS`` tasks.
+    by ``TASK_ROWS`` tasks.
     """
     spark = facts.sparkSession
-    thin_tasks, tasks = (
-        None if rows is None else spread.task_count(spark, rows, most) for most in (COMPETITOR_ROWS, LAST_ROWS)
-    )
+    tasks = None if rows is None else spread.task_count(spark, rows, TASK_ROWS)
     share = F.pmod(F.xxhash64(ROW if hot_name else "name"), F.lit(2 * (tasks or 100)))
     numbered = facts.withColumn(ROW, F.monotonically_increasing_id())
     kept = settle(numbered.withColumn(DEAL, F.xxhash64("season", share)))
 
     races = kept.select(ROW, DEAL, *RACE, "name", "date_ymd", *MEASURES, *FLAGS)
-    places = races if hot_race else spread.dealt(races, thin_tasks, *RACE)
+    places = races if hot_race else spread.dealt(races, tasks, *RACE)
     places = ranks.place_leg(places, hot=hot_race)
     places = ranks.place_cumulative(places, hot=hot_race)
     places = ranks.place_overall(places, hot=hot_race)
@@ -307,7 +305,7 @@ def build_facts(
         rows, largest = spread.group_sizes(sizes, [("name",), RACE, RECORD])
         hot = [size > spread.group_limit(long) for size in largest]
     hot_name, hot_race, hot_record = hot
-    tasks = None if rows is None else spread.task_count(long.sparkSession, rows, COMPETITOR_ROWS)
+    tasks = None if rows is None else spread.task_count(long.sparkSession, rows, TASK_ROWS)
 
     # one exchange for all steps on an effort, lookups included, and one for all on a competitor
     def by_effort(df: DataFrame) -> DataFrame:
