@@ -217,6 +217,7 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ed
     marked = met.filter("size > 1").join(reached.withColumnRenamed("id", "h"), "h", "left")
     marked = marked.select("key", *line, "indexed", F.coalesce("component", "h").alias("component"))
     marked = shelf.put(marked, "marked")
+    shelf.drop("met", "reached")
     several = marked.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high")
     groups = marked.join(several, "key", "left_semi").groupBy("key", "component")
     groups = shelf.put(groups.agg(F.bool_or("indexed").alias("indexed"), (F.min("h") != F.max("h")).alias("large")), "groups")
@@ -232,8 +233,12 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ed
     near_large = marked.join(apart, ["key", "component"]).join(index, ["key", "component_y"]).filter(alike(edits))
     rest = near_lone.select("h", "h_y").union(near_large.select("h", "h_y"))
     pairs = shelf.put(rest.select(*ordered()).distinct().join(tried, ["x", "y"], "left_anti"), "pairs")
+    shelf.drop("tried", "marked", "groups")
     far = verified(pairs, distinct, edits, shelf)
+    shelf.drop("distinct", "pairs")
     linked = components(near.union(far), shelf)
+    # the result reads these places, classes and components only, and may be read long after
+    shelf.drop("near")
 
     grouped = classes.join(linked.withColumnRenamed("id", "h"), "h")
     first = grouped.groupBy("component").agg(F.min(F.struct("id", "place")).alias("first"))

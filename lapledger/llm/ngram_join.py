@@ -274,6 +274,7 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     # then all pairs of sets that share a list and are in different components
     marked = lists.join(reached, "id", "left").withColumn("component", F.coalesce("component", "id"))
     marked = shelf.put(marked, "marked")
+    shelf.drop("reached")
     # how much a component's sets can share, how small they are and how early they have the shingle rules out most
     # other components in its lists, and then most of its own sets
     groups = marked.groupBy("token", "component").agg(
@@ -295,10 +296,13 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     rest = apart.join(marked, ["token", "component"]).filter(in_time).join(others, ["token", "component_y"])
     pairs = matched(rest, percent).join(tried, ["x", "y"], "left_anti")
     pairs = shelf.put(pairs, "pairs")
+    shelf.drop("tried", "marked")
     far = verified(pairs, rows, width, percent, shelf)
     # the id that stands for a set in the lists need not be the smallest of its copies
     stand_ins = lists.select("id").distinct().join(own, "id").join(same, ["key", "key2", "n"]).select(F.col("id").alias("a"), F.col("class").alias("b"))
     final = components(near.union(far).union(same_ids(own, same)).union(stand_ins), shelf)
+    # the result reads sizes, classes and components only, and may be read long after
+    shelf.drop("lists", "pairs", "links")
     result = (
         own.join(same, ["key", "key2", "n"], "left")
         .join(final.select(F.col("id").alias("class"), F.col("component").alias("component_id")), "class", "left")
