@@ -23,7 +23,7 @@ from lapledger.operators.calendar import (
 )
 from lapledger.operators.joins import apply_aliases
 from lapledger.plans.facts import RESULT_IDS, build_facts, entered, labelled_results, long_results
-from lapledger.session import new_path, settle
+from lapledger.session import new_path, settle, settled_for_now
 from lapledger.sources.readers import RACERS, expanded_calendar, history_long, participation_long, team_long
 from lapledger.sources.writers import load_snapshot, save_snapshot
 
@@ -620,7 +620,8 @@ def saved_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _SAVED:
         path = new_path(spark, "facts")
-        save_snapshot(facts(spark, sf_dir, until="places"), path, dealt=True)
+        with settled_for_now(spark):
+            save_snapshot(facts(spark, sf_dir, until="places"), path, dealt=True)
         _SAVED[key] = path
     return labelled_results(load_snapshot(spark, _SAVED[key]))
 

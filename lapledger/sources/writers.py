@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lapledger.session import shuffles_removed
+
 
 def write_start_list(starts: DataFrame, path: str) -> None:
     """Entrant, chip, course and start time as CSV."""
@@ -28,7 +30,8 @@ def save_snapshot(
     even size. Rows that lie by season in tasks of even size (``dealt``) are written from where they are.
     """
     rows = df if dealt else df.hint("rebalance", partition)
-    rows.write.mode(mode).partitionBy(partition).parquet(path)
+    with shuffles_removed(df.sparkSession):
+        rows.write.mode(mode).partitionBy(partition).parquet(path)
 
 
 def load_snapshot(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
