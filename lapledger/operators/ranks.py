@@ -142,13 +142,15 @@ def place_change(
     back: int = 2,
     shown: Sequence[int] = (5, 7),
     since: int = 4,
+    before: Column | None = None,
 ) -> DataFrame:
     """Place against the place two stages before, with direction and label on the shown stages.
 
-    The partition is one competitor and leg of one race, so it holds one row per stage.
+    The partition is one competitor and leg of one race, so it holds one row per stage. Where a row itself tells
+    the place ``back`` stages before, ``before`` gives it, and frames need not be sorted.
     """
-    frames = Window.partitionBy(*partition).orderBy(stage)
-    before = F.lag(place, back).over(frames)
+    if before is None:
+        before = F.lag(place, back).over(Window.partitionBy(*partition).orderBy(stage))
     diff = F.when(F.col(stage) >= since, F.col(place) - before)
     moved = df.withColumn("place_diff", diff)
     step, visible = F.col("place_diff"), F.col(stage).isin(*shown)

@@ -47,15 +47,18 @@ def race_replay(
     frames = frame_expansion(known, range(1, 8))
     number = F.array_position(F.array(*[F.lit(leg) for leg in LEGS]), F.col("part")).cast("int")
     out = F.get(F.array(*[F.lit(v) for v in BARS_OUT]), F.col("stage") - 1)
-    by = F.get(F.array(*[F.lit(v) for v in ORDERED_BY]), F.col("stage") - 1)
 
     def at_leg(what: str, leg: Column) -> Column:
         return F.get(F.array(*[F.col(f"__{what}_{name}") for name in LEGS]), leg - 1)
 
+    def place_at(stage: Column) -> Column:
+        by = F.get(F.array(*[F.lit(v) for v in ORDERED_BY]), stage - 1)
+        return F.when(by == 0, F.col("alphabetic_place")).otherwise(at_leg("place", by))
+
     width = F.when(out == 0, F.lit(0.0)).otherwise(at_leg("mins", F.least(number, out)))
-    place = F.when(by == 0, F.col("alphabetic_place")).otherwise(at_leg("place", by))
-    staged = frames.withColumns({"width": width, "place": place})
-    changed = place_change(staged, [*effort, "part"])
+    staged = frames.withColumns({"width": width, "place": place_at(F.col("stage"))})
+    # seven frames a row are made from the row alone, so they are neither sorted nor written on the way
+    changed = place_change(staged, [*effort, "part"], before=place_at(F.col("stage") - 2))
     return changed.select(
         *RACE_KEYS,
         "date_ymd",

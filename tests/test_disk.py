@@ -8,6 +8,7 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from lapledger.driver import views
+from lapledger.plans import replay
 from lapledger.session import settle, shared_folder
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -40,3 +41,21 @@ def test_saving_facts_keeps_the_facts_only(spark):
     facts = views.saved_facts(spark, SF_DIR)
     assert {p.name.split("-")[0] for p in shared(spark) - before} == {"facts"}
     assert facts.count() == 3990
+
+
+def test_replay_frames_are_not_sorted(spark):
+    rows = [
+        ("1996-1997", 1, "full", False, "1996-01-01", name, part, True, "x", last, "N", leg * 10.0 + k, (k + leg) % 2 + 1)
+        for k, (name, last) in enumerate((("N A", "A"), ("N B", "B")))
+        for leg, part in enumerate(("Swim", "Ride", "Run"), 1)
+    ]
+    names = "season race_number course is_champ date_ymd name part started display_class name_last name_first cumulative_mins place_cumulative"
+    frames = replay.race_replay(spark.createDataFrame(rows, names.split()), hot=False)
+    assert "lag(" not in frames._jdf.queryExecution().optimizedPlan().toString()
+    told = {(r.name, r.part, r.stage): (r.place, r.place_diff, r.change_type, r.change_text) for r in frames.collect()}
+    assert len(told) == 42
+    # by surname first, then by the place at each leg; changes from stage 4, shown at 5 and 7
+    assert [told["N A", "Run", s][0] for s in range(1, 8)] == [1, 1, 2, 2, 1, 1, 2]
+    assert [told["N A", "Run", s][1] for s in range(1, 8)] == [None, None, None, 1, -1, -1, 1]
+    assert told["N A", "Run", 5][2:] == ("up", "↑ 1") and told["N A", "Run", 7][2:] == ("down", "↓ 1")
+    assert told["N A", "Run", 6][2:] == (None, None)
