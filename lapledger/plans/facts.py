@@ -239,7 +239,6 @@ def placed_results(
     kept = settle(numbered.withColumn(DEAL, F.xxhash64("season", share)))
 
     races = kept.select(ROW, DEAL, *RACE, "name", "date_ymd", *MEASURES, *FLAGS)
-    # each kind of rank is written before the next one is made, so the shuffles of one lie on disk at a time
     places = races if hot_race else spread.dealt(races, tasks, *RACE)
     places = ranks.place_leg(places, hot=hot_race)
     places = ranks.place_cumulative(places, hot=hot_race)
@@ -257,7 +256,7 @@ def placed_results(
         (overall, ["record_rank_overall"]),
         (leg, ["record_rank_leg"]),
     ):
-        ranked = settle(ranked.select(DEAL, ROW, *found))
+        ranked = ranked.select(DEAL, ROW, *found)
         placed = placed.join(spread.dealt(ranked, tasks, DEAL), [DEAL, ROW], "left")
     return placed.drop(DEAL, ROW)
 
