@@ -25,7 +25,6 @@ from lapledger.operators.joins import apply_aliases
 from lapledger.plans.facts import RESULT_IDS, build_facts, entered, labelled_results, long_results
 from lapledger.session import new_path, settle, settled_for_now
 from lapledger.sources.readers import RACERS, expanded_calendar, history_long, participation_long, team_long
-from lapledger.sources.writers import load_snapshot, save_snapshot
 
 BEFORE_SEASON = "1998-1999"
 #: A customer's next order on a date belongs to the entrant so many numbers on.
@@ -587,7 +586,7 @@ def batch_rows(spark: SparkSession, sf_dir: str, wide: DataFrame) -> DataFrame:
 
 
 def facts(
-    spark: SparkSession, sf_dir: str, wide: DataFrame | None = None, until: str = "labels"
+    spark: SparkSession, sf_dir: str, wide: DataFrame | None = None, until: str = "labels", into: str | None = None
 ) -> DataFrame:
     """The full batch on the exports, team sheets and lists made from orders and lines.
 
@@ -606,10 +605,11 @@ def facts(
         prehistory=prehistory_totals(history(spark, sf_dir), BEFORE_SEASON),
         newcomers=newcomers(spark, sf_dir),
         until=until,
+        into=into,
     )
 
 
-_SAVED: dict[tuple[str, str], str] = {}
+_SAVED: dict[tuple[str, str], DataFrame] = {}
 
 
 def saved_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -619,11 +619,9 @@ def saved_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _SAVED:
-        path = new_path(spark, "facts")
         with settled_for_now(spark):
-            save_snapshot(facts(spark, sf_dir, until="places"), path, dealt=True)
-        _SAVED[key] = path
-    return labelled_results(load_snapshot(spark, _SAVED[key]))
+            _SAVED[key] = facts(spark, sf_dir, until="places", into=new_path(spark, "facts"))
+    return labelled_results(_SAVED[key])
 
 
 def race_days(spark: SparkSession, sf_dir: str) -> DataFrame:

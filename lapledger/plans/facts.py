@@ -28,7 +28,8 @@ from lapledger.operators.update import (
     mark_started,
     time_of_day_fix,
 )
-from lapledger.session import settle
+from lapledger.session import new_path, save_buckets, settle, settled_for_now
+from lapledger.sources.writers import load_snapshot, save_snapshot
 
 RESULT_IDS = (
     "season",
@@ -62,7 +63,7 @@ COUNTING = (*KEYS, *MEASURES, *FLAGS)
 BESTING = (*COUNTING, "first_race")
 #: Rows of a task; the steps on one competitor sort each about ten times.
 TASK_ROWS = 150_000
-ROW, DEAL = "__row", "__deal"
+ROW, HOME = "__row", "__home"
 
 
 def packed(df: DataFrame, keep: Sequence[str], into: str) -> DataFrame:
@@ -225,39 +226,53 @@ def placed_results(
     hot_record: bool = False,
     hot_name: bool = False,
     rows: int | None = None,
+    into: str | None = None,
 ) -> DataFrame:
     """Places in the race and records of the season.
 
-    Both compare all competitors. The rows wait in the shared folder while keys and numbers are ranked, and move
-    once, a competitor's season together, to meet their ranks. So they lie by season afterwards, in ``rows``
-    by ``TASK_ROWS`` tasks.
+    Both compare all competitors. The rows wait in the shared folder, where they lie by name in ``rows`` by ``TASK_ROWS``
+    buckets, while keys and numbers are ranked. The ranks go there too, one kind after the other, and meet the rows in
+    their buckets, so whole rows are not dealt out again. With a path ``into`` the result is written there, one folder
+    per season. A competitor with too many rows for a bucket has each row find its ranks by itself.
     """
     spark = facts.sparkSession
     tasks = None if rows is None else spread.task_count(spark, rows, TASK_ROWS)
-    share = F.pmod(F.xxhash64(ROW if hot_name else "name"), F.lit(2 * (tasks or 100)))
-    numbered = facts.withColumn(ROW, F.monotonically_increasing_id())
-    kept = settle(numbered.withColumn(DEAL, F.xxhash64("season", share)))
-
-    races = kept.select(ROW, DEAL, *RACE, "name", "date_ymd", *MEASURES, *FLAGS)
-    places = races if hot_race else spread.dealt(races, tasks, *RACE)
-    places = ranks.place_leg(places, hot=hot_race)
-    places = ranks.place_cumulative(places, hot=hot_race)
-    places = ranks.place_overall(places, hot=hot_race)
-
-    def held(best: str, value: str) -> DataFrame:
-        rows_of = kept.filter(F.col("started") & F.col(best))
-        return rows_of.select(ROW, DEAL, *RECORD, "name", "date_ymd", "started", best, value)
-
-    overall = ranks.record_rank_overall(held("season_pb_overall", "overall_mins"), hot=hot_record)
-    leg = ranks.record_rank_leg(held("season_pb_leg", "duration_mins"), hot=hot_record)
-    placed = spread.dealt(kept, tasks, DEAL)
-    for ranked, found in (
-        (places, ["place_leg", "place_cumulative", "place_overall"]),
-        (overall, ["record_rank_overall"]),
-        (leg, ["record_rank_leg"]),
-    ):
-        placed = placed.join(spread.dealt(ranked.select(DEAL, ROW, *found), tasks, DEAL), [DEAL, ROW], "left")
-    return placed.drop(DEAL, ROW)
+    buckets = None if hot_name else tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = into or new_path(spark, "settled")
+    with settled_for_now(spark):
+        # a row without a name has a place to lie too
+        home = F.xxhash64(ROW) if hot_name else F.coalesce("name", F.lit(""))
+        numbered = facts.withColumn(ROW, F.monotonically_increasing_id())
+        kept = settle(numbered.withColumn(HOME, home), buckets, HOME)
+
+        def found(ranked: DataFrame, *names: str) -> DataFrame:
+            return settle(spread.dealt(ranked.select(HOME, ROW, *names), buckets or tasks, HOME), buckets, HOME)
+
+        races = kept.select(ROW, HOME, *RACE, "name", "date_ymd", *MEASURES, *FLAGS)
+        places = races if hot_race else spread.dealt(races, tasks, *RACE)
+        places = ranks.place_leg(places, hot=hot_race)
+        places = ranks.place_cumulative(places, hot=hot_race)
+        places = ranks.place_overall(places, hot=hot_race)
+
+        def held(best: str, value: str) -> DataFrame:
+            rows_of = kept.filter(F.col("started") & F.col(best))
+            return rows_of.select(ROW, HOME, *RECORD, "name", "date_ymd", "started", best, value)
+
+        overall = ranks.record_rank_overall(held("season_pb_overall", "overall_mins"), hot=hot_record)
+        leg = ranks.record_rank_leg(held("season_pb_leg", "duration_mins"), hot=hot_record)
+        placed = kept
+        for ranked in (
+            found(places, "place_leg", "place_cumulative", "place_overall"),
+            found(overall, "record_rank_overall"),
+            found(leg, "record_rank_leg"),
+        ):
+            placed = placed.join(ranked, [HOME, ROW], "left")
+        placed = placed.drop(HOME, ROW)
+        season = None if into is None else "season"
+        if buckets is not None:
+            return spark.table(save_buckets(placed, path, buckets, "name", season))
+        save_snapshot(placed, path, season)
+    return load_snapshot(spark, path)
 
 
 def labelled_results(facts: DataFrame) -> DataFrame:
@@ -292,8 +307,9 @@ def build_facts(
     newcomers: DataFrame | None = None,
     hot: Sequence[bool] | None = None,
     until: str = "labels",
+    into: str | None = None,
 ) -> DataFrame:
-    """All steps, or those until "times", "counts" or "places".
+    """All steps, or those until "times", "counts" or "places", which are written ``into`` a path if there is one.
 
     ``hot`` tells whether a competitor, a race or a season's course holds more rows than one task
     should; when it is not given, one count finds out. The count is taken before the lookups, by the
@@ -307,13 +323,16 @@ def build_facts(
     hot_name, hot_race, hot_record = hot
     tasks = None if rows is None else spread.task_count(long.sparkSession, rows, TASK_ROWS)
 
-    # one exchange for all steps on an effort, lookups included, and one for all on a competitor
-    def by_effort(df: DataFrame) -> DataFrame:
-        return df if hot_name else spread.dealt(df, tasks, *EFFORT)
+    # one exchange by name for all steps on an effort and a competitor, lookups included; where the rows are not
+    # written here, steps on an effort have one of their own, as Spark's joins ask for unless told otherwise
+    written = until in ("places", "labels")
 
     def by_name(df: DataFrame) -> DataFrame:
         return df if hot_name else spread.dealt(df, tasks, "name")
 
+    def by_effort(df: DataFrame) -> DataFrame:
+        return by_name(df) if written or hot_name else spread.dealt(df, tasks, *EFFORT)
+
     cleaned = cleaned_results(
         long, aliases, problems, overrides, clock_races, dupe_dates, hot_name, by_effort
     )
@@ -325,10 +344,11 @@ def build_facts(
         prehistory = by_name(prehistory)
     if newcomers is not None:
         newcomers = by_name(newcomers)
-    facts = by_name(packed(timed, COUNTING, "times"))
+    facts = packed(timed, COUNTING, "times")
+    facts = facts if written else by_name(facts)
     facts = counted_results(facts, prehistory, newcomers, hot_name)
     if until == "counts":
         return unpacked(facts)
     facts = unpacked(best_results(packed(facts, BESTING, "counts"), hot_name))
-    placed = placed_results(facts, hot_race, hot_record, hot_name, rows)
+    placed = placed_results(facts, hot_race, hot_record, hot_name, rows, into)
     return placed if until == "places" else labelled_results(placed)

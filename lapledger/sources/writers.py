@@ -22,16 +22,17 @@ def write_season_export(bests: DataFrame, path: str, form: str = "csv") -> None:
 
 
 def save_snapshot(
-    df: DataFrame, path: str, partition: str = "season", mode: str = "errorifexists", dealt: bool = False
+    df: DataFrame, path: str, partition: str | None = "season", mode: str = "errorifexists", dealt: bool = False
 ) -> None:
     """A derived table for later jobs, one folder per season.
 
     The rebalance hint lets adaptive execution split large seasons and join small ones into files of
     even size. Rows that lie by season in tasks of even size (``dealt``) are written from where they are.
     """
-    rows = df if dealt else df.hint("rebalance", partition)
+    keys = [] if partition is None else [partition]
+    rows = df if dealt else df.hint("rebalance", *keys)
     with shuffles_removed(df.sparkSession):
-        rows.write.mode(mode).partitionBy(partition).parquet(path)
+        rows.write.mode(mode).partitionBy(*keys).parquet(path)
 
 
 def load_snapshot(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:

@@ -7,8 +7,10 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from lapledger import session
 from lapledger.driver import views
-from lapledger.plans import replay
+from lapledger.plans import facts as plans_facts
+from lapledger.plans import replay, reports
 from lapledger.session import settle, shared_folder
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -59,3 +61,54 @@ def test_replay_frames_are_not_sorted(spark):
     assert [told["N A", "Run", s][1] for s in range(1, 8)] == [None, None, None, 1, -1, -1, 1]
     assert told["N A", "Run", 5][2:] == ("up", "↑ 1") and told["N A", "Run", 7][2:] == ("down", "↓ 1")
     assert told["N A", "Run", 6][2:] == (None, None)
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_saved_facts_lie_by_name(spark):
+    """Reports on efforts and competitors deal no rows out; a race's rows still have to come together."""
+    facts = views.saved_facts(spark, SF_DIR)
+    for report in (reports.race_table, reports.athlete_table, reports.athlete_course_table, reports.record_table_overall):
+        assert exchanges(report(facts)) == 0
+    assert exchanges(reports.record_table_leg(facts, "Run")) == 0
+    assert exchanges(facts.groupBy("season", "race_number").count()) == 1
+    files = Path(shared_folder(spark).removeprefix("file:")).glob("facts-*/season=1996-1997")
+    assert any(files)  # one folder per season
+
+
+def test_whole_rows_are_not_dealt_out_for_their_ranks(spark, monkeypatch):
+    """What the ranks meet is read from its buckets; only keys and numbers are shuffled after the rows are written."""
+    plans, save = [], session.save_buckets
+
+    def saved(df, *args, **more):
+        plans.append(exchanges(df))
+        return save(df, *args, **more)
+
+    monkeypatch.setattr(session, "save_buckets", saved)
+    monkeypatch.setattr(plans_facts, "save_buckets", saved)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set(session.ALL_KEYS, "false")
+    try:
+        views.facts(spark, SF_DIR, until="places")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset(session.ALL_KEYS)
+    # rows, three kinds of ranks, and the rows with their ranks
+    assert len(plans) == 5 and plans[4] == 0
+
+
+def test_rows_without_a_name_are_placed(spark):
+    flags = {flag: F.lit(True) for flag in (*plans_facts.FLAGS, "started", "is_champ", "season_pb_overall", "season_pb_leg")}
+    rows = [(None, 30.0), ("A", 20.0), (None, 10.0)]
+    facts = spark.createDataFrame(rows, "name string, duration_mins double").withColumns(
+        flags
+        | {"season": F.lit("2030-2031"), "race_number": F.lit(1), "course": F.lit("full"), "part": F.lit("Swim")}
+        | {"date_ymd": F.lit("2030-09-28").cast("date")}
+        | {m: F.col("duration_mins") for m in plans_facts.MEASURES}
+    )
+    placed = plans_facts.placed_results(facts, rows=1_000_000)
+    assert {(r.name, r.duration_mins, r.place_leg, r.place_overall, r.record_rank_leg) for r in placed.collect()} == {
+        (None, 10.0, 1, 1, 1), ("A", 20.0, 2, 2, 2), (None, 30.0, 3, 3, 3)
+    }
