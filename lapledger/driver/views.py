@@ -8,6 +8,8 @@ are exact in any order of addition.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -586,7 +588,12 @@ def batch_rows(spark: SparkSession, sf_dir: str, wide: DataFrame) -> DataFrame:
 
 
 def facts(
-    spark: SparkSession, sf_dir: str, wide: DataFrame | None = None, until: str = "labels", into: str | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    wide: DataFrame | None = None,
+    until: str = "labels",
+    into: str | None = None,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """The full batch on the exports, team sheets and lists made from orders and lines.
 
@@ -606,6 +613,7 @@ def facts(
         newcomers=newcomers(spark, sf_dir),
         until=until,
         into=into,
+        columns=columns,
     )
 
 

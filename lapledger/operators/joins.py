@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapledger.functions.names import standard_name
+from lapledger.model import EFFORT
 
 
 #: The column that readers give rows their place in the files with.
@@ -72,7 +73,7 @@ def apply_aliases(df: DataFrame, aliases: DataFrame, name: str = "name") -> Data
 
 
 def attach_problems(
-    df: DataFrame, problems: DataFrame, on: Sequence[str] = ("date_ymd", "name", "part")
+    df: DataFrame, problems: DataFrame, on: Sequence[str] = (*EFFORT, "part")
 ) -> DataFrame:
     """Validity flags of listed legs; legs without a problem are valid.
 

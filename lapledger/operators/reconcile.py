@@ -20,11 +20,14 @@ from lapledger.operators.update import when_all
 def drop_cross_course_dupes(
     df: DataFrame,
     dates: DataFrame,
-    keys: Sequence[str] = ("name", "part", "date_ymd"),
+    keys: Sequence[str] = (*EFFORT, "part"),
     course: str = "double",
     hot: bool | None = None,
 ) -> DataFrame:
-    """On the listed dates a competitor found in several courses loses the rows of ``course``."""
+    """On the listed dates a competitor found in several courses loses the rows of ``course``.
+
+    The keys begin like those of the lookups that follow, which so find the rows sorted.
+    """
     listed = dates.select("date_ymd").distinct().withColumn("__listed", F.lit(True))
     # dates of races are few however many rows there are
     joined = df.join(F.broadcast(listed), "date_ymd", "left")
@@ -167,7 +170,9 @@ def settled_times(
     finish is known on every row the rest is arithmetic. Both passes share one sort.
     """
     first, last = F.col("part") == FIRST_LEG, F.col("part") == LAST_LEG
-    order = [leg_order(F.col("part"))]
+    # a column of its own: an expression would be another one, and sorted by again, in the second pass
+    df = df.withColumn("__leg", leg_order(F.col("part")))
+    order = [F.col("__leg")]
     size = F.col("handicap_seconds")
     usable = when_all(F.col("started"), first, size + F.col("duration_seconds") > 0)
     flagged = spread.running(
@@ -218,4 +223,4 @@ def settled_times(
             "overall_seconds": overall.otherwise(F.coalesce("overall_seconds", missing)),
             "total_resolved": F.when(F.col("total_disagree"), F.lit(True)),
         }
-    ).drop("__finish")
+    ).drop("__finish", "__leg")

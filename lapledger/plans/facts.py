@@ -61,6 +61,8 @@ TIMING = (
 )
 COUNTING = (*KEYS, *MEASURES, *FLAGS)
 BESTING = (*COUNTING, "first_race")
+#: What places and records are made from.
+RANKING = (*KEYS, *MEASURES, *FLAGS, "season_pb_leg", "season_pb_overall")
 #: Rows of a task; the steps on one competitor sort each about ten times.
 TASK_ROWS = 150_000
 ROW, HOME = "__row", "__home"
@@ -134,7 +136,7 @@ def cleaned_results(
     if clock_races is not None:
         flagged = time_of_day_fix(flagged, clock_races)
     if overrides is not None:
-        flagged = apply_overrides(flagged, by_effort(overrides), ["date_ymd", "name"], ["course"])
+        flagged = apply_overrides(flagged, by_effort(overrides), EFFORT, ["course"])
     return flagged
 
 
@@ -227,13 +229,14 @@ def placed_results(
     hot_name: bool = False,
     rows: int | None = None,
     into: str | None = None,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Places in the race and records of the season.
 
     Both compare all competitors. The rows wait in the shared folder, where they lie by name in ``rows`` by ``TASK_ROWS``
     buckets, while keys and numbers are ranked. The ranks go there too, one kind after the other, and meet the rows in
     their buckets, so whole rows are not dealt out again. With a path ``into`` the result is written there, one folder
-    per season. A competitor with too many rows for a bucket has each row find its ranks by itself.
+    per season. With ``columns`` it holds no others, and what nothing reads is not made. A competitor with too many rows for a bucket has each row find its ranks by itself.
     """
     spark = facts.sparkSession
     tasks = None if rows is None else spread.task_count(spark, rows, TASK_ROWS)
@@ -242,6 +245,8 @@ def placed_results(
     with settled_for_now(spark):
         # a row without a name has a place to lie too
         home = F.xxhash64(ROW) if hot_name else F.coalesce("name", F.lit(""))
+        if columns is not None:
+            facts = facts.select(*[c for c in facts.columns if c in {*columns, *RANKING}])
         numbered = facts.withColumn(ROW, F.monotonically_increasing_id())
         kept = settle(numbered.withColumn(HOME, home), buckets, HOME)
 
@@ -261,13 +266,15 @@ def placed_results(
         overall = ranks.record_rank_overall(held("season_pb_overall", "overall_mins"), hot=hot_record)
         leg = ranks.record_rank_leg(held("season_pb_leg", "duration_mins"), hot=hot_record)
         placed = kept
-        for ranked in (
-            found(places, "place_leg", "place_cumulative", "place_overall"),
-            found(overall, "record_rank_overall"),
-            found(leg, "record_rank_leg"),
+        for ranked, names in (
+            (places, ["place_leg", "place_cumulative", "place_overall"]),
+            (overall, ["record_rank_overall"]),
+            (leg, ["record_rank_leg"]),
         ):
-            placed = placed.join(ranked, [HOME, ROW], "left")
-        placed = placed.drop(HOME, ROW)
+            names = [name for name in names if columns is None or name in columns]
+            if names:
+                placed = placed.join(found(ranked, *names), [HOME, ROW], "left")
+        placed = placed.drop(HOME, ROW) if columns is None else placed.select(*columns)
         season = None if into is None else "season"
         if buckets is not None:
             return spark.table(save_buckets(placed, path, buckets, "name", season))
@@ -308,8 +315,11 @@ def build_facts(
     hot: Sequence[bool] | None = None,
     until: str = "labels",
     into: str | None = None,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """All steps, or those until "times", "counts" or "places", which are written ``into`` a path if there is one.
+    """All steps, or those until "times", "counts" or "places".
+
+    Places are written ``into`` a path if there is one, and only ``columns`` of them if these are given.
 
     ``hot`` tells whether a competitor, a race or a season's course holds more rows than one task
     should; when it is not given, one count finds out. The count is taken before the lookups, by the
@@ -350,5 +360,5 @@ def build_facts(
     if until == "counts":
         return unpacked(facts)
     facts = unpacked(best_results(packed(facts, BESTING, "counts"), hot_name))
-    placed = placed_results(facts, hot_race, hot_record, hot_name, rows, into)
+    placed = placed_results(facts, hot_race, hot_record, hot_name, rows, into, columns)
     return placed if until == "places" else labelled_results(placed)

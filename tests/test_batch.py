@@ -278,3 +278,32 @@ def test_handicap_looks_for_hot_efforts_once(spark, monkeypatch):
     assert {(r.part, r.duration_seconds, r.overall_seconds) for r in moved.collect()} == {
         ("Swim", 90.0, 210.0), ("Ride", 60.0, 210.0), ("Run", 60.0, 210.0)
     }
+
+
+def test_steps_on_an_effort_share_their_sorts(spark):
+    """One sort serves double entries and both lookups, another both passes over the times."""
+    rows = spark.createDataFrame(
+        [],
+        "name string, date_ymd date, part string, course string, duration_import string, time_overall_import string,"
+        "handicap_import string, started boolean",
+    )
+    problems = spark.createDataFrame(
+        [], "date_ymd date, name string, part string, split_valid boolean, cumulative_valid boolean"
+    )
+    days = problems.select("date_ymd")
+    overrides = problems.select("date_ymd", "name", F.lit("int").alias("course"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cleaned = cleaned_results(
+            rows, None, problems, overrides, None, days, False, lambda df: spread.dealt(df, 4, "name", "date_ymd")
+        )
+        plan = timed_results(parsed_results(cleaned))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    sorts = [line.split("Sort [")[1].split("]")[0] for line in plan.splitlines() if "Sort [" in line]
+    sorts = [" ".join(key.split("#")[0] for key in keys.split(", ")) for keys in sorts]
+    assert plan.count("SortMergeJoin") == 2
+    # the lookups, one of them by leg too, and the rows twice
+    rows_sorted = [keys for keys in sorts if keys.endswith(" part") or "__leg" in keys]
+    assert rows_sorted.count("name date_ymd __leg") == 1 and "name date_ymd part" in rows_sorted
+    assert len(sorts) <= 5
