@@ -537,9 +537,11 @@ def effort_has_pb(spark, sf_dir):
     ),
 )
 def display_class(spark, sf_dir):
-    return facts(spark, sf_dir).select(
-        *LEG_OUT, "display_class", "display_class_pb", "display_order"
+    """The labels of the batch's places and records, from the columns that they read."""
+    placed = facts(
+        spark, sf_dir, until="places", columns=(*LEG_OUT, "split_valid", "season_pb_leg", "record_rank_leg")
     )
+    return bests.display_class(placed).select(*LEG_OUT, "display_class", "display_class_pb", "display_order")
 
 
 # effort steps ------------------------------------------------------------------------------------
@@ -783,7 +785,7 @@ def add_season(spark, sf_dir):
 )
 def timed_efforts(spark, sf_dir):
     """Only the effort steps of the batch."""
-    return facts(spark, sf_dir, until="times").select(
+    timed = facts(spark, sf_dir, until="times").select(
         *LEG_OUT,
         "handicap_valid",
         "total_disagree",
@@ -792,6 +794,7 @@ def timed_efforts(spark, sf_dir):
         "cumulative_seconds",
         "overall_seconds",
     )
+    return settle(timed)
 
 
 @query(

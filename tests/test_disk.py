@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lapledger import session
 from lapledger.driver import views
+from lapledger.driver.queries import QUERIES
 from lapledger.plans import facts as plans_facts
 from lapledger.plans import replay, reports
 from lapledger.session import settle, shared_folder
@@ -112,3 +113,17 @@ def test_rows_without_a_name_are_placed(spark):
     assert {(r.name, r.duration_mins, r.place_leg, r.place_overall, r.record_rank_leg) for r in placed.collect()} == {
         (None, 10.0, 1, 1, 1), ("A", 20.0, 2, 2, 2), (None, 30.0, 3, 3, 3)
     }
+
+
+def test_only_the_columns_asked_for_are_placed_and_written(spark, monkeypatch):
+    names, saved, save = ("name", "date_ymd", "part", "record_rank_leg"), [], plans_facts.save_buckets
+    monkeypatch.setattr(plans_facts, "save_buckets", lambda df, *args: saved.append(df.columns) or save(df, *args))
+    placed = views.facts(spark, SF_DIR, until="places", columns=names)
+    assert saved == [list(names)]
+    whole = views.saved_facts(spark, SF_DIR).select(*names)
+    assert placed.exceptAll(whole).isEmpty() and placed.count() == whole.count()
+
+
+def test_timed_efforts_are_read_from_where_they_were_written(spark):
+    plan = QUERIES["timed_efforts"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
