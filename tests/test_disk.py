@@ -127,3 +127,16 @@ def test_only_the_columns_asked_for_are_placed_and_written(spark, monkeypatch):
 def test_timed_efforts_are_read_from_where_they_were_written(spark):
     plan = QUERIES["timed_efforts"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Window" not in plan
+
+
+def test_large_competitors_are_placed_without_buckets(spark, tmp_path):
+    ranked = ("place_leg", "place_cumulative", "place_overall", "record_rank_overall", "record_rank_leg")
+    names = ("name", "date_ymd", "part", "course", *ranked)
+    facts = views.saved_facts(spark, SF_DIR)
+    path = f"{tmp_path}/facts"
+    for placed in (
+        plans_facts.placed_results(facts.drop(*ranked), hot_name=True, rows=400_000, into=path),
+        plans_facts.placed_results(facts.drop(*ranked), hot_name=True),
+    ):
+        assert placed.select(*names).exceptAll(facts.select(*names)).isEmpty() and placed.count() == facts.count()
+    assert (tmp_path / "facts" / "season=1996-1997").exists()
