@@ -21,14 +21,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapledger.llm.tables import Shelf, chunks
+from lapledger.llm.tables import Shelf, chunks, rows_per_batch
 
 LENGTH = 2_048
 BLOCK_ROWS = 20_000
 #: Of a block's bins, those filled less than this share go to the next round, the emptiest eighth at most.
 FULL, PASSED_ON = 0.98, 8
-#: Words, and words without marks and capitals, that a worker remembers the tokens of.
-WORDS = 600_000
+#: Rows that tasks are sent at a time.
+BATCH_DOCS = 1_000
+#: Words that a worker remembers the tokens of as they are written, and words without marks and capitals, the latter
+#: from the last two tables of this size.
+WORDS, PLAIN_WORDS = 100_000, 120_000
 MARKS = ".,!?;:|#%&$*)"
 #: Letters below this are composed, have one lower case each, and need no normalization (but for the dotted I).
 PLAIN, DOTTED = "\u0250", "\u0130"
@@ -48,23 +51,26 @@ class Tokens(dict):
     without marks behind it, is looked up by its letters in lower case; any other word is given to the tokenizer.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, words: int, plain_words: int):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
-        self.model, self.letters, self.known = self.tokenizer.model, byte_letters(), {}
+        self.tokenizer, self.words, self.plain_words = Tokenizer.from_file(path), words, plain_words
+        self.model, self.letters, self.known, self.earlier = self.tokenizer.model, byte_letters(), {}, {}
 
     def _letters(self, word: str) -> bytes:
         if (found := self.known.get(word)) is None:
-            if len(self.known) >= WORDS:
-                self.known.clear()
-            told = word if word.isascii() else "".join(self.letters[b] for b in word.encode())
-            found = self.known[word] = array("I", [t.id for t in self.model.tokenize(told)]).tobytes()
+            if len(self.known) >= self.plain_words:
+                # common words come back from the earlier table, the many that occur once go
+                self.known, self.earlier = {}, self.known
+            if (found := self.earlier.get(word)) is None:
+                told = word if word.isascii() else "".join(self.letters[b] for b in word.encode())
+                found = array("I", [t.id for t in self.model.tokenize(told)]).tobytes()
+            self.known[word] = found
         return found
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= WORDS:
+        if len(self) >= self.words:
             self.clear()
         head = word.rstrip(MARKS)
         if head.isalpha() and max(head) < PLAIN and DOTTED not in head:
@@ -80,12 +86,13 @@ class Tokens(dict):
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
-def tokens(path: str) -> Tokens:
+def tokens(path: str, words: int = WORDS, plain_words: int = PLAIN_WORDS) -> Tokens:
     """A worker outlives its tasks, and functions come anew with each: what it remembers is kept with the process."""
     kept = sys.__dict__.setdefault("_lapledger_tokens", {})
-    if path not in kept:
-        kept[path] = Tokens(path)
-    return kept[path]
+    key = (path, words, plain_words)
+    if key not in kept:
+        kept[key] = Tokens(*key)
+    return kept[key]
 
 
 def pieces(docs: DataFrame, path: str, length: int, end: int) -> DataFrame:
@@ -205,7 +212,8 @@ def packed(
     """
     shelf = Shelf(docs.sparkSession, "packing")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    cut = shelf.put(pieces(rows, path, length, end), "pieces")
+    with rows_per_batch(docs.sparkSession, BATCH_DOCS):
+        cut = shelf.put(pieces(rows, path, length, end), "pieces")
     whole = F.col("length") == length
     # a full piece is a sequence of its own
     full = cut.filter(whole).select("*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))

@@ -28,6 +28,8 @@ HEAD_SIZE = struct.calcsize(HEAD)
 BLOCK = 1_024
 #: Ids after which a frame ends with the document at hand, and frames of a file: a file has about 60 MB at most.
 FRAME_IDS, FILE_FRAMES = 500_000, 48
+#: Words that a worker remembers the tokens of: more of them take less time and more memory.
+WORDS, PLAIN_WORDS = 600_000, 300_000
 PAYLOAD = 60
 #: (ids, bits) of selectors 1 to 14: the widest ids of which so many fit a word. Selector 0 is a run of zeros.
 PACKS = sorted({PAYLOAD // bits: bits for bits in range(1, PAYLOAD + 1)}.items(), reverse=True)
@@ -178,7 +180,7 @@ def write(docs: DataFrame, tokenizer: str, path: str, id_col: str = "doc_id", te
     rows = rows.withColumn("row", F.monotonically_increasing_id()).repartitionByRange("id", "row").sortWithinPartitions("id", "row")
 
     def framed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, stop = tokens(tokenizer), np.array([end], "<u4").tobytes()
+        known, stop = tokens(tokenizer, WORDS, PLAIN_WORDS), np.array([end], "<u4").tobytes()
         held, ids, size = [], [], 0
         for batch in batches:
             for chunk in chunks(batch, "text"):
