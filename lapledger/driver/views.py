@@ -8,7 +8,8 @@ are exact in any order of addition.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from contextlib import ExitStack
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ from lapledger.operators.calendar import (
     results_availability,
 )
 from lapledger.operators.joins import apply_aliases
+from lapledger.operators.reshape import legs_long, legs_packed
 from lapledger.plans.facts import RESULT_IDS, build_facts, entered, labelled_results, long_results
 from lapledger.session import new_path, settle, settled_for_now
 from lapledger.sources.readers import RACERS, expanded_calendar, history_long, participation_long, team_long
@@ -573,17 +575,19 @@ def long_rows(spark: SparkSession, sf_dir: str, wide: DataFrame | None = None) -
 FROM_CALENDAR = ("race_type", "race_ref", "race_link")
 
 
-def batch_rows(spark: SparkSession, sf_dir: str, wide: DataFrame) -> DataFrame:
-    """Exports, team sheets and the hand-kept list in one frame of legs."""
+def batch_rows(
+    spark: SparkSession, sf_dir: str, wide: DataFrame, legs: Callable[..., DataFrame] = legs_long
+) -> DataFrame:
+    """Exports, team sheets and the hand-kept list in one frame of legs, a row each or packed."""
     clock = F.dayofmonth("date_ymd") == 5
     raw = raw_results(spark, sf_dir, export_rows(wide), clock)
-    exports = long_results(raw, [*RESULT_IDS, "participation_only", "race_ref", "race_link"])
+    exports = long_results(raw, [*RESULT_IDS, "participation_only", "race_ref", "race_link"], legs)
     day = F.date_format("date_ymd", "yyyy-MM-dd")
     races = expanded_calendar(race_days(spark, sf_dir)).withColumns(
         {"race_ref": F.concat(F.lit("r-"), day), "race_link": day}
     )
-    teams = team_long(team_sheets(wide), races, FROM_CALENDAR)
-    listed = participation_long(participation_list(wide), races, ("season", "race_number", *FROM_CALENDAR))
+    teams = team_long(team_sheets(wide), races, FROM_CALENDAR, legs)
+    listed = participation_long(participation_list(wide), races, ("season", "race_number", *FROM_CALENDAR), legs)
     return entered(exports, teams, listed)
 
 
@@ -598,23 +602,28 @@ def facts(
     """The full batch on the exports, team sheets and lists made from orders and lines.
 
     The efforts are written to the shared folder once: results, problems and overrides are made from
-    them, as they would be read from files.
+    them, as they would be read from files. They go as soon as places are all that is left to do.
     """
-    wide = settle(wide_seconds(spark, sf_dir)) if wide is None else wide
-    return build_facts(
-        batch_rows(spark, sf_dir, wide),
-        aliases=aliases(spark, sf_dir),
-        problems=problems(spark, sf_dir, wide),
-        overrides=overrides(spark, sf_dir, wide),
-        bad_races=bad_races(spark, sf_dir),
-        clock_races=clock_races(spark, sf_dir),
-        dupe_dates=dupe_dates(spark, sf_dir),
-        prehistory=prehistory_totals(history(spark, sf_dir), BEFORE_SEASON),
-        newcomers=newcomers(spark, sf_dir),
-        until=until,
-        into=into,
-        columns=columns,
-    )
+    with ExitStack() as made:
+        if wide is None:
+            if until in ("places", "labels"):
+                made.enter_context(settled_for_now(spark))
+            wide = settle(wide_seconds(spark, sf_dir))
+        return build_facts(
+            batch_rows(spark, sf_dir, wide, legs_packed),
+            aliases=aliases(spark, sf_dir),
+            problems=problems(spark, sf_dir, wide),
+            overrides=overrides(spark, sf_dir, wide),
+            bad_races=bad_races(spark, sf_dir),
+            clock_races=clock_races(spark, sf_dir),
+            dupe_dates=dupe_dates(spark, sf_dir),
+            prehistory=prehistory_totals(history(spark, sf_dir), BEFORE_SEASON),
+            newcomers=newcomers(spark, sf_dir),
+            until=until,
+            into=into,
+            columns=columns,
+            all_read=made.close,
+        )
 
 
 _SAVED: dict[tuple[str, str], DataFrame] = {}

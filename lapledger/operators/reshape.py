@@ -22,6 +22,29 @@ def legs_long(
     return df.unpivot(list(ids), list(legs), leg, value)
 
 
+#: The legs of an effort while they travel in one row.
+PACKED_LEGS = "legs"
+
+
+def legs_packed(
+    df: DataFrame,
+    ids: Sequence[str],
+    legs: Sequence[str] = LEGS,
+    value: str = "duration_import",
+    leg: str = "part",
+) -> DataFrame:
+    """One row as before, with its legs in an array; ``legs_unpacked`` makes the rows of ``legs_long`` of it."""
+    each = [F.struct(F.lit(name).alias(leg), F.col(name).cast("string").alias(value)) for name in legs]
+    return df.select(*ids, F.array(*each).alias(PACKED_LEGS))
+
+
+def legs_unpacked(df: DataFrame) -> DataFrame:
+    """One row per packed leg; rows whose legs are not packed stay as they are."""
+    if PACKED_LEGS not in df.columns:
+        return df
+    return df.select(*[c for c in df.columns if c != PACKED_LEGS], F.inline(PACKED_LEGS))
+
+
 def legs_wide(
     df: DataFrame,
     keys: Sequence[str],

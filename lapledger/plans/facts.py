@@ -8,6 +8,7 @@ than one task should, the steps cut those groups into blocks instead (``lapledge
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextlib import ExitStack
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from lapledger.operators import bests, ranks, reconcile, totals
 from lapledger.operators.calendar import course_labels
 from lapledger.operators.clean import clean_names, render_places, split_names
 from lapledger.operators.joins import apply_aliases, attach_prehistory, attach_problems
-from lapledger.operators.reshape import legs_long, union_fill
+from lapledger.operators.reshape import legs_long, legs_unpacked, union_fill
 from lapledger.operators.update import (
     apply_overrides,
     cast_places,
@@ -84,12 +85,14 @@ def unpacked(df: DataFrame) -> DataFrame:
     return df.select(*[c for c in df.columns if c not in packs], *[f"{p}.*" for p in packs])
 
 
-def long_results(wide: DataFrame, ids: Sequence[str] = RESULT_IDS) -> DataFrame:
-    """Raw wide results → one row per started competitor and leg."""
+def long_results(
+    wide: DataFrame, ids: Sequence[str] = RESULT_IDS, legs: Callable[..., DataFrame] = legs_long
+) -> DataFrame:
+    """Raw wide results → one row per started competitor and leg; with ``legs_packed`` one per competitor."""
     renamed = cast_places(mark_started(wide)).withColumns(
         {"time_overall_import": F.col("time"), "handicap_import": F.col("handicap")}
     )
-    return legs_long(renamed.filter("started"), ids)
+    return legs(renamed.filter("started"), ids)
 
 
 def entered(exports: DataFrame, teams: DataFrame | None = None, listed: DataFrame | None = None) -> DataFrame:
@@ -115,18 +118,20 @@ def cleaned_results(
     dupe_dates: DataFrame | None = None,
     hot: bool | None = None,
     by_effort: Callable[[DataFrame], DataFrame] = lambda df: df,
+    rows_by_effort: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Names corrected, double entries dropped, validity flags set, single rows overridden.
 
     Entries of a corrected name count together, and what drops them goes by the course they were listed on.
-    ``by_effort`` deals rows and lookups out by date and name, once the names are right.
+    ``by_effort`` deals rows and lookups out by date and name, once the names are right; ``rows_by_effort`` the rows
+    if they need another way. Packed legs get rows of their own after that.
     """
     if "participation_only" not in long.columns:
         long = long.withColumn("participation_only", F.lit(None).cast("boolean"))
     named = clean_names(default_flags(long, {"participation_only": False}), split=False)
     if aliases is not None:
         named = apply_aliases(named, aliases)
-    named = by_effort(named)
+    named = legs_unpacked((rows_by_effort or by_effort)(named))
     if dupe_dates is not None:
         named = reconcile.drop_cross_course_dupes(named, dupe_dates, hot=hot)
     if problems is not None:
@@ -230,6 +235,7 @@ def placed_results(
     rows: int | None = None,
     into: str | None = None,
     columns: Sequence[str] | None = None,
+    all_read: Callable[[], None] | None = None,
 ) -> DataFrame:
     """Places in the race and records of the season.
 
@@ -237,6 +243,7 @@ def placed_results(
     buckets, while keys and numbers are ranked. The ranks go there too, one kind after the other, and meet the rows in
     their buckets, so whole rows are not dealt out again. With a path ``into`` the result is written there, one folder
     per season. With ``columns`` it holds no others, and what nothing reads is not made. A competitor with too many rows for a bucket has each row find its ranks by itself.
+    ``all_read`` is called once the rows are written and nothing they were made from is read any more.
     """
     spark = facts.sparkSession
     tasks = None if rows is None else spread.task_count(spark, rows, TASK_ROWS)
@@ -249,6 +256,8 @@ def placed_results(
             facts = facts.select(*[c for c in facts.columns if c in {*columns, *RANKING}])
         numbered = facts.withColumn(ROW, F.monotonically_increasing_id())
         kept = settle(numbered.withColumn(HOME, home), buckets, HOME)
+        if all_read is not None:
+            all_read()
 
         def found(ranked: DataFrame, *names: str) -> DataFrame:
             return settle(spread.dealt(ranked.select(HOME, ROW, *names), buckets or tasks, HOME), buckets, HOME)
@@ -316,49 +325,65 @@ def build_facts(
     until: str = "labels",
     into: str | None = None,
     columns: Sequence[str] | None = None,
+    all_read: Callable[[], None] | None = None,
 ) -> DataFrame:
     """All steps, or those until "times", "counts" or "places".
 
-    Places are written ``into`` a path if there is one, and only ``columns`` of them if these are given.
+    ``long`` has a row per leg, or a row per effort with its legs packed, which is less to deal out. Places are
+    written ``into`` a path if there is one, and only ``columns`` of them if these are given; ``all_read`` is called
+    once they need no input any more.
 
     ``hot`` tells whether a competitor, a race or a season's course holds more rows than one task
     should; when it is not given, one count finds out. The count is taken before the lookups, by the
     given name in lower case; aliases merge only a few spellings of a name.
     """
-    rows = None
-    if hot is None:
-        sizes = long.select(F.lower("name").alias("name"), *RACE)
-        rows, largest = spread.group_sizes(sizes, [("name",), RACE, RECORD])
-        hot = [size > spread.group_limit(long) for size in largest]
-    hot_name, hot_race, hot_record = hot
-    tasks = None if rows is None else spread.task_count(long.sparkSession, rows, TASK_ROWS)
-
-    # one exchange by name for all steps on an effort and a competitor, lookups included; where the rows are not
-    # written here, steps on an effort have one of their own, as Spark's joins ask for unless told otherwise
-    written = until in ("places", "labels")
-
-    def by_name(df: DataFrame) -> DataFrame:
-        return df if hot_name else spread.dealt(df, tasks, "name")
-
-    def by_effort(df: DataFrame) -> DataFrame:
-        return by_name(df) if written or hot_name else spread.dealt(df, tasks, *EFFORT)
-
-    cleaned = cleaned_results(
-        long, aliases, problems, overrides, clock_races, dupe_dates, hot_name, by_effort
-    )
-    parsed = packed(parsed_results(cleaned), [*KEYS, *TIMING], "results")
-    timed = timed_results(parsed, bad_races, hot_name)
-    if until == "times":
-        return unpacked(timed)
-    if prehistory is not None:
-        prehistory = by_name(prehistory)
-    if newcomers is not None:
-        newcomers = by_name(newcomers)
-    facts = packed(timed, COUNTING, "times")
-    facts = facts if written else by_name(facts)
-    facts = counted_results(facts, prehistory, newcomers, hot_name)
-    if until == "counts":
-        return unpacked(facts)
-    facts = unpacked(best_results(packed(facts, BESTING, "counts"), hot_name))
-    placed = placed_results(facts, hot_race, hot_record, hot_name, rows, into, columns)
-    return placed if until == "places" else labelled_results(placed)
+    with ExitStack() as made:
+        rows = None
+        if hot is None:
+            sizes = legs_unpacked(long).select(F.lower("name").alias("name"), *RACE)
+            rows, largest = spread.group_sizes(sizes, [("name",), RACE, RECORD])
+            hot = [size > spread.group_limit(long) for size in largest]
+        hot_name, hot_race, hot_record = hot
+        tasks = None if rows is None else spread.task_count(long.sparkSession, rows, TASK_ROWS)
+
+        # one exchange by name for all steps on an effort and a competitor, lookups included; where the rows are not
+        # written here, steps on an effort have one of their own, as Spark's joins ask for unless told otherwise
+        written = until in ("places", "labels")
+
+        def by_name(df: DataFrame) -> DataFrame:
+            return df if hot_name else spread.dealt(df, tasks, "name")
+
+        def by_effort(df: DataFrame) -> DataFrame:
+            return by_name(df) if written or hot_name else spread.dealt(df, tasks, *EFFORT)
+
+        def rows_by_effort(df: DataFrame) -> DataFrame:
+            # aliases have dealt the rows out once: that goes from the disk before they are dealt out again
+            return by_effort(settle(df) if written and aliases is not None else df)
+
+        if written:
+            made.enter_context(settled_for_now(long.sparkSession))
+        cleaned = cleaned_results(
+            long, aliases, problems, overrides, clock_races, dupe_dates, hot_name, by_effort, rows_by_effort
+        )
+        parsed = packed(parsed_results(cleaned), [*KEYS, *TIMING], "results")
+        timed = timed_results(parsed, bad_races, hot_name)
+        if until == "times":
+            return unpacked(timed)
+        if prehistory is not None:
+            prehistory = by_name(prehistory)
+        if newcomers is not None:
+            newcomers = by_name(newcomers)
+        facts = packed(timed, COUNTING, "times")
+        facts = facts if written else by_name(facts)
+        facts = counted_results(facts, prehistory, newcomers, hot_name)
+        if until == "counts":
+            return unpacked(facts)
+        facts = unpacked(best_results(packed(facts, BESTING, "counts"), hot_name))
+
+        def read() -> None:
+            made.close()
+            if all_read is not None:
+                all_read()
+
+        placed = placed_results(facts, hot_race, hot_record, hot_name, rows, into, columns, read)
+        return placed if until == "places" else labelled_results(placed)

@@ -18,6 +18,8 @@ ALL_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
 #: Off, operators hand rows on one by one. Code made for a whole stage of rows this wide has methods too long to be
 #: compiled well.
 WHOLE_STAGE = "spark.sql.codegen.wholeStage"
+#: How settled tables are compressed: in less space than by default, for a little more time.
+SMALL = {"compression": "zstd"}
 #: Paths and tables settled in each open block of ``settled_for_now``.
 _FOR_NOW: list[list[tuple[str, str | None]]] = []
 
@@ -75,12 +77,17 @@ def _wide_rows_written(spark: SparkSession) -> AbstractContextManager[None]:
 
 @contextmanager
 def settled_for_now(spark: SparkSession) -> Iterator[None]:
-    """Tables that are settled in this block go at its end: nothing that is left after it may read them."""
-    _FOR_NOW.append([])
+    """Tables that are settled in this block go at its end: nothing that is left after it may read them.
+
+    A block may end before one that began later; what is settled then belongs to the latest that is open.
+    """
+    mine: list[tuple[str, str | None]] = []
+    _FOR_NOW.append(mine)
     try:
         yield
     finally:
-        for path, table in _FOR_NOW.pop():
+        _FOR_NOW[:] = [block for block in _FOR_NOW if block is not mine]
+        for path, table in mine:
             if table is not None:
                 spark.sql(f"drop table if exists {table}")
             remove(spark, path)
@@ -94,7 +101,7 @@ def save_buckets(df: DataFrame, path: str, buckets: int, by: str, partition: str
     """
     spark = df.sparkSession
     table = f"lapledger_{uuid.uuid4().hex}"
-    writer = df.write.format("parquet").option("path", path).bucketBy(buckets, by)
+    writer = df.write.format("parquet").options(**SMALL).option("path", path).bucketBy(buckets, by)
     with _wide_rows_written(spark):
         (writer if partition is None else writer.partitionBy(partition)).saveAsTable(table)
     return table
@@ -111,7 +118,7 @@ def settle(df: DataFrame, buckets: int | None = None, by: str = "name") -> DataF
     path, table = new_path(spark, "settled"), None
     if buckets is None:
         with _wide_rows_written(spark):
-            df.write.parquet(path)
+            df.write.options(**SMALL).parquet(path)
     else:
         table = save_buckets(df, path, buckets, by)
     if _FOR_NOW:

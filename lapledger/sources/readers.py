@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -138,9 +138,9 @@ def read_results(
     return results.join(races, ["season", "date_ymd", "course", "is_champ"])
 
 
-def _placeholder_legs(df: DataFrame, ids: Sequence[str]) -> DataFrame:
+def _placeholder_legs(df: DataFrame, ids: Sequence[str], legs: Callable[..., DataFrame]) -> DataFrame:
     timed = df.withColumns({leg: F.lit(text) for leg, text in PLACEHOLDER_TIMES.items()})
-    long = legs_long(timed.select(*ids, *LEGS), ids)
+    long = legs(timed.select(*ids, *LEGS), ids)
     return long.withColumns({"started": F.lit(True), "participation_only": F.lit(True)})
 
 
@@ -150,11 +150,14 @@ TEAM_CALENDAR = ("course_nice", "race_type")
 
 
 def participation_long(
-    listed: DataFrame, calendar: DataFrame, columns: Sequence[str] = PARTICIPATION_CALENDAR
+    listed: DataFrame,
+    calendar: DataFrame,
+    columns: Sequence[str] = PARTICIPATION_CALENDAR,
+    legs: Callable[..., DataFrame] = legs_long,
 ) -> DataFrame:
-    """Listed entrants (date_ymd, course, name, is_champ) with three placeholder legs each."""
-    legs = _placeholder_legs(listed, ["date_ymd", "course", "name", "is_champ"])
-    return attach_calendar(legs, calendar, columns=columns)
+    """Listed entrants (date_ymd, course, name, is_champ) with three placeholder legs each, a row each or packed."""
+    long = _placeholder_legs(listed, ["date_ymd", "course", "name", "is_champ"], legs)
+    return attach_calendar(long, calendar, columns=columns)
 
 
 def read_participation(spark: SparkSession, path: str, calendar: DataFrame) -> DataFrame:
@@ -168,15 +171,18 @@ RACERS = ("Racer 1", "Racer 2", "Racer 3")
 
 
 def team_long(
-    sheets: DataFrame, calendar: DataFrame, columns: Sequence[str] = TEAM_CALENDAR
+    sheets: DataFrame,
+    calendar: DataFrame,
+    columns: Sequence[str] = TEAM_CALENDAR,
+    legs: Callable[..., DataFrame] = legs_long,
 ) -> DataFrame:
-    """Team sheets (season, race_number, date_ymd, Team No, Racer 1 to 3): one row per racer and leg."""
+    """Team sheets (season, race_number, date_ymd, Team No, Racer 1 to 3): one row per racer and leg, or legs packed."""
     ids = ["season", "race_number", "date_ymd", "team_number"]
     named = sheets.withColumnRenamed("Team No", "team_number")
     each = named.unpivot(ids, list(RACERS), "racer_ref", "name").withColumns(
         {"course": F.lit("teams"), "is_champ": F.lit(False)}
     )
-    long = _placeholder_legs(each, [*ids, "racer_ref", "name", "course", "is_champ"])
+    long = _placeholder_legs(each, [*ids, "racer_ref", "name", "course", "is_champ"], legs)
     return attach_calendar(long, calendar, columns=columns)
 
 

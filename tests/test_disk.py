@@ -140,3 +140,33 @@ def test_large_competitors_are_placed_without_buckets(spark, tmp_path):
     ):
         assert placed.select(*names).exceptAll(facts.select(*names)).isEmpty() and placed.count() == facts.count()
     assert (tmp_path / "facts" / "season=1996-1997").exists()
+
+
+def test_legs_are_dealt_out_packed_and_inputs_go_when_read(spark, monkeypatch):
+    """The rows dealt out by name are efforts, written small once aliases are joined; none of it waits for the places."""
+    seen, settled = [], plans_facts.settle
+
+    def watched(df, *args):
+        if args:
+            seen.append({p.name for p in shared(spark)})
+        elif "entry_source" in df.columns:
+            assert "legs" in df.columns and "part" not in df.columns
+            seen.append(df.columns)
+        kept = settled(df, *args)
+        if args:
+            seen.append({p.name for p in shared(spark)})
+        return kept
+
+    monkeypatch.setattr(plans_facts, "settle", watched)
+    before = {p.name for p in shared(spark)}
+    facts = views.facts(spark, SF_DIR, until="places")
+    # efforts, then what is there before and after the rows and each of three ranks are written
+    assert len(seen) == 9 and facts.count() == 3990
+    efforts_and_rows, rows, rows_later = seen[1] - before, seen[2] - before, seen[3] - before
+    assert len(efforts_and_rows) == 2  # the efforts as made and as corrected
+    assert rows_later == rows - efforts_and_rows and len(rows_later) == 1
+
+
+def test_settled_tables_are_small(spark):
+    path = settle(spark.range(10)).inputFiles()[0]
+    assert path.endswith(".zstd.parquet")
