@@ -31,7 +31,7 @@ FULL, PASSED_ON = 0.98, 8
 BATCH_DOCS = 1_000
 #: Words that a worker remembers the tokens of as they are written, and words without marks and capitals, the latter
 #: from the last two tables of this size.
-WORDS, PLAIN_WORDS = 100_000, 120_000
+WORDS, PLAIN_WORDS = 100_000, 250_000
 MARKS = ".,!?;:|#%&$*)"
 #: Letters below this are composed, have one lower case each, and need no normalization (but for the dotted I).
 PLAIN, DOTTED = "\u0250", "\u0130"
