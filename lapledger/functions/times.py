@@ -20,10 +20,15 @@ def padded_time(text: Column) -> Column:
 def hms_seconds(text: Column) -> Column:
     """H:MM:SS.s → seconds; DNF, DSQ, "-", blanks and other texts → null."""
 
-    def part(number: int) -> Column:
-        return F.split_part(text, F.lit(":"), F.lit(number)).try_cast("double")
-
-    return F.when(text.rlike(HMS), part(1) * 3600 + part(2) * 60 + part(3))
+    hours, minutes, seconds = (
+        part.try_cast("double")
+        for part in (
+            F.substring_index(text, ":", 1),
+            F.substring_index(F.substring_index(text, ":", 2), ":", -1),
+            F.substring_index(text, ":", -1),
+        )
+    )
+    return F.when(text.rlike(HMS), hours * 3600 + minutes * 60 + seconds)
 
 
 def time_seconds(text: Column) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lapledger.functions.names import standard_name
 from lapledger.model import EFFORT
+from lapledger.operators.reshape import legs_unpacked
 
 
 #: The column that readers give rows their place in the files with.
@@ -78,14 +79,15 @@ def attach_problems(
     """Validity flags of listed legs; legs without a problem are valid.
 
     The last of ``on`` tells the legs of an effort apart. Flags come as a map of an effort's legs, so that rows
-    that lie by effort already need not be dealt out again by leg.
+    that lie by effort already need not be dealt out again by leg. Packed legs meet the map as an effort's one row and
+    get rows of their own after that.
     """
     flags = ["split_valid", "cumulative_valid"]
     *effort, leg = on
     listed = problems.filter(F.col(leg).isNotNull()).select(*on, *flags, *positioned(problems))
     entry = F.struct(F.col(leg), F.struct(*flags))
     legs = last_match(listed, on).groupBy(*effort).agg(F.map_from_entries(F.collect_list(entry)).alias("__legs"))
-    joined = df.drop(*flags).join(legs, effort, "left")
+    joined = legs_unpacked(df.drop(*flags).join(legs, effort, "left"))
     found = F.try_element_at(F.col("__legs"), F.col(leg))
     return joined.withColumns({f: F.coalesce(found[f], F.lit(True)) for f in flags}).drop("__legs")
 

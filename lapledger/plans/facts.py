@@ -20,7 +20,7 @@ from lapledger.operators import bests, ranks, reconcile, totals
 from lapledger.operators.calendar import course_labels
 from lapledger.operators.clean import clean_names, render_places, split_names
 from lapledger.operators.joins import apply_aliases, attach_prehistory, attach_problems
-from lapledger.operators.reshape import legs_long, legs_unpacked, union_fill
+from lapledger.operators.reshape import PACKED_LEGS, legs_long, legs_unpacked, union_fill
 from lapledger.operators.update import (
     apply_overrides,
     cast_places,
@@ -62,11 +62,14 @@ TIMING = (
 )
 COUNTING = (*KEYS, *MEASURES, *FLAGS)
 BESTING = (*COUNTING, "first_race")
+BESTS = ("season_pb_leg", "season_pb_overall")
 #: What places and records are made from.
-RANKING = (*KEYS, *MEASURES, *FLAGS, "season_pb_leg", "season_pb_overall")
+RANKING = (*COUNTING, *BESTS)
 #: Rows of a task; the steps on one competitor sort each about ten times.
 TASK_ROWS = 150_000
 ROW, HOME = "__row", "__home"
+#: Where rows without a name lie.
+NAMELESS = "\x00"
 
 
 def packed(df: DataFrame, keep: Sequence[str], into: str) -> DataFrame:
@@ -109,42 +112,66 @@ def entered(exports: DataFrame, teams: DataFrame | None = None, listed: DataFram
     return default_flags(rows, {"participation_only": False}).filter("entry_source = 'export' or name is not null")
 
 
-def cleaned_results(
-    long: DataFrame,
-    aliases: DataFrame | None = None,
+def named_results(long: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
+    """Names in standard form and corrected; rows tell whether they are of participation only."""
+    if "participation_only" not in long.columns:
+        long = long.withColumn("participation_only", F.lit(None).cast("boolean"))
+    named = clean_names(default_flags(long, {"participation_only": False}), split=False)
+    return named if aliases is None else apply_aliases(named, aliases)
+
+
+def flagged_results(
+    named: DataFrame,
     problems: DataFrame | None = None,
     overrides: DataFrame | None = None,
     clock_races: DataFrame | None = None,
     dupe_dates: DataFrame | None = None,
     hot: bool | None = None,
     by_effort: Callable[[DataFrame], DataFrame] = lambda df: df,
-    rows_by_effort: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Names corrected, double entries dropped, validity flags set, single rows overridden.
+    """Double entries dropped, validity flags set, clock times mended, single rows overridden.
 
-    Entries of a corrected name count together, and what drops them goes by the course they were listed on.
-    ``by_effort`` deals rows and lookups out by date and name, once the names are right; ``rows_by_effort`` the rows
-    if they need another way. Packed legs get rows of their own after that.
+    Packed efforts have a row of each leg, so double entries and overrides are found on the efforts, and the legs
+    get rows of their own where they meet their problems.
     """
-    if "participation_only" not in long.columns:
-        long = long.withColumn("participation_only", F.lit(None).cast("boolean"))
-    named = clean_names(default_flags(long, {"participation_only": False}), split=False)
-    if aliases is not None:
-        named = apply_aliases(named, aliases)
-    named = legs_unpacked((rows_by_effort or by_effort)(named))
+    whole = PACKED_LEGS in named.columns
     if dupe_dates is not None:
-        named = reconcile.drop_cross_course_dupes(named, dupe_dates, hot=hot)
+        keys = EFFORT if whole else (*EFFORT, "part")
+        named = reconcile.drop_cross_course_dupes(named, dupe_dates, keys, hot=hot)
+    fixes = None if overrides is None else by_effort(overrides)
+    if whole and fixes is not None:
+        # the course is read by none of the steps in between
+        named = apply_overrides(named, fixes, EFFORT, ["course"])
     if problems is not None:
         flagged = attach_problems(named, by_effort(problems))
     else:
-        flagged = named.withColumns({"split_valid": F.lit(True), "cumulative_valid": F.lit(True)})
+        flagged = legs_unpacked(named).withColumns({"split_valid": F.lit(True), "cumulative_valid": F.lit(True)})
     if clock_races is not None:
         flagged = time_of_day_fix(flagged, clock_races)
-    if overrides is not None:
-        flagged = apply_overrides(flagged, by_effort(overrides), EFFORT, ["course"])
+    if not whole and fixes is not None:
+        flagged = apply_overrides(flagged, fixes, EFFORT, ["course"])
     return flagged
 
 
+def cleaned_results(
+    long: DataFrame,
+    aliases: DataFrame | None = None,
+    problems: DataFrame | None = None,
+    overrides: DataFrame | None = None,
+    clock_races: DataFrame | None = None,
+    dupe_dates: DataFrame | None = None,
+    hot: bool | None = None,
+    by_effort: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> DataFrame:
+    """Names corrected, double entries dropped, validity flags set, single rows overridden.
+
+    Entries of a corrected name count together, and what drops them goes by the course they were listed on.
+    ``by_effort`` deals rows and lookups out by date and name, once the names are right.
+    """
+    named = by_effort(named_results(long, aliases))
+    return flagged_results(named, problems, overrides, clock_races, dupe_dates, hot, by_effort)
+
+
 def parsed_results(cleaned: DataFrame) -> DataFrame:
     """Time texts become seconds and are left behind; a started leg without a time counts as zero."""
     seconds = cleaned.withColumns(
@@ -236,22 +263,26 @@ def placed_results(
     into: str | None = None,
     columns: Sequence[str] | None = None,
     all_read: Callable[[], None] | None = None,
+    own: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Places in the race and records of the season.
-
-    Both compare all competitors. The rows wait in the shared folder, where they lie by name in ``rows`` by ``TASK_ROWS``
-    buckets, while keys and numbers are ranked. The ranks go there too, one kind after the other, and meet the rows in
-    their buckets, so whole rows are not dealt out again. With a path ``into`` the result is written there, one folder
-    per season. With ``columns`` it holds no others, and what nothing reads is not made. A competitor with too many rows for a bucket has each row find its ranks by itself.
-    ``all_read`` is called once the rows are written and nothing they were made from is read any more.
+    """Places in the race and records of the season, after what ``own`` adds on a competitor's rows.
+
+    Places and records compare all competitors. The rows wait in the shared folder, where they lie by name in ``rows`` by
+    ``TASK_ROWS`` buckets, while keys and numbers alone pass the sorts: first those of ``own``, on the rows of a bucket,
+    then the ranks. What is found goes there too, one kind after the other, and meets the rows in their buckets, so whole
+    rows are not dealt out again. With a path ``into`` the result is written there, one folder per season. With
+    ``columns`` it holds no others, and what nothing reads is not made. A competitor with too many rows for a bucket
+    has each row find its ranks by itself. ``all_read`` is called once the rows are written and nothing they were made
+    from is read any more, but for lookups of ``own``.
     """
     spark = facts.sparkSession
     tasks = None if rows is None else spread.task_count(spark, rows, TASK_ROWS)
     buckets = None if hot_name else tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = into or new_path(spark, "settled")
+    # a row without a name has a place to lie too
+    home = F.xxhash64(ROW) if hot_name else F.coalesce("name", F.lit(NAMELESS))
+    named = F.col("name") if hot_name else F.when(F.col("name") != NAMELESS, F.col("name"))
     with settled_for_now(spark):
-        # a row without a name has a place to lie too
-        home = F.xxhash64(ROW) if hot_name else F.coalesce("name", F.lit(""))
         if columns is not None:
             facts = facts.select(*[c for c in facts.columns if c in {*columns, *RANKING}])
         numbered = facts.withColumn(ROW, F.monotonically_increasing_id())
@@ -262,27 +293,43 @@ def placed_results(
         def found(ranked: DataFrame, *names: str) -> DataFrame:
             return settle(spread.dealt(ranked.select(HOME, ROW, *names), buckets or tasks, HOME), buckets, HOME)
 
+        best, parts = kept, []
+        if own is not None:
+            # the column that the rows lie by is the name, so that Spark knows the names of a bucket to be together
+            lies = F.col("name") if hot_name else F.col(HOME).alias("name")
+            made = own(kept.select(lies, ROW, *[c for c in COUNTING if c != "name"]))
+            names = [c for c in made.columns if c not in (*COUNTING, ROW)]
+            names = [c for c in names if columns is None or c in {*columns, *BESTS}]
+            minutes = [
+                F.when(F.col(flag), F.col(value)).alias(value)
+                for flag, value in (("season_pb_overall", "overall_mins"), ("season_pb_leg", "duration_mins"))
+            ]
+            compared = dict.fromkeys([*RECORD, "date_ymd", "started"])
+            made = made.select(home.alias(HOME), ROW, *names, *compared, named.alias("name"), *minutes)
+            best = settle(made, buckets, HOME)
+            parts.append((best, [c for c in names if columns is None or c in columns]))
+
         races = kept.select(ROW, HOME, *RACE, "name", "date_ymd", *MEASURES, *FLAGS)
         places = races if hot_race else spread.dealt(races, tasks, *RACE)
         places = ranks.place_leg(places, hot=hot_race)
         places = ranks.place_cumulative(places, hot=hot_race)
         places = ranks.place_overall(places, hot=hot_race)
 
-        def held(best: str, value: str) -> DataFrame:
-            rows_of = kept.filter(F.col("started") & F.col(best))
-            return rows_of.select(ROW, HOME, *RECORD, "name", "date_ymd", "started", best, value)
-
-        overall = ranks.record_rank_overall(held("season_pb_overall", "overall_mins"), hot=hot_record)
-        leg = ranks.record_rank_leg(held("season_pb_leg", "duration_mins"), hot=hot_record)
-        placed = kept
+        records = best.filter(F.col("started") & (F.col("season_pb_overall") | F.col("season_pb_leg")))
+        records = records.select(ROW, HOME, *RECORD, "name", "date_ymd", "started", *BESTS, "overall_mins", "duration_mins")
+        records = ranks.record_rank_overall(records, hot=hot_record)
+        records = ranks.record_rank_leg(records, hot=hot_record)
         for ranked, names in (
             (places, ["place_leg", "place_cumulative", "place_overall"]),
-            (overall, ["record_rank_overall"]),
-            (leg, ["record_rank_leg"]),
+            (records, ["record_rank_overall", "record_rank_leg"]),
         ):
             names = [name for name in names if columns is None or name in columns]
             if names:
-                placed = placed.join(found(ranked, *names), [HOME, ROW], "left")
+                parts.append((found(ranked, *names), names))
+        placed = kept
+        for part, names in parts:
+            # by number first, which is quicker to compare and the order that rows were written in
+            placed = placed.join(part.select(HOME, ROW, *names), [ROW, HOME], "left")
         placed = placed.drop(HOME, ROW) if columns is None else placed.select(*columns)
         season = None if into is None else "season"
         if buckets is not None:
@@ -311,6 +358,18 @@ def labelled_results(facts: DataFrame) -> DataFrame:
     return course_labels(bests.display_class(facts), championship=False)
 
 
+def batch_sizes(long: DataFrame) -> tuple[int, list[int]]:
+    """Rows of the batch, and those of the largest competitor, race and season's course.
+
+    An effort with its legs packed has a row of each leg, so what is compared on one leg has a row of each effort.
+    """
+    held = long.withColumn("name", F.lower("name"))
+    if PACKED_LEGS not in long.columns:
+        return spread.group_sizes(held.select("name", *RACE), [("name",), RACE, RECORD])
+    keys = [("name",), *([c for c in names if c != "part"] for names in (RACE, RECORD))]
+    return spread.group_sizes(held, keys, [F.size(PACKED_LEGS), F.lit(1), F.lit(1)])
+
+
 def build_facts(
     long: DataFrame,
     aliases: DataFrame | None = None,
@@ -331,39 +390,37 @@ def build_facts(
 
     ``long`` has a row per leg, or a row per effort with its legs packed, which is less to deal out. Places are
     written ``into`` a path if there is one, and only ``columns`` of them if these are given; ``all_read`` is called
-    once they need no input any more.
+    once they need no input any more but ``prehistory`` and ``newcomers``.
 
     ``hot`` tells whether a competitor, a race or a season's course holds more rows than one task
-    should; when it is not given, one count finds out. The count is taken before the lookups, by the
-    given name in lower case; aliases merge only a few spellings of a name.
+    should; when it is not given, one count finds out. The count is taken by the name in lower case, before the
+    lookups unless the rows are written once their names are right; aliases merge only a few spellings of a name.
     """
     with ExitStack() as made:
+        # where the rows are not written here, steps on an effort have an exchange of their own, as Spark's joins ask
+        # for unless told otherwise; else one by name serves all steps on an effort and a competitor, lookups included
+        written = until in ("places", "labels")
+        if written:
+            made.enter_context(settled_for_now(long.sparkSession))
+        named = named_results(long, aliases)
+        if written and aliases is not None:
+            # aliases have dealt the rows out once: that goes from the disk before they are dealt out again
+            named = long = settle(named)
         rows = None
         if hot is None:
-            sizes = legs_unpacked(long).select(F.lower("name").alias("name"), *RACE)
-            rows, largest = spread.group_sizes(sizes, [("name",), RACE, RECORD])
+            rows, largest = batch_sizes(long)
             hot = [size > spread.group_limit(long) for size in largest]
         hot_name, hot_race, hot_record = hot
         tasks = None if rows is None else spread.task_count(long.sparkSession, rows, TASK_ROWS)
 
-        # one exchange by name for all steps on an effort and a competitor, lookups included; where the rows are not
-        # written here, steps on an effort have one of their own, as Spark's joins ask for unless told otherwise
-        written = until in ("places", "labels")
-
         def by_name(df: DataFrame) -> DataFrame:
             return df if hot_name else spread.dealt(df, tasks, "name")
 
         def by_effort(df: DataFrame) -> DataFrame:
             return by_name(df) if written or hot_name else spread.dealt(df, tasks, *EFFORT)
 
-        def rows_by_effort(df: DataFrame) -> DataFrame:
-            # aliases have dealt the rows out once: that goes from the disk before they are dealt out again
-            return by_effort(settle(df) if written and aliases is not None else df)
-
-        if written:
-            made.enter_context(settled_for_now(long.sparkSession))
-        cleaned = cleaned_results(
-            long, aliases, problems, overrides, clock_races, dupe_dates, hot_name, by_effort, rows_by_effort
+        cleaned = flagged_results(
+            by_effort(named), problems, overrides, clock_races, dupe_dates, hot_name, by_effort
         )
         parsed = packed(parsed_results(cleaned), [*KEYS, *TIMING], "results")
         timed = timed_results(parsed, bad_races, hot_name)
@@ -373,17 +430,17 @@ def build_facts(
             prehistory = by_name(prehistory)
         if newcomers is not None:
             newcomers = by_name(newcomers)
-        facts = packed(timed, COUNTING, "times")
-        facts = facts if written else by_name(facts)
-        facts = counted_results(facts, prehistory, newcomers, hot_name)
         if until == "counts":
-            return unpacked(facts)
-        facts = unpacked(best_results(packed(facts, BESTING, "counts"), hot_name))
+            return unpacked(counted_results(by_name(packed(timed, COUNTING, "times")), prehistory, newcomers, hot_name))
+
+        def own(facts: DataFrame) -> DataFrame:
+            counted = counted_results(facts, prehistory, newcomers, hot_name)
+            return unpacked(best_results(packed(counted, BESTING, "counts"), hot_name))
 
         def read() -> None:
             made.close()
             if all_read is not None:
                 all_read()
 
-        placed = placed_results(facts, hot_race, hot_record, hot_name, rows, into, columns, read)
+        placed = placed_results(unpacked(timed), hot_race, hot_record, hot_name, rows, into, columns, read, own)
         return placed if until == "places" else labelled_results(placed)

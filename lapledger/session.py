@@ -18,6 +18,9 @@ ALL_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
 #: Off, operators hand rows on one by one. Code made for a whole stage of rows this wide has methods too long to be
 #: compiled well.
 WHOLE_STAGE = "spark.sql.codegen.wholeStage"
+#: Files that a task may write at a time. Rows go to the buckets and folders they belong to as they come; only where a
+#: task has rows of more of these are they sorted by them first.
+WRITERS = {"spark.sql.maxConcurrentOutputFileWriters": "24"}
 #: How settled tables are compressed: in less space than by default, for a little more time.
 SMALL = {"compression": "zstd"}
 #: Paths and tables settled in each open block of ``settled_for_now``.
@@ -72,7 +75,7 @@ def shuffles_removed(spark: SparkSession) -> AbstractContextManager[None]:
 
 
 def _wide_rows_written(spark: SparkSession) -> AbstractContextManager[None]:
-    return _settings(spark, {CLEANUP: "true", ALL_KEYS: "false", WHOLE_STAGE: "false"})
+    return _settings(spark, {CLEANUP: "true", ALL_KEYS: "false", WHOLE_STAGE: "false", **WRITERS})
 
 
 @contextmanager

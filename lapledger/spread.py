@@ -87,23 +87,30 @@ def any_hot(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> boo
     return not hot_groups(df, keys, limit).isEmpty()
 
 
-def group_sizes(df: DataFrame, key_sets: Sequence[Sequence[str]]) -> tuple[int, list[int]]:
+def group_sizes(
+    df: DataFrame, key_sets: Sequence[Sequence[str]], weights: Sequence[Column] | None = None
+) -> tuple[int, list[int]]:
     """All rows, and the rows of the largest group of each key set, in one pass.
 
-    Two numbers per key set reach the driver.
+    ``weights`` tell for each key set how many rows a row counts as; all rows are counted by the first. Two numbers
+    per key set reach the driver.
     """
     columns = list(dict.fromkeys(key for keys in key_sets for key in keys))
-    sizes = df.groupingSets([list(keys) for keys in key_sets], *columns).agg(
-        F.count(F.lit(1)).alias(ROWS), F.grouping_id().alias("__set")
+    weights = [F.lit(1)] * len(key_sets) if weights is None else weights
+    held = [f"__rows_{i}" for i in range(len(weights))]
+    weighed = df.withColumns(dict(zip(held, weights)))
+    sizes = weighed.groupingSets([list(keys) for keys in key_sets], *columns).agg(
+        *[F.sum(name).alias(name) for name in held], F.grouping_id().alias("__set")
     )
-    found = sizes.groupBy("__set").agg(F.max(ROWS).alias("largest"), F.sum(ROWS).alias("all")).collect()
-    largest = {row["__set"]: row["largest"] for row in found}
+    found = sizes.groupBy("__set").agg(F.sum(held[0]).alias("all"), *[F.max(name).alias(name) for name in held]).collect()
+    largest = {row["__set"]: row for row in found}
     # a column left out of a set puts a one into the set's number, the first column the highest bit
     numbers = [
         sum(2 ** (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in keys)
         for keys in key_sets
     ]
-    return max((row["all"] for row in found), default=0), [largest.get(number) or 0 for number in numbers]
+    rows = max((row["all"] or 0 for row in found), default=0)
+    return rows, [(largest[number][name] or 0) if number in largest else 0 for number, name in zip(numbers, held)]
 
 
 def hot_key_sets(

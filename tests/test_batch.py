@@ -8,9 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from lapledger import spread
+from lapledger.functions.times import time_seconds
 from lapledger.operators import checks, reconcile
+from lapledger.operators.reshape import legs_packed
 from lapledger.plans import reports
 from lapledger.plans.facts import (
+    batch_sizes,
     build_facts,
     cleaned_results,
     long_results,
@@ -307,3 +310,36 @@ def test_steps_on_an_effort_share_their_sorts(spark):
     rows_sorted = [keys for keys in sorts if keys.endswith(" part") or "__leg" in keys]
     assert rows_sorted.count("name date_ymd __leg") == 1 and "name date_ymd part" in rows_sorted
     assert len(sorts) <= 5
+
+
+def test_packed_efforts_are_cleaned_as_their_legs_are(loaded, spark):
+    """Double entries and overrides are found on whole efforts, and give what they give leg by leg."""
+    wide = loaded[2].withColumn("participation_only", F.lit(False))
+    wide = wide.unionByName(wide.filter("race_number = 1").withColumn("course", F.lit("double")))
+    day = dt.date(2030, 9, 28)
+    problems = spark.createDataFrame(
+        [(day, "Bo McRae", part, split, True) for part, split in (("Swim", False), ("Run", True), (None, False))],
+        "date_ymd date, name string, part string, split_valid boolean, cumulative_valid boolean",
+    )
+    overrides = spark.createDataFrame([(day, "Ed Half", "int")], "date_ymd date, name string, course string")
+    aliases = spark.createDataFrame([("cy dee", "CYRIL dee")], "name_in string, name_out string")
+    lookups = (aliases, problems, overrides, problems.select("date_ymd"), problems.select("date_ymd"), False)
+    legs = cleaned_results(long_results(wide, IDS), *lookups)
+    packed = cleaned_results(long_results(wide, IDS, legs_packed), *lookups)
+    assert packed.select(legs.columns).exceptAll(legs).isEmpty()
+    assert packed.count() == legs.count() == 21  # the double course is gone
+    assert one(packed, name="Ed Half", part="Run")["course"] == "int"
+    assert not one(packed.filter("race_number = 1"), name="Bo McRae", part="Swim")["split_valid"]
+
+
+def test_packed_efforts_are_counted_by_leg(loaded):
+    wide = loaded[2].withColumn("participation_only", F.lit(False))
+    legs, packed = long_results(wide, IDS), long_results(wide, IDS, legs_packed)
+    assert batch_sizes(packed) == batch_sizes(legs) == (21, [6, 4, 7])
+
+
+def test_time_texts_become_seconds_without_lists(spark):
+    texts = ["1:02:03.5", "9:25.0", "52:40.0", "-", "DNF", "", "1:2:3:4", "1:02:03.5 ", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", time_seconds(F.col("t")).alias("s"))
+    assert [r.s for r in rows.collect()] == [3723.5, 565.0, 3160.0, None, None, None, None, None, None]
+    assert "split" not in rows._jdf.queryExecution().optimizedPlan().toString()

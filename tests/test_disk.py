@@ -170,3 +170,43 @@ def test_legs_are_dealt_out_packed_and_inputs_go_when_read(spark, monkeypatch):
 def test_settled_tables_are_small(spark):
     path = settle(spark.range(10)).inputFiles()[0]
     assert path.endswith(".zstd.parquet")
+
+
+def test_only_keys_and_numbers_pass_the_sorts_of_a_competitor(spark, monkeypatch):
+    """Whole rows are written once their times are settled; counts, own ranks and bests are made beside them."""
+    plans, save = [], session.save_buckets
+
+    def saved(df, *args, **more):
+        plans.append((df.columns, df._jdf.queryExecution().executedPlan().toString()))
+        return save(df, *args, **more)
+
+    monkeypatch.setattr(session, "save_buckets", saved)
+    monkeypatch.setattr(plans_facts, "save_buckets", saved)
+    facts = views.facts(spark, SF_DIR, until="places")
+    (rows, rows_plan), (own, own_plan) = plans[:2]
+    assert "race_ref" in rows and "effort_rank_leg" not in rows and "row_number" not in rows_plan
+    assert "effort_rank_leg" in own and "effort_has_pb" in own
+    assert "race_ref" not in own_plan and "bib" not in own_plan
+    whole = views.saved_facts(spark, SF_DIR).select(facts.columns)
+    assert facts.exceptAll(whole).isEmpty() and facts.count() == whole.count()
+
+
+def test_competitors_without_a_name_are_counted_together(spark):
+    flags = {flag: F.lit(True) for flag in (*plans_facts.FLAGS, "started", "is_champ")}
+    rows = spark.createDataFrame([(None, 1, 30.0), ("A", 1, 20.0), (None, 2, 10.0), ("", 1, 5.0)], "name string, race_number int, duration_mins double")
+    rows = rows.withColumns(
+        flags
+        | {"season": F.lit("2030-2031"), "course": F.lit("full"), "part": F.lit("Swim")}
+        | {"date_ymd": F.date_add(F.lit("2030-09-28").cast("date"), F.col("race_number"))}
+        | {m: F.col("duration_mins") for m in plans_facts.MEASURES}
+    )
+
+    def own(facts):
+        return plans_facts.best_results(plans_facts.counted_results(facts))
+
+    for hot_name in (False, True):
+        placed = plans_facts.placed_results(rows, hot_name=hot_name, rows=1_000_000, own=own)
+        assert {(r.name, r.race_number, r.entries_cumulative, r.effort_rank_leg, r.record_rank_leg) for r in placed.collect()} == {
+            (None, 1, 1, 2, None), (None, 2, 2, 1, 2), ("A", 1, 1, 1, 3), ("", 1, 1, 1, 1)
+        }
+
