@@ -68,7 +68,9 @@ def course_of(date: Column, priority: Column) -> Column:
 
 def export_time(seconds: Column) -> Column:
     """M:SS.s, MM:SS.s or H:MM:SS.s, as the exports write times."""
-    return F.regexp_replace(seconds_short(seconds), r"^0(\d:\d\d\.\d)$", "$1")
+    text = seconds_short(seconds)
+    # of seven characters are minutes and seconds only
+    return F.when((F.length(text) == 7) & text.startswith("0"), F.substring(text, 2, 6)).otherwise(text)
 
 
 def efforts(spark: SparkSession, sf_dir: str) -> DataFrame:

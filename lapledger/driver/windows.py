@@ -25,8 +25,8 @@ from lapledger.model import LEGS
 from lapledger.operators import bests, ranks, reconcile, totals, update
 from lapledger.operators.clean import clean_names, parse_times
 from lapledger.plans import snapshot
-from lapledger.plans.facts import cleaned_results
-from lapledger.session import new_path, settle
+from lapledger.plans.facts import cleaned_results, labelled_results
+from lapledger.session import new_path, remove, settle, settled_for_now
 
 KEYS = ["name", "date_ymd", "effort"]
 TIES = {"tie_keys": ("name", "date_ymd", "effort")}
@@ -765,12 +765,16 @@ def batch_facts(spark, sf_dir):
 )
 def add_season(spark, sf_dir):
     """A snapshot of all seasons but the first and the last, to which these are added, the earlier one last."""
-    wide = settle(views.wide_seconds(spark, sf_dir))
-    first, last = wide.agg(F.min("season"), F.max("season")).first()
     path = new_path(spark, "seasons")
-    for part in (~F.col("season").isin(first, last), F.col("season") == last, F.col("season") == first):
-        snapshot.save_seasons(facts(spark, sf_dir, wide.filter(part)), path)
-    return snapshot.load_seasons(spark, path).select(
+    with settled_for_now(spark):
+        wide = settle(views.wide_seconds(spark, sf_dir))
+        first, last = wide.agg(F.min("season"), F.max("season")).first()
+        for part in (~F.col("season").isin(first, last), F.col("season") == last, F.col("season") == first):
+            once = new_path(spark, "season")
+            rows = facts(spark, sf_dir, wide.filter(part), until="places", into=once)
+            snapshot.save_seasons(rows, path, settled=True)
+            remove(spark, once)
+    return labelled_results(snapshot.load_seasons(spark, path)).select(
         "season", "race_number", "date_ymd", "course", "is_champ", "name", "part", "place_overall", "record_rank_overall",
         "entries_cumulative", "entries_total", "is_last_entry", *snapshot.CAREER,
     )

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from contextlib import ExitStack
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -62,6 +63,8 @@ TIMING = (
 )
 COUNTING = (*KEYS, *MEASURES, *FLAGS)
 BESTING = (*COUNTING, "first_race")
+#: What steps on an effort read before its times are seconds.
+CLEANING = (*KEYS, "participation_only", "time_overall_import", "handicap_import", "duration_import", PACKED_LEGS)
 BESTS = ("season_pb_leg", "season_pb_overall")
 #: What places and records are made from.
 RANKING = (*COUNTING, *BESTS)
@@ -326,10 +329,9 @@ def placed_results(
             names = [name for name in names if columns is None or name in columns]
             if names:
                 parts.append((found(ranked, *names), names))
-        placed = kept
-        for part, names in parts:
-            # by number first, which is quicker to compare and the order that rows were written in
-            placed = placed.join(part.select(HOME, ROW, *names), [ROW, HOME], "left")
+        # what is found comes together first, so that whole rows pass one join; by number, which is quicker to compare
+        parts = [part.select(ROW, HOME, *names) for part, names in parts]
+        placed = kept.join(reduce(lambda a, b: a.join(b, [ROW, HOME], "left"), parts), [ROW, HOME], "left") if parts else kept
         placed = placed.drop(HOME, ROW) if columns is None else placed.select(*columns)
         season = None if into is None else "season"
         if buckets is not None:
@@ -420,7 +422,7 @@ def build_facts(
             return by_name(df) if written or hot_name else spread.dealt(df, tasks, *EFFORT)
 
         cleaned = flagged_results(
-            by_effort(named), problems, overrides, clock_races, dupe_dates, hot_name, by_effort
+            by_effort(packed(named, CLEANING, "entry")), problems, overrides, clock_races, dupe_dates, hot_name, by_effort
         )
         parsed = packed(parsed_results(cleaned), [*KEYS, *TIMING], "results")
         timed = timed_results(parsed, bad_races, hot_name)

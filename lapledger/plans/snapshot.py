@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lapledger import spread
 from lapledger.model import FULL_AND_DOUBLE
-from lapledger.session import new_path, remove
+from lapledger.session import SMALL, new_path, remove, wide_rows_written
 
 SEASON, SHARE = ("name", "part", "season"), ("name", "part")
 #: Facts of the whole career, made when the snapshot is read.
@@ -37,24 +37,30 @@ def career_shares(facts: DataFrame) -> DataFrame:
 
 def _replace(df: DataFrame, path: str) -> None:
     """Write the seasons that ``df`` has rows of, and no other."""
-    df.hint("rebalance", "season").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "season"
-    ).parquet(path)
+    with wide_rows_written(df.sparkSession):
+        df.write.options(**SMALL).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "season"
+        ).parquet(path)
 
 
-def save_seasons(facts: DataFrame, path: str) -> None:
+def save_seasons(facts: DataFrame, path: str, settled: bool = False) -> None:
     """Add or replace the seasons in ``facts``, the result of the batch over the rows of whole seasons.
 
     The career facts are left out: a batch over some seasons cannot know them. A reader between the two writes
-    sees the season's rows with its old share.
+    sees the season's rows with its old share. Facts that are ``settled``, read from where they were written, are
+    written into the folders of their seasons from where they lie; others are written once before that, so that
+    both tables are made from the same rows. Labels need not be saved: ``labelled_results`` makes them of what is read.
     """
     spark = facts.sparkSession
-    once = new_path(spark, "season")
-    facts.drop(*CAREER).write.parquet(once)
-    rows = spark.read.parquet(once)
-    _replace(rows, f"{path}/facts")
-    _replace(career_shares(rows), f"{path}/shares")
-    remove(spark, once)
+    rows, once = facts.drop(*CAREER), None
+    if not settled:
+        once = new_path(spark, "season")
+        rows.write.parquet(once)
+        rows = spark.read.parquet(once)
+    _replace(rows if settled else rows.hint("rebalance", "season"), f"{path}/facts")
+    _replace(career_shares(rows).hint("rebalance", "season"), f"{path}/shares")
+    if once is not None:
+        remove(spark, once)
 
 
 def load_seasons(spark: SparkSession, path: str, hot: bool | None = None) -> DataFrame:

@@ -74,7 +74,8 @@ def shuffles_removed(spark: SparkSession) -> AbstractContextManager[None]:
     return _settings(spark, {CLEANUP: "true"})
 
 
-def _wide_rows_written(spark: SparkSession) -> AbstractContextManager[None]:
+def wide_rows_written(spark: SparkSession) -> AbstractContextManager[None]:
+    """For queries that end in this block with tables of many columns."""
     return _settings(spark, {CLEANUP: "true", ALL_KEYS: "false", WHOLE_STAGE: "false", **WRITERS})
 
 
@@ -105,7 +106,7 @@ def save_buckets(df: DataFrame, path: str, buckets: int, by: str, partition: str
     spark = df.sparkSession
     table = f"lapledger_{uuid.uuid4().hex}"
     writer = df.write.format("parquet").options(**SMALL).option("path", path).bucketBy(buckets, by)
-    with _wide_rows_written(spark):
+    with wide_rows_written(spark):
         (writer if partition is None else writer.partitionBy(partition)).saveAsTable(table)
     return table
 
@@ -120,7 +121,7 @@ def settle(df: DataFrame, buckets: int | None = None, by: str = "name") -> DataF
     spark = df.sparkSession
     path, table = new_path(spark, "settled"), None
     if buckets is None:
-        with _wide_rows_written(spark):
+        with wide_rows_written(spark):
             df.write.options(**SMALL).parquet(path)
     else:
         table = save_buckets(df, path, buckets, by)

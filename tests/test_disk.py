@@ -210,3 +210,32 @@ def test_competitors_without_a_name_are_counted_together(spark):
             (None, 1, 1, 2, None), (None, 2, 2, 1, 2), ("A", 1, 1, 1, 3), ("", 1, 1, 1, 1)
         }
 
+
+
+def test_added_seasons_are_written_once_and_without_labels(spark):
+    before = shared(spark)
+    rows = QUERIES["add_season"](spark, SF_DIR)
+    made = shared(spark) - before
+    assert {p.name.split("-")[0] for p in made} == {"seasons"}
+    saved = spark.read.parquet(f"{made.pop()}/facts")
+    assert "place_leg" in saved.columns and "place_leg_nice" not in saved.columns
+    assert rows.count() == saved.count() == 3990
+
+
+def test_whole_rows_pass_one_join_when_they_meet_their_ranks(spark, monkeypatch):
+    joins, save = [], plans_facts.save_buckets
+
+    def saved(df, *args):
+        node = df._jdf.queryExecution().optimizedPlan()
+        nodes = [node]
+        while nodes:
+            node = nodes.pop()
+            below = [node.children().apply(i) for i in range(node.children().size())]
+            if node.nodeName() == "Join":
+                joins.append(node.output().size())
+            nodes += below
+        return save(df, *args)
+
+    monkeypatch.setattr(plans_facts, "save_buckets", saved)
+    width = len(views.facts(spark, SF_DIR, until="places").columns)
+    assert len(joins) == 3 and sum(size >= width for size in joins) == 1
